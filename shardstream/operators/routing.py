@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT_SHARD
 from ..functions.records import hash_key
@@ -18,7 +19,7 @@ SHARD_MAP = ["stream_name", "shard_id", "pos", "lo_hex", "hi_hex", "lo_dec", "hi
 BUCKET_DIGITS = 3
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _to_hex(decimal: pd.Series) -> pd.Series:
     return decimal.map(lambda x: f"{int(x):032x}")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,24 +73,33 @@ def consumer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def listing(spark: SparkSession, sf_dir: str, n_shards: int, keep: str = "true") -> DataFrame:
-    """A shard listing that divides the hash-key space evenly for each stream of ``events``."""
-    @F.pandas_udf("string")
-    def bound(i: pd.Series) -> pd.Series:
-        return i.map(lambda k: str((int(k) << 128) // n_shards))
+def even_ranges(n_shards: int) -> list[tuple[int, int, int]]:
+    """(position, first, last hash key) of shards that divide the hash-key space evenly."""
+    edge = lambda i: (i << 128) // n_shards
+    return [(i, edge(i), edge(i + 1) - 1) for i in range(n_shards)]
 
-    @F.pandas_udf("string")
-    def last(i: pd.Series) -> pd.Series:
-        return i.map(lambda k: str(((int(k) + 1 << 128) // n_shards) - 1))
 
+def shard_name(i) -> str:
+    return f"shardId-{i:012d}"
+
+
+def listing(spark: SparkSession, sf_dir: str, ranges: list[tuple[int, int, int]]) -> DataFrame:
+    """A shard listing with the given ranges for each stream of ``events``."""
+    shards = F.array(
+        *[
+            F.struct(
+                F.lit(shard_name(i)).alias("shard_id"),
+                F.lit(i).alias("pos"),
+                F.lit(str(lo)).alias("starting_hash_key"),
+                F.lit(str(hi)).alias("ending_hash_key"),
+            )
+            for i, lo, hi in ranges
+        ]
+    )
     streams = table(spark, sf_dir, "events").select(F.concat(F.lit("stream-"), "event_type").alias("stream_name")).distinct()
-    shards = streams.select("stream_name", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("pos"))
-    return shards.filter(keep).select(
-        "stream_name",
-        F.format_string("shardId-%012d", "pos").alias("shard_id"),
-        "pos",
-        bound("pos").alias("starting_hash_key"),
-        last("pos").alias("ending_hash_key"),
-        F.lit(None).cast("string").alias("ending_sequence_number"),
-        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("listed_at"),
+    return streams.select("stream_name", F.inline(shards)).withColumns(
+        {
+            "ending_sequence_number": F.lit(None).cast("string"),
+            "listed_at": F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"),
+        }
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4()}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and read on from there.
 
