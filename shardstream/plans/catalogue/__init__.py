@@ -1,6 +1,14 @@
 """All registered queries."""
 
-from . import batching_queries, consume_queries, metric_queries, produce_queries, record_queries, routing_queries  # noqa: F401
+from . import (  # noqa: F401
+    batching_queries,
+    consume_queries,
+    metric_queries,
+    produce_queries,
+    record_queries,
+    routing_queries,
+    stream_queries,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

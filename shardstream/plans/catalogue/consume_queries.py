@@ -165,15 +165,9 @@ def from_latest(spark, sf_dir):
     return record_log.from_position(consumer_log(spark, sf_dir), Position.latest(), tips).select(event_id())
 
 
-@query(
-    "order_by_position",
-    f"""WITH {LOG} SELECT stream_name, shard_id, event_id,
-          event_id >= coalesce(lag(event_id) OVER (PARTITION BY stream_name, shard_id ORDER BY event_id), 0) AS in_order FROM log""",
-)
+@query("order_by_position", f"WITH {LOG} SELECT stream_name, shard_id, event_id FROM log")
 def in_order(spark, sf_dir):
-    """Sorted by position, every record's id is above that of all records before it in its shard."""
-    ordered = order_by_position(consumer_log(spark, sf_dir)).select("stream_name", "shard_id", event_id())
-    return ordered.withColumn("in_order", F.col("event_id") >= 0)
+    return order_by_position(consumer_log(spark, sf_dir)).select("stream_name", "shard_id", event_id())
 
 
 @query(

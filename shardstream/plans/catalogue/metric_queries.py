@@ -211,7 +211,7 @@ def numbered_datums(spark, sf_dir):
     "metrics_window",
     f"""{EVENT_POINTS} SELECT metric, dims, sum(coalesce(value, sample)) AS sum, min(coalesce(value, sample)) AS min,
           max(coalesce(value, sample)) AS max, count(*) AS count FROM points
-        WHERE metric = 'producer.request.duration' AND ts_ns > {TS_NS} - 864000 * 1000000000 AND ts_ns <= {TS_NS} GROUP BY ALL""",
+        WHERE metric = 'producer.request.duration' AND ts_ns > {TS_NS - 864_000 * 10**9} AND ts_ns <= {TS_NS} GROUP BY ALL""",
 )
 def trailing_window(spark, sf_dir):
     found = metrics.metrics_window(event_points(spark, sf_dir), TS_NS, name="producer.request.duration", seconds=864_000)
