@@ -90,6 +90,7 @@ def assign_batches(
     order: tuple[str, ...] = ("seq_in_put",),
     size: str = "n_bytes",
     group_rows: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add ``batch_no`` and ``request_index`` (the record's index among its shard's records of the batch).
 
@@ -108,6 +109,7 @@ def assign_batches(
         place="request_index",
         place_by=["shard_id"],
         group_rows=group_rows,
+        largest=largest,
     )
 
 
@@ -132,6 +134,7 @@ def group_within(
     order: list[str],
     time_us: str,
     group_rows: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add ``chunk_no`` and ``place_in_chunk``: a chunk closes at ``n`` records or ``wait_us`` after its first.
 
@@ -149,6 +152,7 @@ def group_within(
         place="place_in_chunk",
         place_by=[],
         group_rows=group_rows,
+        largest=largest,
     )
 
 

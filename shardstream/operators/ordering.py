@@ -18,15 +18,17 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 
 
 def with_ordinal(
-    df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal", group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal", group_rows: int = GROUP_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 0 in the given order.
 
     Groups of at most ``group_rows`` rows are numbered by a window function. If any group is larger,
     the rows are range-sorted by group and order, which spreads a hot group over many partitions:
     each task numbers the rows it holds, and adds how many rows of the group lie in earlier tasks.
+    ``largest``, a known bound on the rows of a group, saves counting them.
     """
-    if largest_group(df, keys) <= group_rows:
+    if (largest_group(df, keys) if largest is None else largest) <= group_rows:
         ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumn(name, ranked.cast("bigint") - 1)
 

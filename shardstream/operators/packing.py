@@ -81,7 +81,11 @@ class OpenPack:
 
 
 def pack_records(
-    df: DataFrame, limits: Limits = Limits(), order: str = "seq_in_put", group_rows: int | None = None
+    df: DataFrame,
+    limits: Limits = Limits(),
+    order: str = "seq_in_put",
+    group_rows: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Pack the records of each (put, partition key) greedily into wire records of at most the record limit.
 
@@ -103,6 +107,7 @@ def pack_records(
         place="__place",
         place_by=[],
         group_rows=group_rows,
+        largest=largest,
     )
     out = T.StructType(
         [

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import DEFAULT_SHARD
 from ..functions.records import hash_key
@@ -19,9 +19,17 @@ SHARD_MAP = ["stream_name", "shard_id", "pos", "lo_hex", "hi_hex", "lo_dec", "hi
 BUCKET_DIGITS = 3
 
 
-@F.pandas_udf(T.StringType())
-def _to_hex(decimal: pd.Series) -> pd.Series:
-    return decimal.map(lambda x: f"{int(x):032x}")
+def _hex(decimal: F.Column) -> F.Column:
+    """A decimal number below 2^128 as 32 hex digits: long division by 2^64 in steps of 13 digits."""
+    digits = F.lpad(decimal, 39, "0")
+    high, middle, low = (F.substring(digits, at, 13).cast("decimal(38,0)") for at in (1, 14, 27))
+    step, word = F.lit(10**13).cast("decimal(14,0)"), F.lit(Decimal(1 << 64)).cast("decimal(20,0)")
+    first = high * step + middle
+    rest = (first % word) * step + low
+    quotient = lambda x: ((x - x % word) / word).cast("decimal(20,0)")
+    upper = quotient(first) * step + quotient(rest)
+    part = lambda x: F.lpad(F.lower(F.conv(x.cast("decimal(20,0)").cast("string"), 10, 16)), 16, "0")
+    return F.concat(part(upper), part(rest % word))
 
 
 def shard_map(listing: DataFrame) -> DataFrame:
@@ -35,8 +43,8 @@ def shard_map(listing: DataFrame) -> DataFrame:
         "stream_name",
         "shard_id",
         "pos",
-        _to_hex(start).alias("lo_hex"),
-        _to_hex(end).alias("hi_hex"),
+        _hex(start).alias("lo_hex"),
+        _hex(end).alias("hi_hex"),
         F.lpad(start, 39, "0").alias("lo_dec"),
         F.lpad(end, 39, "0").alias("hi_dec"),
         F.col("listed_at").alias("last_updated"),
@@ -61,8 +69,14 @@ def disjoint_ranges(shards: DataFrame) -> DataFrame:
     """Cut a stream's ranges so that each hash key lies in at most one: the first listed shard wins.
 
     Runs on the shard map, never on records. Ranges are half-open texts [lo, before): a text that
-    continues ``hi_hex`` sorts after it and before the next hex number.
+    continues ``hi_hex`` sorts after it and before the next hex number. A map without overlaps, the
+    usual case, is only rewritten; one with overlaps is swept, stream by stream.
     """
+    below = Window.partitionBy("stream_name").orderBy("lo_hex", "pos").rowsBetween(Window.unboundedPreceding, -1)
+    overlaps = shards.select((F.max("hi_hex").over(below) >= F.col("lo_hex")).alias("overlaps")).filter("overlaps")
+    if overlaps.isEmpty():
+        whole = shards.filter("lo_hex <= hi_hex")
+        return whole.select("stream_name", "shard_id", F.col("lo_hex").alias("lo"), F.concat("hi_hex", F.lit("g")).alias("before"))
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf[pdf.lo_hex <= pdf.hi_hex].sort_values("pos", kind="stable")
@@ -82,33 +96,45 @@ def disjoint_ranges(shards: DataFrame) -> DataFrame:
     return slim.groupBy("stream_name").applyInPandas(cut, "stream_name string, shard_id string, lo string, before string")
 
 
-def predict_shard(df: DataFrame, shards: DataFrame | Callable[[], DataFrame], name: str = "shard_id") -> DataFrame:
-    """Add the shard whose range holds the record's hash key; a miss goes to the default shard.
+def _bucket(column: str) -> F.Column:
+    return F.conv(F.substring(column, 1, BUCKET_DIGITS), 16, 10).cast("int")
+
 
-    Only the partition key decides; an explicit hash key does not. The map is spread over buckets of
-    leading hex digits, so the lookup is an equi-join (broadcast if the map is small) with a range
-    test on what is left, and every record keeps exactly one row.
+def lookup_table(shards: DataFrame | Callable[[], DataFrame]) -> DataFrame:
+    """A shard map made ready for :func:`predict_shard`; worth keeping when records are routed repeatedly.
+
+    The disjoint ranges are spread over buckets of leading hex digits and broadcast if there are few.
     """
     shards = shards() if callable(shards) else shards
-    width = BUCKET_DIGITS
-    bucket = lambda c: F.conv(F.substring(c, 1, width), 16, 10).cast("int")
     # a cut may lie right behind a bucket's last number; the range test makes a spare bucket harmless
     pieces = disjoint_ranges(shards).select(
         F.col("stream_name").alias("__stream"),
-        F.col("shard_id").alias(name),
+        F.col("shard_id").alias("__shard"),
         "lo",
         "before",
-        F.explode(F.sequence(bucket("lo"), bucket("before"))).alias("__bucket"),
+        F.explode(F.sequence(_bucket("lo"), _bucket("before"))).alias("__bucket"),
     )
+    return small_result(pieces, max_rows=1_000_000)
+
+
+def predict_shard(df: DataFrame, shards: DataFrame | Callable[[], DataFrame], name: str = "shard_id") -> DataFrame:
+    """Add the shard whose range holds the record's hash key; a miss goes to the default shard.
+
+    ``shards`` is a shard map, a function that gives one, or a lookup table made from one. Only the
+    partition key decides; an explicit hash key does not. The lookup is an equi-join on the bucket
+    with a range test on what is left, and every record keeps exactly one row.
+    """
+    ready = not callable(shards) and "__bucket" in shards.columns
+    pieces = shards if ready else lookup_table(shards)
     keyed = df.withColumn("__hash", hash_key())
     match = (
         (F.col("stream_name") == F.col("__stream"))
-        & (bucket("__hash") == F.col("__bucket"))
+        & (_bucket("__hash") == F.col("__bucket"))
         & (F.col("__hash") >= F.col("lo"))
         & (F.col("__hash") < F.col("before"))
     )
-    routed = keyed.join(small_result(pieces, max_rows=1_000_000), match, "left")
-    return routed.select(*df.columns, F.coalesce(name, F.lit(DEFAULT_SHARD)).alias(name))
+    routed = keyed.join(pieces, match, "left")
+    return routed.select(*df.columns, F.coalesce("__shard", F.lit(DEFAULT_SHARD)).alias(name))
 
 
 def routing_report(routed: DataFrame) -> DataFrame:

@@ -44,19 +44,22 @@ def assign_chunks(
     place: str,
     place_by: list[str],
     group_rows: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add ``number`` (chunk number in the group, from 0) and ``place`` (position in the chunk).
 
-    ``longest`` bounds the rows of a chunk, ``order`` must be unique in a group.
+    ``longest`` bounds the rows of a chunk, ``order`` must be unique in a group. ``largest``, a known
+    bound on the rows of a group, saves counting them; what it says decides only how the work is split.
     """
     limit = GROUP_ROWS if group_rows is None else group_rows
     fields = [T.StructField(number, T.LongType()), T.StructField(place, T.LongType())]
-    if largest_group(df, keys) <= limit:
+    largest = largest_group(df, keys) if largest is None else largest
+    if largest <= limit:
         ordered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
         schema = T.StructType(df.schema.fields + fields)
         walk = lambda batches: chunk_batches(batches, keys, row_columns, make_chunk, number, place)
         return ordered.mapInArrow(walk, schema)
-    blocks = _assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number, limit)
+    blocks = _assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number, limit, largest)
     in_chunk = Window.partitionBy(*keys, number, *place_by).orderBy(*order)  # at most ``longest`` rows
     return blocks.withColumn(place, F.row_number().over(in_chunk).cast("bigint") - 1)
 
@@ -79,9 +82,9 @@ def chunk_batches(batches, keys, row_columns, make_chunk, number, place) -> Iter
         yield _append(batch, {number: numbers, place: places})
 
 
-def _assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number, block_rows):
+def _assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number, block_rows, largest):
     block_rows = max(block_rows, longest)
-    numbered = with_ordinal(df, keys, order, "__ordinal", group_rows=block_rows)
+    numbered = with_ordinal(df, keys, order, "__ordinal", block_rows, largest)
     numbered = numbered.withColumn("__block", F.expr(f"__ordinal div {block_rows}"))
     slim = numbered.select(*dict.fromkeys([*keys, "__block", "__ordinal", *row_columns]))
 

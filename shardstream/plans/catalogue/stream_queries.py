@@ -10,7 +10,7 @@ from ...operators import produce, routing
 from ...operators.packing import pack_records, unpack_records
 from ...session import scratch_path
 from ...sources import record_log
-from ...streaming.chunks import group_within_stream
+from ...streaming.chunks import drain, group_within_stream
 from ...streaming.process import commit_records, process_stream, read_checkpoints, route_rates
 from ...streaming.put import put_stream, refreshing
 from ..testtables import DOCUMENT_LIMITS, consumer_log, listing, micros, records, table
@@ -116,7 +116,7 @@ def stream_group_within(spark, sf_dir):
     log = stream_log(spark, sf_dir).select("stream_name", "shard_id", "sequence_number")
     chunked = group_within_stream(log, 50, 60_000, ["stream_name", "shard_id"])
     writer = chunked.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/progress")
-    finish(writer.trigger(**NOW_TRIGGER).start())
+    drain(writer.trigger(processingTime="200 milliseconds").start())
     found = spark.read.parquet(f"{base}/out")
     return found.groupBy("stream_name", "shard_id", "chunk_no").agg(F.count("*").alias("n_records"))
 

@@ -1,4 +1,4 @@
-"""The put pipeline: validate, route, pack, batch, send, account; and the loop that retries failures."""
+"""The put of a table of records: validate, route, pack, batch, send, account; and the loop that retries failures."""
 
 from __future__ import annotations
 
@@ -8,48 +8,57 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import Limits
+from ..config import GROUP_ROWS, Limits
 from ..functions import records as R
 from ..functions.retry import Policy, plan_retries
 from ..operators.batching import assign_batches
+from ..operators.ordering import largest_group
 from ..operators.packing import pack_records
 from ..operators.produce import ENTRY, PUT, put_outcomes
-from ..operators.routing import predict_shard
+from ..operators.routing import lookup_table, predict_shard
 from ..session import materialize
 
 # A put function gets the request entries and returns one response row per entry: ENTRY columns,
 # error_code, error_message, duration_s.
 PutFn = Callable[[DataFrame], DataFrame]
 
-OUTCOME = [*ENTRY, "seq_in_put", "n_bytes", "n_records", "invalid_reason", "error_code", "error_message", "duration_s"]
-
 RECORD = ["data", "partition_key", "explicit_hash_key"]
 
+OUTCOME = [*ENTRY, "seq_in_put", "n_bytes", "n_records", "invalid_reason", "error_code", "error_message", "duration_s"]
+
 
 class PutFailed(Exception):
     """Raised on request when a put ends with invalid or failed records."""
 
 
 def prepare(records: DataFrame, shards, limits: Limits = Limits(), attempt: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Entries ready to send and the invalid records. Packs on the first attempt only; routes always."""
+    """Entries ready to send and the invalid records. Packs on the first attempt only; routes always.
+
+    The records of each put are counted once, before any work is done on them: the count bounds its
+    packs and its entries as well.
+    """
+    largest = largest_group(records, PUT)
     checked = R.validate(R.with_payload_size(records), limits)
     invalid = checked.filter("invalid_reason IS NOT NULL")
     valid = checked.filter("invalid_reason IS NULL").drop("invalid_reason")
     routed = predict_shard(valid.drop("shard_id"), shards)
     if attempt:
-        batched = assign_batches(routed, limits, order=("last_batch", "last_shard", "last_index"))
+        batched = assign_batches(routed, limits, order=("last_batch", "last_shard", "last_index"), largest=largest)
     elif limits.aggregate:
-        packed = pack_records(routed, limits).withColumnRenamed("first_seq", "seq_in_put")
-        batched = assign_batches(packed, limits, order=("partition_key", "pack_no"))
+        packed = pack_records(routed, limits, largest=largest).withColumnRenamed("first_seq", "seq_in_put")
+        if largest > GROUP_ROWS:
+            packed = materialize(packed)
+        batched = assign_batches(packed, limits, order=("partition_key", "pack_no"), largest=largest)
     else:
-        batched = assign_batches(routed.withColumn("n_records", F.lit(1).cast("bigint")), limits)
+        routed = routed.withColumn("n_records", F.lit(1).cast("bigint"))
+        batched = assign_batches(routed, limits, largest=largest)
     return batched.withColumn("attempt", F.lit(attempt)), invalid.withColumn("attempt", F.lit(attempt))
 
 
 def send(records: DataFrame, shards, limits: Limits, put_fn: PutFn, attempt: int = 0) -> tuple[DataFrame, DataFrame]:
-    """One attempt. Returns its outcomes and, with their payload, the records that failed.
+    """One attempt. Returns the entries with their payload, and the outcomes.
 
-    Entries and outcomes are written out: what was sent must not change when it is read again.
+    Entries and responses are written out: what was sent must not change when it is read again.
     """
     entries, invalid = prepare(records, shards, limits, attempt)
     if not attempt:
@@ -58,14 +67,12 @@ def send(records: DataFrame, shards, limits: Limits, put_fn: PutFn, attempt: int
     answered = materialize(put_outcomes(entries.drop(*RECORD), put_fn(R.to_put_entries(entries))))
     sent = answered.withColumn("invalid_reason", F.lit(None).cast("string"))
     refused = invalid.select(*PUT, "attempt", "seq_in_put", "n_bytes", "invalid_reason")
-    outcomes = sent.unionByName(refused, allowMissingColumns=True).select(*OUTCOME)
-    errors = answered.filter("error_code IS NOT NULL").select(*ENTRY)
-    return outcomes, entries.join(errors, ENTRY, "left_semi")
+    return entries, sent.unionByName(refused, allowMissingColumns=True)
 
 
 def put(records: DataFrame, shards, limits: Limits, put_fn: PutFn) -> DataFrame:
     """Put once, without retries; returns the outcome of every record."""
-    return send(records, shards, limits, put_fn)[0]
+    return send(records, shards, limits, put_fn)[1].select(*OUTCOME)
 
 
 def put_until_done(
@@ -84,28 +91,20 @@ def put_until_done(
     Spark jobs over the records still failing; its outcomes are written out before the next. Outcomes
     of all attempts are returned, every attempt once. ``most_attempts`` ends policies that never give up.
     """
+    lookup = lookup_table(shards)
     pending, rounds = records, []
     for attempt in range(most_attempts):
-        outcomes, failed = send(pending, shards, limits, put_fn, attempt)
-        rounds.append(materialize(outcomes))
-        status = failed.withColumnRenamed("waited_ns", "cumulative_ns").withColumn("retries_so_far", F.col("attempt"))
-        again = plan_retries(status, policy).filter("decision = 'retry'")
-        pending = materialize(
-            again.select(
-                *PUT,
-                "seq_in_put",
-                "n_records",
-                *RECORD,
-                F.col("batch_no").alias("last_batch"),
-                F.col("shard_id").alias("last_shard"),
-                F.col("request_index").alias("last_index"),
-                F.col("next_cumulative_ns").alias("waited_ns"),
-                "delay_ns",
-            )
-        )
-        longest = pending.agg(F.max("delay_ns")).first()[0]
+        entries, outcomes = send(pending, lookup, limits, put_fn, attempt)
+        rounds.append(outcomes.select(*OUTCOME))
+        failed = outcomes.filter("error_code IS NOT NULL").withColumnRenamed("waited_ns", "cumulative_ns")
+        planned = plan_retries(failed.withColumn("retries_so_far", F.col("attempt")), policy).filter("decision = 'retry'")
+        longest = planned.agg(F.max("delay_ns")).first()[0]
         if longest is None:
             break
+        again = planned.select(*ENTRY, F.col("next_cumulative_ns").alias("waited_ns"))
+        last = {"batch_no": "last_batch", "shard_id": "last_shard", "request_index": "last_index"}
+        retried = entries.drop("waited_ns").join(again, ENTRY).withColumnsRenamed(last)
+        pending = materialize(retried.drop("attempt", "n_bytes"))
         if sleep is not None and longest:
             sleep(longest / 1e9)
     everything = reduce(DataFrame.unionByName, rounds)

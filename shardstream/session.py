@@ -38,13 +38,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared checkpoint folder and read on from there.
+    """Write the rows as a table in the shared checkpoint folder and read on from there.
 
     Rows that two branches of a query must see alike, or that a driver loop builds on, go through
-    here: the lineage is cut, and a lost executor costs a re-read, not another evaluation.
+    here: the lineage is cut, a lost executor costs a re-read, not another evaluation, and later
+    steps read only the columns they need.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

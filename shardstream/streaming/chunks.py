@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 class _GroupWithin(StatefulProcessor):
     """Holds the number of the open chunk, its size and when it opened; rows are passed on at once."""
@@ -63,6 +64,24 @@ class _GroupWithin(StatefulProcessor):
         pass
 
 
+def drain(query: StreamingQuery, most_s: float = 600.0) -> None:
+    """Stop a chunking query once a batch has found no new input.
+
+    A query with timers goes on running empty batches, so an ``availableNow`` trigger would not end it.
+    """
+    deadline, fed = time.monotonic() + most_s, False
+    while query.isActive and time.monotonic() < deadline:
+        for progress in query.recentProgress:
+            fed = fed or progress["numInputRows"] > 0
+        last = query.lastProgress
+        if fed and last and last["numInputRows"] == 0:
+            break
+        time.sleep(0.2)
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def group_within_stream(sdf: DataFrame, n: int, wait_ms: int, keys: list[str]) -> DataFrame:
     """Number the chunks of each key as its records arrive: adds ``chunk_no`` and ``place_in_chunk``.
 
