@@ -31,6 +31,8 @@ def decimal_hash(partition_key: str) -> str:
 
 
 def _varint(value: int) -> bytes:
+    if value < 0x80:
+        return bytes((value,))
     out = bytearray()
     while value > 0x7F:
         out.append(value & 0x7F | 0x80)
@@ -45,11 +47,12 @@ def _field(number: int, content: bytes) -> bytes:
 
 def encode_pack(partition_key: str, records: list[tuple[str, bytes]]) -> bytes:
     """Frame (hash key, data) records that share a partition key; hash keys are listed as first met."""
-    table = {h: i for i, h in enumerate(dict.fromkeys(h for h, _ in records))}
-    parts = [_field(1, partition_key.encode())]
-    parts += [_field(2, h.encode()) for h in table]
-    parts += [_field(3, b"\x08\x00\x10" + _varint(table[h]) + _field(3, data)) for h, data in records]
-    body = b"".join(parts)
+    table, entries = {}, []
+    for hash_key, data in records:
+        index = _varint(table.setdefault(hash_key, len(table)))
+        n_data = _varint(len(data))
+        entries += (b"\x1a", _varint(4 + len(index) + len(n_data) + len(data)), b"\x08\x00\x10", index, b"\x1a", n_data, data)
+    body = b"".join([_field(1, partition_key.encode()), *(_field(2, h.encode()) for h in table), *entries])
     return MAGIC + body + hashlib.md5(body).digest()
 
 

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections import Counter, deque
+from collections import deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import Limits
+from ..config import GROUP_ROWS, Limits
 from ..functions import records as R
 from ..functions.wire import FRAME_BYTES, decimal_hash, decode_pack, encode_pack, field_len, record_len
 from .batching import PUT
-from .scan import assign_chunks
+from .ordering import largest_group
+from .scan import assign_in_blocks, chunk_batches, gather
 
 # Fewest bytes a record adds to a pack (no data, hash key already listed).
 SMALLEST_ENTRY = record_len(0, 0)
@@ -29,55 +30,51 @@ class OpenPack:
         self.limit = limits.max_record_bytes
 
     def start(self, key):
-        self.partition_key = key[-1]
-        self.default_hash = decimal_hash(self.partition_key)
+        self.empty_size = FRAME_BYTES + field_len(len(key[-1].encode()))
+        self.default_hash_len = len(decimal_hash(key[-1]))
         self.clear()
 
     def clear(self):
         self.rows = deque()
         self.table = {}
-        self.uses = Counter()
-        self.size = FRAME_BYTES + field_len(len(self.partition_key.encode()))
+        self.size = self.empty_size
 
     def _added(self, explicit_hash, n_data):
-        key = self.default_hash if explicit_hash is None else explicit_hash
-        index = self.table.get(key)
-        if index is None:
-            return key, field_len(len(key.encode())) + record_len(len(self.table), n_data)
-        return key, record_len(index, n_data)
+        index = self.table.get(explicit_hash)
+        if index is not None:
+            return record_len(index, n_data)
+        n_hash = self.default_hash_len if explicit_hash is None else len(explicit_hash.encode())
+        return field_len(n_hash) + record_len(len(self.table), n_data)
 
     def fits(self, row):
-        return self.size + self._added(*row)[1] <= self.limit
+        return self.size + self._added(*row) <= self.limit
 
     def push(self, row):
-        key, added = self._added(*row)
-        self.table.setdefault(key, len(self.table))
-        self.uses[key] += 1
-        self.size += added
+        self.size += self._added(*row)
+        if row[0] not in self.table:
+            self.table[row[0]] = len(self.table)
         self.rows.append(row)
         return len(self.rows) - 1
 
     def drop_first(self):
         # table indices move when the first record goes; with at most 128 listed keys every index
         # takes one byte before and after, so the other records keep their size
-        explicit_hash, n_data = self.rows[0]
-        key = self.default_hash if explicit_hash is None else explicit_hash
+        held = self.rows
+        explicit_hash, n_data = held.popleft()
         if len(self.table) > 128:
-            held = list(self.rows)[1:]
             self.clear()
             for row in held:
                 if self.rows and not self.fits(row):
                     break
                 self.push(row)
             return len(self.rows)
-        self.rows.popleft()
-        self.uses[key] -= 1
         self.size -= record_len(0, n_data)
-        if not self.uses[key]:
-            del self.uses[key], self.table[key]
+        if not any(row[0] == explicit_hash for row in held):
+            del self.table[explicit_hash]
             self.table = {k: i for i, k in enumerate(self.table)}
-            self.size -= field_len(len(key.encode()))
-        return len(self.rows)
+            n_hash = self.default_hash_len if explicit_hash is None else len(explicit_hash.encode())
+            self.size -= field_len(n_hash)
+        return len(held)
 
 
 def pack_records(
@@ -96,19 +93,6 @@ def pack_records(
     keys = [*PUT, "partition_key"]
     slim = df.select(*keys, "shard_id", F.col(order).alias("seq_in_put"), "explicit_hash_key", "data")
     sized = slim.withColumn("__n_data", F.octet_length("data"))
-    numbered = assign_chunks(
-        sized,
-        keys,
-        ["seq_in_put"],
-        ["explicit_hash_key", "__n_data"],
-        lambda: OpenPack(limits),
-        longest=limits.max_record_bytes // SMALLEST_ENTRY + 1,
-        number="pack_no",
-        place="__place",
-        place_by=[],
-        group_rows=group_rows,
-        largest=largest,
-    )
     out = T.StructType(
         [
             *(df.schema[k] for k in keys),
@@ -122,8 +106,20 @@ def pack_records(
             T.StructField("data", T.BinaryType()),
         ]
     )
-    pack = [*keys, "pack_no"]
-    together = numbered.repartition(*keys, "pack_no").sortWithinPartitions(*pack, "seq_in_put")
+    pack, row_columns = [*keys, "pack_no"], ["explicit_hash_key", "__n_data"]
+    make_chunk = lambda: OpenPack(limits)
+    limit = GROUP_ROWS if group_rows is None else group_rows
+    largest = largest_group(df, keys) if largest is None else largest
+    if largest <= limit:  # number and build in one pass over the sorted groups
+
+        def build(batches):
+            numbered = chunk_batches(batches, keys, row_columns, make_chunk, "pack_no", "__place")
+            return _build_packs(numbered, pack, limits.max_record_bytes, out.names)
+
+        return R.with_payload_size(gather(sized, keys, ["seq_in_put"]).mapInArrow(build, out))
+    longest = limits.max_record_bytes // SMALLEST_ENTRY + 1
+    numbered = assign_in_blocks(sized, keys, ["seq_in_put"], row_columns, make_chunk, longest, "pack_no", limit, largest)
+    together = gather(numbered, pack, ["seq_in_put"])  # a pack may begin in one block and end in the next
     packed = together.mapInArrow(lambda batches: _build_packs(batches, pack, limits.max_record_bytes, out.names), out)
     return R.with_payload_size(packed)
 

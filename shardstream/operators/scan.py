@@ -33,6 +33,16 @@ from ..config import GROUP_ROWS
 from .ordering import largest_group, with_ordinal
 
 
+def gather(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Bring groups together, sorted, one or more groups per task.
+
+    The number of partitions is the session's shuffle setting: what follows is Python, bound by
+    rows and not by bytes, so partitions must not be merged for being small in bytes.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, *order)
+
+
 def assign_chunks(
     df: DataFrame,
     keys: list[str],
@@ -52,14 +62,12 @@ def assign_chunks(
     bound on the rows of a group, saves counting them; what it says decides only how the work is split.
     """
     limit = GROUP_ROWS if group_rows is None else group_rows
-    fields = [T.StructField(number, T.LongType()), T.StructField(place, T.LongType())]
     largest = largest_group(df, keys) if largest is None else largest
     if largest <= limit:
-        ordered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-        schema = T.StructType(df.schema.fields + fields)
+        fields = [T.StructField(number, T.LongType()), T.StructField(place, T.LongType())]
         walk = lambda batches: chunk_batches(batches, keys, row_columns, make_chunk, number, place)
-        return ordered.mapInArrow(walk, schema)
-    blocks = _assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number, limit, largest)
+        return gather(df, keys, order).mapInArrow(walk, T.StructType(df.schema.fields + fields))
+    blocks = assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number, limit, largest)
     in_chunk = Window.partitionBy(*keys, number, *place_by).orderBy(*order)  # at most ``longest`` rows
     return blocks.withColumn(place, F.row_number().over(in_chunk).cast("bigint") - 1)
 
@@ -82,7 +90,18 @@ def chunk_batches(batches, keys, row_columns, make_chunk, number, place) -> Iter
         yield _append(batch, {number: numbers, place: places})
 
 
-def _assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number, block_rows, largest):
+def assign_in_blocks(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    row_columns: list[str],
+    make_chunk: Callable[[], object],
+    longest: int,
+    number: str,
+    block_rows: int,
+    largest: int,
+) -> DataFrame:
+    """Add the chunk number, with every group cut into blocks that are walked in parallel."""
     block_rows = max(block_rows, longest)
     numbered = with_ordinal(df, keys, order, "__ordinal", block_rows, largest)
     numbered = numbered.withColumn("__block", F.expr(f"__ordinal div {block_rows}"))
@@ -98,8 +117,7 @@ def _assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number,
     ints = T.ArrayType(T.IntegerType())
     map_schema = T.StructType(group_fields + [T.StructField("exits", ints), T.StructField("counts", ints)])
     maps = (
-        seen.repartition(*keys, "__block")
-        .sortWithinPartitions(*keys, "__block", "__ordinal")
+        gather(seen, [*keys, "__block"], ["__ordinal"])
         .mapInArrow(
             lambda batches: _block_maps(batches, keys, row_columns, make_chunk, block_rows, longest, map_schema.names),
             map_schema,
@@ -109,8 +127,7 @@ def _assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number,
         group_fields + [T.StructField("__entry", T.LongType()), T.StructField("__first", T.LongType())]
     )
     starts = (
-        maps.repartition(*keys)
-        .sortWithinPartitions(*keys, "__block")
+        gather(maps, keys, ["__block"])
         .mapInArrow(lambda batches: _follow(batches, keys, start_schema.names), start_schema)
     )
     # a block's start travels as a row ahead of the block: one shuffle and no join
@@ -121,8 +138,7 @@ def _assign_in_blocks(df, keys, order, row_columns, make_chunk, longest, number,
         + [T.StructField(number, T.LongType())]
     )
     walked = (
-        headed.repartition(*keys, "__block")
-        .sortWithinPartitions(*keys, "__block", "__ordinal")
+        gather(headed, [*keys, "__block"], ["__ordinal"])
         .mapInArrow(lambda batches: _chunk_blocks(batches, keys, row_columns, make_chunk, number), out)
     )
     return walked.select(*df.columns, number)
