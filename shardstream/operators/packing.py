@@ -14,7 +14,7 @@ from ..functions import records as R
 from ..functions.wire import FRAME_BYTES, decimal_hash, decode_pack, encode_pack, field_len, record_len
 from .batching import PUT
 from .ordering import largest_group
-from .scan import assign_in_blocks, chunk_batches, gather
+from .scan import assign_chunks, assign_in_blocks, chunk_batches, gather
 
 # Fewest bytes a record adds to a pack (no data, hash key already listed).
 SMALLEST_ENTRY = record_len(0, 0)
@@ -124,6 +124,48 @@ def pack_records(
     return R.with_payload_size(packed)
 
 
+def packed_sizes(
+    df: DataFrame, limits: Limits = Limits(), order: str = "seq_in_put", group_rows: int | None = None
+) -> DataFrame:
+    """Add to each record its ``pack_no`` and ``packed_size``: the bytes it adds to its pack.
+
+    The first record of a pack also pays for the partition key; each hash key is paid for once.
+    """
+    keys, row_columns = [*PUT, "partition_key"], ["explicit_hash_key", "__n_data"]
+    sized = df.withColumn("__n_data", F.octet_length("data"))
+    numbered = assign_chunks(
+        sized,
+        keys,
+        [order],
+        row_columns,
+        lambda: OpenPack(limits),
+        longest=limits.max_record_bytes // SMALLEST_ENTRY + 1,
+        number="pack_no",
+        place="__place",
+        place_by=[],
+        group_rows=group_rows,
+    ).drop("__place")
+    pack = [*keys, "pack_no"]
+    schema = T.StructType([*numbered.schema.fields, T.StructField("packed_size", T.LongType())])
+    measured = gather(numbered, pack, [order]).mapInArrow(lambda batches: _measure(batches, pack, row_columns, limits), schema)
+    return measured.drop("__n_data")
+
+
+def _measure(batches, pack, row_columns, limits):
+    chunk, current = OpenPack(limits), None
+    for batch in batches:
+        sizes = []
+        keys = zip(*(batch.column(c).to_pylist() for c in pack))
+        for key, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in row_columns))):
+            before = chunk.size if key == current else FRAME_BYTES
+            if key != current:
+                current = key
+                chunk.start(key[:-1])
+            chunk.push(row)
+            sizes.append(chunk.size - before)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64())], names=[*batch.schema.names, "packed_size"])
+
+
 def _build_packs(batches, pack, limit, names):
     current, shard, first, records, types = None, None, None, [], None
 

@@ -38,10 +38,13 @@ def error_counts(outcomes: DataFrame) -> DataFrame:
 
 
 def merge_attempts(outcomes: DataFrame) -> DataFrame:
-    """Outcomes over all attempts of a put: successes and invalid records add up, failures count last attempt only."""
-    last = outcomes.groupBy(*PUT).agg(F.max("attempt").alias("__last"))
-    superseded = F.col("error_code").isNotNull() & (F.col("attempt") < F.col("__last"))
-    return outcomes.join(last, PUT).filter(~superseded).drop("__last")
+    """Outcomes over all attempts of a put: successes and invalid records add up, failures count last attempt only.
+
+    Only failures are joined with their put's last attempt; all other rows stay where they are.
+    """
+    last = outcomes.groupBy(*PUT).agg(F.max("attempt").alias("attempt"))
+    failed = outcomes.filter("error_code IS NOT NULL").join(last, [*PUT, "attempt"], "left_semi")
+    return outcomes.filter("error_code IS NULL").unionByName(failed)
 
 
 def put_summary(outcomes: DataFrame) -> DataFrame:

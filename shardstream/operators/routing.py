@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from decimal import Decimal
 
 import pandas as pd
@@ -15,8 +16,13 @@ from ..session import small_result
 
 SHARD_MAP = ["stream_name", "shard_id", "pos", "lo_hex", "hi_hex", "lo_dec", "hi_dec", "last_updated"]
 
-# leading hex digits of a hash key that spread a shard map over join buckets
-BUCKET_DIGITS = 3
+
+@dataclass(frozen=True)
+class Lookup:
+    """A shard map made ready for routing: its ranges by the leading hex digits of the hash keys they hold."""
+
+    pieces: DataFrame
+    digits: int
 
 
 def _hex(decimal: F.Column) -> F.Column:
@@ -96,44 +102,43 @@ def disjoint_ranges(shards: DataFrame) -> DataFrame:
     return slim.groupBy("stream_name").applyInPandas(cut, "stream_name string, shard_id string, lo string, before string")
 
 
-def _bucket(column: str) -> F.Column:
-    return F.conv(F.substring(column, 1, BUCKET_DIGITS), 16, 10).cast("int")
-
-
-def lookup_table(shards: DataFrame | Callable[[], DataFrame]) -> DataFrame:
-    """A shard map made ready for :func:`predict_shard`; worth keeping when records are routed repeatedly.
+def lookup_table(shards: DataFrame | Callable[[], DataFrame]) -> Lookup:
+    """Prepare a shard map for :func:`predict_shard`; worth keeping when records are routed repeatedly.
 
-    The disjoint ranges are spread over buckets of leading hex digits and broadcast if there are few.
+    There are at least as many buckets as a stream has shards, so a bucket holds few ranges if the
+    shards are of similar width. The table is broadcast if it is small.
     """
     shards = shards() if callable(shards) else shards
+    per_stream = shards.groupBy("stream_name").count().agg(F.max("count")).first()[0] or 0
+    digits = 1 if per_stream <= 16 else 2 if per_stream <= 256 else 3
+    bucket = lambda c: F.conv(F.substring(c, 1, digits), 16, 10).cast("int")
     # a cut may lie right behind a bucket's last number; the range test makes a spare bucket harmless
     pieces = disjoint_ranges(shards).select(
         F.col("stream_name").alias("__stream"),
         F.col("shard_id").alias("__shard"),
         "lo",
         "before",
-        F.explode(F.sequence(_bucket("lo"), _bucket("before"))).alias("__bucket"),
+        F.explode(F.sequence(bucket("lo"), bucket("before"))).alias("__bucket"),
     )
-    return small_result(pieces, max_rows=1_000_000)
+    return Lookup(small_result(pieces, max_rows=500_000), digits)
 
 
-def predict_shard(df: DataFrame, shards: DataFrame | Callable[[], DataFrame], name: str = "shard_id") -> DataFrame:
+def predict_shard(df: DataFrame, shards: DataFrame | Lookup | Callable[[], DataFrame], name: str = "shard_id") -> DataFrame:
     """Add the shard whose range holds the record's hash key; a miss goes to the default shard.
 
-    ``shards`` is a shard map, a function that gives one, or a lookup table made from one. Only the
-    partition key decides; an explicit hash key does not. The lookup is an equi-join on the bucket
-    with a range test on what is left, and every record keeps exactly one row.
+    ``shards`` is a shard map, a function that gives one, or a lookup made from one. Only the partition
+    key decides; an explicit hash key does not. The lookup is an equi-join on the bucket with a range
+    test on what is left, and every record keeps exactly one row.
     """
-    ready = not callable(shards) and "__bucket" in shards.columns
-    pieces = shards if ready else lookup_table(shards)
+    lookup = shards if isinstance(shards, Lookup) else lookup_table(shards)
     keyed = df.withColumn("__hash", hash_key())
     match = (
         (F.col("stream_name") == F.col("__stream"))
-        & (_bucket("__hash") == F.col("__bucket"))
+        & (F.conv(F.substring("__hash", 1, lookup.digits), 16, 10).cast("int") == F.col("__bucket"))
         & (F.col("__hash") >= F.col("lo"))
         & (F.col("__hash") < F.col("before"))
     )
-    routed = keyed.join(pieces, match, "left")
+    routed = keyed.join(lookup.pieces, match, "left")
     return routed.select(*df.columns, F.coalesce("__shard", F.lit(DEFAULT_SHARD)).alias(name))
 
 

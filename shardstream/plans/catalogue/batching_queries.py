@@ -1,5 +1,6 @@
 """Queries that batch, chunk, pack and unpack."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ...config import Limits
@@ -7,7 +8,7 @@ from ...functions import records as R
 from ...operators import routing
 from ...operators.batching import assign_batches, batch_summary, chunk_puts, group_within, with_request_index
 from ...operators.consume import reconcile, reconcile_summary
-from ...operators.packing import pack_records, unpack_records
+from ...operators.packing import pack_records, packed_sizes, unpack_records
 from ..put import prepare
 from ..testtables import DOCUMENT_LIMITS, consumer_log, document_records, listing, micros, records
 from .registry import DOCUMENTS, HEX_VALUE, RECORDS, query, ranges_sql
@@ -210,6 +211,20 @@ def pack_counts_large_puts(spark, sf_dir):
     return _packs(pack_records(documents_to_pack(spark, sf_dir), DOCUMENT_LIMITS, group_rows=8))
 
 
+@query(
+    "packed_sizes",
+    f"""{PACKED.rsplit('SELECT put_id', 1)[0].rstrip()[:-1].replace('[h] AS hs FROM', '[h] AS hs, frame - 20 + listed + entry AS own FROM').replace(
+        'ELSE list_append(hs, h) END', 'ELSE list_append(hs, h) END, CASE WHEN grown <= 8192 THEN grown - before ELSE frame - 20 + listed + entry END'
+    ).replace('w.pack_no, w.hs,', 'w.pack_no, w.hs, w.size AS before,')})
+        SELECT put_id, partition_key, rn, CAST(pack_no AS BIGINT) AS pack_no, CAST(own AS BIGINT) AS packed_size FROM walk""",
+)
+def sizes_in_packs(spark, sf_dir):
+    measured = packed_sizes(documents_to_pack(spark, sf_dir), DOCUMENT_LIMITS)
+    place = Window.partitionBy("put_id", "partition_key").orderBy("seq_in_put")  # a put's documents of one source
+    numbered = measured.withColumn("rn", F.row_number().over(place).cast("bigint"))
+    return numbered.select("put_id", "partition_key", "rn", "pack_no", "packed_size")
+
+
 @query("pack_wire_digest")
 def pack_wire_digest(spark, sf_dir):
     packed = pack_records(documents_to_pack(spark, sf_dir), DOCUMENT_LIMITS)

@@ -27,9 +27,13 @@ CONSUMER_RECORD = T.StructType(
 
 
 def write_record_log(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Land consumer records. One directory per stream; shards stay columns, since a stream may have thousands."""
+    """Land consumer records. One directory per stream; shards stay columns, since a stream may have thousands.
+
+    Rows are rebalanced by stream before: small streams share a task, a hot one is split over many,
+    and files come out evenly sized.
+    """
     columns = [f.name for f in CONSUMER_RECORD.fields]
-    df.select(*columns).write.mode(mode).partitionBy("stream_name").parquet(path)
+    df.select(*columns).hint("rebalance", "stream_name").write.mode(mode).partitionBy("stream_name").parquet(path)
 
 
 def read_record_log(

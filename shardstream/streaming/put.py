@@ -18,12 +18,15 @@ log = logging.getLogger(__name__)
 REFRESH_S = 3600.0
 
 
-def refreshing(load: Callable[[], DataFrame], ttl_s: float = REFRESH_S, clock=time.monotonic) -> Callable[[], DataFrame]:
+def refreshing(
+    load: Callable[[], DataFrame], ttl_s: float = REFRESH_S, empty: DataFrame | None = None, clock=time.monotonic
+) -> Callable[[], DataFrame]:
     """A shard-map supplier that loads again once its map is older than ``ttl_s``.
 
-    A failed load keeps the map in use; without any successful load the error is raised.
+    A failed load keeps the map in use. Before the first success that is the ``empty`` map, with which
+    every record goes to the default shard; without one the error is raised.
     """
-    held: dict = {}
+    held: dict = {} if empty is None else {"map": empty}
 
     def current() -> DataFrame:
         if "at" not in held or clock() - held["at"] >= ttl_s:

@@ -106,4 +106,13 @@ def test_report(spark, listing):
 def test_map_supplier_and_lookup_table(spark, listing):
     shards = routing.shard_map(listing([("a", 0, TOP - 1)]))
     assert route(spark, lambda: shards, ["x"]) == {"x": "a"}
-    assert route(spark, routing.lookup_table(shards), ["x"]) == {"x": "a"}
+    lookup = routing.lookup_table(shards)
+    assert lookup.digits == 1
+    assert route(spark, lookup, ["x"]) == {"x": "a"}
+
+
+def test_many_shards_use_more_buckets(spark, listing):
+    ranges = [(f"n{i}", (i << 128) // 300, ((i + 1) << 128) // 300 - 1) for i in range(300)]
+    lookup = routing.lookup_table(routing.shard_map(listing(ranges)))
+    assert lookup.digits == 3
+    assert route(spark, lookup, KEYS) == expected(ranges, KEYS)

@@ -138,3 +138,12 @@ def test_refresh_keeps_the_map_when_loading_fails():
         now[0] = t
         seen.append(current())
     assert seen == [1, 1, 2, 2, 2, 4]
+
+
+def test_empty_map_before_the_first_success():
+    def down():
+        raise RuntimeError("down")
+
+    assert refreshing(down, empty="nothing")() == "nothing"
+    with pytest.raises(RuntimeError):
+        refreshing(down)()
