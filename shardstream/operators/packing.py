@@ -208,66 +208,74 @@ def _build_packs(batches, pack, limit, names):
         yield flush(done)
 
 
-UNPACKED = ["data", "partition_key", "explicit_hash_key", "sub_sequence_number"]
+OPENED = T.StructType(
+    [
+        T.StructField("error", T.StringType()),
+        T.StructField(
+            "records",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("partition_key", T.StringType()),
+                        T.StructField("explicit_hash_key", T.StringType()),
+                        T.StructField("data", T.BinaryType()),
+                    ]
+                )
+            ),
+        ),
+    ]
+)
 
 
 def unpack_records(df: DataFrame, on_error: str = "fail", verify_digest: bool = False) -> DataFrame:
     """Packed consumer records become one row per inner record; all other records pass unchanged.
 
-    Inner records inherit every other column and are numbered by ``sub_sequence_number``. Only packed
-    rows leave the JVM. A malformed pack fails the query, or with ``on_error='quarantine'`` stays as
-    it is with the reason in ``unpack_error``. The digest is checked only if asked.
+    Inner records inherit every other column and are numbered by ``sub_sequence_number``. The rows are
+    read once; only the data of packed ones leaves the JVM. A malformed pack fails the query, or with
+    ``on_error='quarantine'`` stays as it is with the reason in ``unpack_error``. The digest is checked
+    only if asked.
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError("on_error is 'fail' or 'quarantine'")
     quarantine = on_error == "quarantine"
-    columns = df.columns
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
     packed = R.is_aggregated()
-    plain = df.filter(~packed)
-    packs = df.filter(packed)
     if verify_digest:
         body = F.expr(f"substring(data, {len(R.MAGIC) + 1}, octet_length(data) - {FRAME_BYTES})")
         digest = F.lower(F.hex(F.substring("data", -R.DIGEST_BYTES, R.DIGEST_BYTES)))
-        packs = packs.withColumn("__intact", F.md5(body) == digest)
+        intact = F.when(packed, F.md5(body) == digest)
     else:
-        packs = packs.withColumn("__intact", F.lit(True))
-    if quarantine:
-        schema = schema.add("unpack_error", T.StringType())
-        plain = plain.withColumn("unpack_error", F.lit(None).cast("string"))
-    inner = packs.mapInArrow(lambda batches: _open_packs(batches, columns, quarantine), schema)
-    return plain.select(*schema.names).unionByName(inner)
-
-
-def _open_packs(batches, columns, quarantine, rows_out=20_000):
-    for batch in batches:
-        intact = batch.column("__intact").to_pylist()
-        source, opened = [], []
-        for i, data in enumerate(batch.column("data")):
-            try:
-                if not intact[i]:
-                    raise ValueError("digest does not match")
-                inner = [(payload, key, hash_, sub, None) for sub, (key, hash_, payload) in enumerate(decode_pack(data.as_py()))]
-            except ValueError as problem:
-                if not quarantine:
-                    raise
-                inner = [tuple(batch.column(c)[i].as_py() for c in UNPACKED) + (str(problem),)]
-            source += [i] * len(inner)
-            opened += inner
-            if len(source) >= rows_out:
-                yield _inherit(batch, source, opened, columns, quarantine)
-                source, opened = [], []
-        if source:
-            yield _inherit(batch, source, opened, columns, quarantine)
-
-
-def _inherit(batch, source, opened, columns, quarantine):
-    """Rows for the opened records, with all other columns taken from their packed row."""
-    outer = batch.take(pa.array(source, pa.int64()))
-    fresh = dict(zip([*UNPACKED, "unpack_error"], zip(*opened)))
-    arrays = [pa.array(fresh[c], batch.schema.field(c).type) if c in fresh else outer.column(c) for c in columns]
-    names = list(columns)
-    if quarantine:
-        arrays.append(pa.array(fresh["unpack_error"], pa.string()))
-        names.append("unpack_error")
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+        intact = F.lit(True)
+    decode = F.arrow_udf(lambda data, good: _open_packs(data, good, quarantine), OPENED)
+    opened = df.withColumn("__opened", decode(F.when(packed, F.col("data")), intact))
+    rows = opened.select("*", F.posexplode_outer("__opened.records").alias("__sub", "__inner"))
+    is_inner, error = F.col("__inner").isNotNull(), F.col("__opened.error")
+    # a pack may hold no records at all; then nothing is left of it
+    rows = rows.filter(is_inner | F.col("__opened").isNull() | error.isNotNull())
+    fresh = {
+        "data": F.col("__inner.data"),
+        "partition_key": F.col("__inner.partition_key"),
+        "explicit_hash_key": F.col("__inner.explicit_hash_key"),
+        "sub_sequence_number": F.col("__sub").cast(df.schema["sub_sequence_number"].dataType),
+    }
+    columns = [F.when(is_inner, fresh[c]).otherwise(F.col(c)).alias(c) if c in fresh else F.col(c) for c in df.columns]
+    return rows.select(*columns, *([error.alias("unpack_error")] if quarantine else []))
+
+
+def _open_packs(data: pa.Array, intact: pa.Array, quarantine: bool) -> pa.Array:
+    """The records of each packed value; null stays null."""
+    opened = []
+    for value, good in zip(data, intact.to_pylist()):
+        if not value.is_valid:
+            opened.append(None)
+            continue
+        try:
+            if not good:
+                raise ValueError("digest does not match")
+            names = ("partition_key", "explicit_hash_key", "data")
+            opened.append({"error": None, "records": [dict(zip(names, record)) for record in decode_pack(value.as_py())]})
+        except ValueError as problem:
+            if not quarantine:
+                raise
+            opened.append({"error": str(problem), "records": None})
+    inner = pa.struct([("partition_key", pa.string()), ("explicit_hash_key", pa.string()), ("data", pa.binary())])
+    return pa.array(opened, pa.struct([("error", pa.string()), ("records", pa.list_(inner))]))

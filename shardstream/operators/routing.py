@@ -147,12 +147,12 @@ def routing_report(routed: DataFrame) -> DataFrame:
     per_shard = routed.groupBy("stream_name", "shard_id").agg(
         F.count("*").alias("n_records"), F.sum("n_bytes").alias("n_bytes")
     )
-    totals = per_shard.groupBy("stream_name").agg(F.sum("n_records").alias("__total"))
-    return per_shard.join(totals, "stream_name").select(
+    total = F.sum("n_records").over(Window.partitionBy("stream_name"))  # over one row per shard
+    return per_shard.select(
         "stream_name",
         "shard_id",
         "n_records",
         "n_bytes",
-        (F.col("n_records") / F.col("__total")).alias("share"),
+        (F.col("n_records") / total).alias("share"),
         (F.col("shard_id") == DEFAULT_SHARD).alias("missed"),
     )

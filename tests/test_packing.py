@@ -123,13 +123,20 @@ def test_unpack_round_trip(records):
     assert [r.sub_sequence_number for r in order] == list(range(len(order)))
 
 
-def test_plain_records_stay_in_the_jvm(records):
-    plain = consumed(records([(0, 0, "foo", b"foo")]))
-    opened = unpack_records(plain)
-    assert opened.collect() == plain.collect()
+def test_only_packed_data_leaves_the_jvm(spark, records, tmp_path):
+    plain = consumed(records([(0, i, "foo", b"foo") for i in range(10)]))
+    plain.write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    opened = unpack_records(log)
+    assert sorted(opened.collect()) == sorted(log.collect())
     plan = opened._jdf.queryExecution().executedPlan().toString()
-    branches = plan.split("MapInArrow")
-    assert len(branches) == 2 and "Exchange" not in plan
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "MapInArrow" not in plan
+    assert "ArrowEvalPython" in plan
+
+
+def test_pack_without_records_leaves_nothing(spark):
+    empty = encode_pack("foo", [])
+    assert unpack_records(broken(spark, empty)).count() == 0
 
 
 def broken(spark, data):
