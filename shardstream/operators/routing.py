@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_SHARD
 from ..functions.records import hash_key
-from ..session import small_result
+from ..session import materialize
 
 SHARD_MAP = ["stream_name", "shard_id", "pos", "lo_hex", "hi_hex", "lo_dec", "hi_dec", "last_updated"]
 
+# rows a lookup may have to be broadcast (each holds two texts of 32 digits and two names)
+LOOKUP_ROWS = 500_000
+
 
 @dataclass(frozen=True)
 class Lookup:
@@ -71,56 +74,57 @@ def shard_map_as_of(listings: DataFrame, now, ttl_us: int = 3_600_000_000) -> Da
     return current.withColumn("stale", age >= ttl_us)
 
 
-def disjoint_ranges(shards: DataFrame) -> DataFrame:
-    """Cut a stream's ranges so that each hash key lies in at most one: the first listed shard wins.
+def _cut_overlaps(shards: DataFrame) -> DataFrame:
+    """Cut each stream's ranges so that a hash key lies in at most one: the first listed shard wins.
 
-    Runs on the shard map, never on records. Ranges are half-open texts [lo, before): a text that
-    continues ``hi_hex`` sorts after it and before the next hex number. A map without overlaps, the
-    usual case, is only rewritten; one with overlaps is swept, stream by stream.
+    Runs on the shard map, stream by stream, never on records.
     """
-    below = Window.partitionBy("stream_name").orderBy("lo_hex", "pos").rowsBetween(Window.unboundedPreceding, -1)
-    overlaps = shards.select((F.max("hi_hex").over(below) >= F.col("lo_hex")).alias("overlaps")).filter("overlaps")
-    if overlaps.isEmpty():
-        whole = shards.filter("lo_hex <= hi_hex")
-        return whole.select("stream_name", "shard_id", F.col("lo_hex").alias("lo"), F.concat("hi_hex", F.lit("g")).alias("before"))
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf[pdf.lo_hex <= pdf.hi_hex].sort_values("pos", kind="stable")
-        edges = sorted(set(pdf.lo_hex) | {hi + "g" for hi in pdf.hi_hex})
-        starts = {lo: [] for lo in edges}
+        pdf = pdf[pdf.lo <= pdf.before]
+        edges = sorted({*pdf.lo, *pdf.before})
+        starts = {edge: [] for edge in edges}
         for row in pdf.itertuples(index=False):
-            starts[row.lo_hex].append((row.pos, row.hi_hex + "g", row.shard_id))
+            starts[row.lo].append((row.pos, row.before, row.shard_id))
         pieces, live = [], []
         for lo, before in zip(edges, edges[1:]):
-            live = sorted(live + starts[lo])
-            live = [shard for shard in live if shard[1] > lo]
+            live = sorted(shard for shard in live + starts[lo] if shard[1] > lo)
             if live:
                 pieces.append((pdf.stream_name.iloc[0], live[0][2], lo, before))
         return pd.DataFrame(pieces, columns=["stream_name", "shard_id", "lo", "before"])
 
-    slim = shards.select("stream_name", "shard_id", "pos", "lo_hex", "hi_hex")
-    return slim.groupBy("stream_name").applyInPandas(cut, "stream_name string, shard_id string, lo string, before string")
+    return shards.groupBy("stream_name").applyInPandas(cut, "stream_name string, shard_id string, lo string, before string")
 
 
 def lookup_table(shards: DataFrame | Callable[[], DataFrame]) -> Lookup:
     """Prepare a shard map for :func:`predict_shard`; worth keeping when records are routed repeatedly.
 
     There are at least as many buckets as a stream has shards, so a bucket holds few ranges if the
-    shards are of similar width. The table is broadcast if it is small.
+    shards are of similar width. The table is broadcast if a bound on its rows is small.
     """
-    shards = shards() if callable(shards) else shards
-    per_stream = shards.groupBy("stream_name").count().agg(F.max("count")).first()[0] or 0
-    digits = 1 if per_stream <= 16 else 2 if per_stream <= 256 else 3
+    shards = materialize(shards() if callable(shards) else shards)
+    below = Window.partitionBy("stream_name").orderBy("lo_hex", "pos").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = shards.filter("lo_hex <= hi_hex")
+    checked = ranges.select("stream_name", (F.max("hi_hex").over(below) >= F.col("lo_hex")).alias("overlaps"))
+    per_stream = checked.groupBy("stream_name").agg(F.count("*").alias("n"), F.max("overlaps").alias("overlaps"))
+    most, total, streams, overlaps = per_stream.agg(
+        F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.max("overlaps")
+    ).first()
+    # half-open texts: one that continues hi_hex sorts after it and before the next hex number
+    ranges = ranges.select("stream_name", "shard_id", "pos", F.col("lo_hex").alias("lo"), F.concat("hi_hex", F.lit("g")).alias("before"))
+    disjoint = _cut_overlaps(ranges) if overlaps else ranges
+    digits = 1 if most <= 16 else 2 if most <= 256 else 3
     bucket = lambda c: F.conv(F.substring(c, 1, digits), 16, 10).cast("int")
     # a cut may lie right behind a bucket's last number; the range test makes a spare bucket harmless
-    pieces = disjoint_ranges(shards).select(
+    pieces = disjoint.select(
         F.col("stream_name").alias("__stream"),
         F.col("shard_id").alias("__shard"),
         "lo",
         "before",
         F.explode(F.sequence(bucket("lo"), bucket("before"))).alias("__bucket"),
     )
-    return Lookup(small_result(pieces, max_rows=500_000), digits)
+    most_rows = 2 * total + streams * 16**digits
+    return Lookup(F.broadcast(pieces) if most_rows <= LOOKUP_ROWS else pieces, digits)
 
 
 def predict_shard(df: DataFrame, shards: DataFrame | Lookup | Callable[[], DataFrame], name: str = "shard_id") -> DataFrame:
