@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +16,8 @@ log = logging.getLogger(__name__)
 
 COMMIT_RETRIES = 5
 
+STORED = "stream_name string, shard_id string, sequence_number string, sub_sequence_number long"
+
 
 def write_checkpoints(new: DataFrame, path: str, batch_id: int) -> None:
     """Store a batch's checkpoints. A batch that is run again overwrites its own folder only."""
@@ -22,8 +25,14 @@ def write_checkpoints(new: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
-    """The furthest stored position of each shard."""
-    return checkpoints(spark.read.parquet(path))
+    """The furthest stored position of each shard; none before the first commit."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = spark.createDataFrame([], STORED)
+    return checkpoints(stored)
 
 
 def _retrying(commit: Callable[[], None], retries: int = COMMIT_RETRIES) -> None:

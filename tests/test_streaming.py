@@ -83,14 +83,36 @@ def test_empty_batches(spark, land, tmp_path, call_on_empty):
     assert bool(calls) is call_on_empty
 
 
-def test_chunks_by_count(spark, land, tmp_path):
-    log = read_record_log(spark, land(0, 50), streaming=True).select("stream_name", "shard_id", "sequence_number")
-    chunked = group_within_stream(log, 10, 600_000, ["stream_name", "shard_id"])
-    writer = chunked.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "p"))
-    drain(writer.trigger(processingTime="100 milliseconds").start(), 60)
-    rows = spark.read.parquet(str(tmp_path / "o")).groupBy("shard_id", "chunk_no").agg(F.count("*").alias("n"), F.max("place_in_chunk").alias("m"))
-    found = sorted((r.shard_id, r.chunk_no, r.n, r.m) for r in rows.collect())
-    assert found == [(s, c, *((10, 9) if c < 2 else (5, 4))) for s in ("shard-0", "shard-1") for c in range(3)]
+def test_no_checkpoints_before_the_first_commit(spark, tmp_path):
+    assert read_checkpoints(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_chunks_by_count_go_on_after_a_restart(spark, land, tmp_path):
+    out = str(tmp_path / "o")
+
+    def run(path):
+        log = read_record_log(spark, path, streaming=True).select("stream_name", "shard_id", "sequence_number")
+        chunked = group_within_stream(log, 10, 600_000, ["stream_name", "shard_id"])
+        writer = chunked.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "p"))
+        drain(writer.trigger(processingTime="100 milliseconds").start(), 60)
+        rows = spark.read.parquet(out).groupBy("shard_id", "chunk_no").agg(F.count("*").alias("n"), F.max("place_in_chunk").alias("m"))
+        return sorted((r.shard_id, r.chunk_no, r.n, r.m) for r in rows.collect())
+
+    shards = ("shard-0", "shard-1")
+    assert run(land(0, 50)) == [(s, c, *((10, 9) if c < 2 else (5, 4))) for s in shards for c in range(3)]
+    assert run(land(50, 70)) == [(s, c, *((10, 9) if c < 3 else (5, 4))) for s in shards for c in range(4)]
+
+
+def test_chunks_by_time(spark, land, tmp_path):
+    """With no time to wait, what arrives later opens a new chunk."""
+    out = str(tmp_path / "o")
+    for start, stop in ((0, 4), (4, 8)):
+        log = read_record_log(spark, land(start, stop), streaming=True).select("stream_name", "sequence_number")
+        chunked = group_within_stream(log, 100, 1, ["stream_name"])
+        writer = chunked.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "p"))
+        drain(writer.trigger(processingTime="100 milliseconds").start(), 60)
+    sizes = [r["count"] for r in spark.read.parquet(out).groupBy("chunk_no").count().orderBy("chunk_no").collect()]
+    assert sum(sizes) == 8 and len(sizes) >= 2
 
 
 def test_put_stream(spark, land, tmp_path):
