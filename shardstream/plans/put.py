@@ -31,13 +31,15 @@ class PutFailed(Exception):
     """Raised on request when a put ends with invalid or failed records."""
 
 
-def prepare(records: DataFrame, shards, limits: Limits = Limits(), attempt: int = 0) -> tuple[DataFrame, DataFrame]:
+def prepare(
+    records: DataFrame, shards, limits: Limits = Limits(), attempt: int = 0, largest: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Entries ready to send and the invalid records. Packs on the first attempt only; routes always.
 
-    The records of each put are counted once, before any work is done on them: the count bounds its
-    packs and its entries as well.
+    The records of each put are counted before any work is done on them, unless a bound is given: the
+    count bounds its packs and its entries as well.
     """
-    largest = largest_group(records, PUT)
+    largest = largest_group(records, PUT) if largest is None else largest
     checked = R.validate(R.with_payload_size(records), limits)
     invalid = checked.filter("invalid_reason IS NOT NULL")
     valid = checked.filter("invalid_reason IS NULL").drop("invalid_reason")
@@ -55,12 +57,14 @@ def prepare(records: DataFrame, shards, limits: Limits = Limits(), attempt: int
     return batched.withColumn("attempt", F.lit(attempt)), invalid.withColumn("attempt", F.lit(attempt))
 
 
-def send(records: DataFrame, shards, limits: Limits, put_fn: PutFn, attempt: int = 0) -> tuple[DataFrame, DataFrame]:
+def send(
+    records: DataFrame, shards, limits: Limits, put_fn: PutFn, attempt: int = 0, largest: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """One attempt. Returns the entries with their payload, and the outcomes.
 
     Entries and responses are written out: what was sent must not change when it is read again.
     """
-    entries, invalid = prepare(records, shards, limits, attempt)
+    entries, invalid = prepare(records, shards, limits, attempt, largest)
     if not attempt:
         entries = entries.withColumn("waited_ns", F.lit(0).cast("bigint"))
     entries = materialize(entries.select(*ENTRY, *RECORD, "seq_in_put", "n_bytes", "n_records", "waited_ns"))
@@ -91,10 +95,10 @@ def put_until_done(
     Spark jobs over the records still failing; its outcomes are written out before the next. Outcomes
     of all attempts are returned, every attempt once. ``most_attempts`` ends policies that never give up.
     """
-    lookup = lookup_table(shards)
+    lookup, largest = lookup_table(shards), largest_group(records, PUT)  # retried puts only get smaller
     pending, rounds = records, []
     for attempt in range(most_attempts):
-        entries, outcomes = send(pending, lookup, limits, put_fn, attempt)
+        entries, outcomes = send(pending, lookup, limits, put_fn, attempt, largest)
         rounds.append(outcomes.select(*OUTCOME))
         failed = outcomes.filter("error_code IS NOT NULL").withColumnRenamed("waited_ns", "cumulative_ns")
         planned = plan_retries(failed.withColumn("retries_so_far", F.col("attempt")), policy).filter("decision = 'retry'")
