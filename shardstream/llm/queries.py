@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secrets, sharding, topk
+from . import decontaminate, packing, quality, secrets, sharding, topk, urls
+from .words import hashed_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +44,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The rules of the contract, (action, host/path).
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query("op2_markov_url_filter")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op4_mixture_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents")).drop("ids")
@@ -105,3 +115,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 @query("op9_ball_tree_search", OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def judged(scores: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return scores.select(
+        "doc_id", (hashed_fold("doc_id", folds) == held_out).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query("op10_indexed_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged(scores, quality.FOLDS, quality.HELD_OUT)
