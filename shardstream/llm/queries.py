@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, secrets, sharding, topk, urls
+from . import decontaminate, licenses, packing, quality, secrets, sharding, topk, urls
 from .words import hashed_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,8 @@ def judged(scores: DataFrame, folds: int, held_out: int) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged(scores, quality.FOLDS, quality.HELD_OUT)
+
+
+@query("op3_license_diagonals")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
