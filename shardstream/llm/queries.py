@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, packing, quality, secrets, sharding, topk, urls
+from . import decontaminate, licenses, packing, quality, secrets, sharding, topk, toxicity, urls
 from .words import hashed_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_license_diagonals")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op6_toxicity_grammar")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged(scores, toxicity.FOLDS, toxicity.HELD_OUT)
