@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, packing, quality, secrets, sharding, topk, toxicity, urls
+from . import decontaminate, jaccard, licenses, packing, quality, secrets, sharding, topk, toxicity, urls
 from .words import hashed_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,27 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP8 = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, pos, pos + least(4, len(words)) - 1), ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - least(4, len(words)) + 2)) AS pos FROM doc WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+           GROUP BY x.doc_id, y.doc_id),
+links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM doc UNION SELECT doc_id, b FROM reach JOIN links ON other = a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
+
+
+@query("op8_prefix_orders_join", OP8)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_copies(table(spark, sf_dir, "documents"), jaccard.Rule(4, 85))
+
+
 OP9 = """
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
