@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import deque
 
 import pyarrow as pa
@@ -23,58 +24,100 @@ SMALLEST_ENTRY = record_len(0, 0)
 class OpenPack:
     """The open pack of a (put, partition key): its serialized size and the hash keys it lists.
 
-    A record is sized by the index its hash key has, or would get, in the pack's table.
+    A record without a hash key of its own has its partition key's. Hash keys are listed as first met, and
+    a record is sized by the index its hash key has, or would get, in that list. Dropping the first record
+    moves indices; only keys that cross an index of 128 or 16,384 then change the size of their records, so
+    for each key the sum of what its records gain there is kept, and a step costs little however many keys there are.
     """
 
+    # indices below EDGES[0] take one byte, those below EDGES[1] two
+    EDGES = (1 << 7, 1 << 14)
+
     def __init__(self, limits: Limits):
         self.limit = limits.max_record_bytes
 
     def start(self, key):
         self.empty_size = FRAME_BYTES + field_len(len(key[-1].encode()))
-        self.default_hash_len = len(decimal_hash(key[-1]))
+        self.default_hash = decimal_hash(key[-1])
         self.clear()
 
     def clear(self):
-        self.rows = deque()
-        self.table = {}
+        self.rows, self.first = deque(), 0
+        self.listed: list[str] = []  # hash keys as first met
+        self.places: dict[str, deque] = {}  # where the records of a hash key are
+        self.gains: dict[str, list[int]] = {}  # what they gain at each edge
         self.size = self.empty_size
 
-    def _added(self, explicit_hash, n_data):
-        index = self.table.get(explicit_hash)
-        if index is not None:
-            return record_len(index, n_data)
-        n_hash = self.default_hash_len if explicit_hash is None else len(explicit_hash.encode())
-        return field_len(n_hash) + record_len(len(self.table), n_data)
+    def _hash(self, row):
+        return self.default_hash if row[0] is None else row[0]
+
+    def _index(self, hash_key):
+        """Where a hash key stands in the list, or would stand: keys are ordered by the place of their first record."""
+        at = self.places[hash_key][0]
+        return bisect_left(self.listed, at, key=lambda k: self.places[k][0])
+
+    def _added(self, row):
+        hash_key = self._hash(row)
+        if hash_key in self.places:
+            return record_len(self._index(hash_key), row[1])
+        return field_len(len(hash_key.encode())) + record_len(len(self.listed), row[1])
+
+    def _gain(self, n_data):
+        lengths = [record_len(index, n_data) for index in (0, *self.EDGES)]
+        return lengths[1] - lengths[0], lengths[2] - lengths[1]
 
     def fits(self, row):
-        return self.size + self._added(*row) <= self.limit
+        return self.size + self._added(row) <= self.limit
 
     def push(self, row):
-        self.size += self._added(*row)
-        if row[0] not in self.table:
-            self.table[row[0]] = len(self.table)
+        self.size += self._added(row)
+        hash_key = self._hash(row)
+        if hash_key not in self.places:
+            self.listed.append(hash_key)
+            self.places[hash_key], self.gains[hash_key] = deque(), [0, 0]
+        self.places[hash_key].append(self.first + len(self.rows))
+        for edge, gain in enumerate(self._gain(row[1])):
+            self.gains[hash_key][edge] += gain
         self.rows.append(row)
         return len(self.rows) - 1
 
     def drop_first(self):
-        # table indices move when the first record goes; with at most 128 listed keys every index
-        # takes one byte before and after, so the other records keep their size
-        held = self.rows
-        explicit_hash, n_data = held.popleft()
-        if len(self.table) > 128:
-            self.clear()
-            for row in held:
-                if self.rows and not self.fits(row):
-                    break
-                self.push(row)
-            return len(self.rows)
-        self.size -= record_len(0, n_data)
-        if not any(row[0] == explicit_hash for row in held):
-            del self.table[explicit_hash]
-            self.table = {k: i for i, k in enumerate(self.table)}
-            n_hash = self.default_hash_len if explicit_hash is None else len(explicit_hash.encode())
-            self.size -= field_len(n_hash)
-        return len(held)
+        """Take the first record away; returns how many of the others still fit."""
+        row = self.rows.popleft()
+        hash_key = self.listed.pop(0)
+        self.first += 1
+        self.size -= record_len(0, row[1])
+        self._forget(hash_key, row, first=True)
+        index = len(self.listed)
+        if hash_key in self.places:
+            index = self._index(hash_key)
+            self.listed.insert(index, hash_key)
+        for edge, start in enumerate(self.EDGES):
+            # the key at the edge moved below it, unless the dropped one's key took a place further down
+            if index >= start:
+                self.size -= self.gains[self.listed[start - 1]][edge] if len(self.listed) >= start else 0
+                self.size += self.gains[hash_key][edge] if hash_key in self.places else 0
+        while self.size > self.limit and len(self.rows) > 1:
+            self._drop_last()
+        return len(self.rows)
+
+    def _drop_last(self):
+        row = self.rows.pop()
+        hash_key = self._hash(row)
+        self.size -= record_len(self._index(hash_key), row[1])
+        self._forget(hash_key, row, first=False)
+        if hash_key not in self.places:
+            self.listed.pop()
+
+    def _forget(self, hash_key, row, first):
+        places = self.places[hash_key]
+        places.popleft() if first else places.pop()
+        if not places:
+            del self.places[hash_key], self.gains[hash_key]
+            self.size -= field_len(len(hash_key.encode()))
+            return
+        for edge, gain in enumerate(self._gain(row[1])):
+            self.gains[hash_key][edge] -= gain
 
 
 def pack_records(

@@ -165,3 +165,46 @@ def test_short_frame_is_not_a_pack(spark):
     data = bytes.fromhex("f3899ac2") + b"0" * 15
     assert len(data) < FRAME_BYTES
     assert bytes(unpack_records(broken(spark, data)).first().data) == data
+
+
+def ends(rows, limit):
+    """Where a pack from each row on ends, from what it would be on the wire."""
+    default, out = decimal_hash("foo"), []
+    for at in range(len(rows)):
+        end = at + 1
+        while end < len(rows) and len(encode_pack("foo", [(h or default, b"x" * n) for h, n in rows[at : end + 1]])) <= limit:
+            end += 1
+        out.append(end)
+    return out
+
+
+@settings(deadline=None, max_examples=25)
+@given(st.integers(0, 10**6), st.sampled_from([2, 140, 300]), st.sampled_from([500, 2500]))
+def test_pack_ends_are_those_on_the_wire(seed, keys, limit):
+    import random
+
+    made = random.Random(seed)
+    own = [None, decimal_hash("foo"), *map(str, range(keys))]
+    rows = [(made.choice(own), made.choice([0, 1, 9, 120, 126])) for _ in range(260)]
+    pack = OpenPack(Limits(max_record_bytes=limit))
+    pack.start(("s", 1, "foo"))
+    assert next_starts(rows, len(rows), pack) == ends(rows, limit)
+
+
+def test_a_hot_key_with_distinct_hash_keys():
+    import time
+
+    rows = [(str(10**38 + i), 10) for i in range(100_000)]
+    pack = OpenPack(Limits())
+    pack.start(("s", 1, "foo"))
+    began = time.monotonic()
+    assert len(next_starts(rows, len(rows), pack)) == len(rows)
+    assert time.monotonic() - began < 60
+
+
+def test_a_null_hash_key_is_the_key_s_own():
+    pack = OpenPack(Limits())
+    pack.start(("s", 1, "foo"))
+    for row in ((None, 5), (decimal_hash("foo"), 5)):
+        pack.push(row)
+    assert pack.size == len(encode_pack("foo", [(decimal_hash("foo"), b"x" * 5)] * 2))
