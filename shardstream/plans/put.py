@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,11 @@ from ..session import materialize
 # error_code, error_message, duration_s.
 PutFn = Callable[[DataFrame], DataFrame]
 
+# What the entries of an attempt get whose put function raised an error.
+PUT_RAISED = "PutRaised"
+
+log = logging.getLogger(__name__)
+
 RECORD = ["data", "partition_key", "explicit_hash_key"]
 
 OUTCOME = [*ENTRY, "seq_in_put", "n_bytes", "n_records", "invalid_reason", "error_code", "error_message", "duration_s"]
@@ -58,17 +65,30 @@ def prepare(
 
 
 def send(
-    records: DataFrame, shards, limits: Limits, put_fn: PutFn, attempt: int = 0, largest: int | None = None
+    records: DataFrame, shards, limits: Limits, put_fn: PutFn, attempt: int = 0, largest: int | None = None,
+    keep_errors: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """One attempt. Returns the entries with their payload, and the outcomes.
 
-    Entries and responses are written out: what was sent must not change when it is read again.
+    Entries and responses are written out: what was sent must not change when it is read again. With
+    ``keep_errors`` an error that the put function raises, at once or when its responses are read, is the outcome of
+    all entries of the attempt; otherwise it ends the job.
     """
     entries, invalid = prepare(records, shards, limits, attempt, largest)
     if not attempt:
         entries = entries.withColumn("waited_ns", F.lit(0).cast("bigint"))
     entries = materialize(entries.select(*ENTRY, *RECORD, "seq_in_put", "n_bytes", "n_records", "waited_ns"))
-    answered = materialize(put_outcomes(entries.drop(*RECORD), put_fn(R.to_put_entries(entries))))
+    try:
+        answered = materialize(put_outcomes(entries.drop(*RECORD), put_fn(R.to_put_entries(entries))))
+    except Exception as problem:
+        if not keep_errors:
+            raise
+        log.exception("the put function raised an error at attempt %d", attempt)
+        said = F.lit(f"{type(problem).__name__}: {problem}"[:1000])
+        raised = entries.select(
+            *ENTRY, F.lit(PUT_RAISED).alias("error_code"), said.alias("error_message"), F.lit(None).cast("double").alias("duration_s")
+        )
+        answered = materialize(put_outcomes(entries.drop(*RECORD), raised))
     sent = answered.withColumn("invalid_reason", F.lit(None).cast("string"))
     refused = invalid.select(*PUT, "attempt", "seq_in_put", "n_bytes", "invalid_reason")
     return entries, sent.unionByName(refused, allowMissingColumns=True)
@@ -86,19 +106,20 @@ def put_until_done(
     policy: Policy,
     put_fn: PutFn,
     raise_on_failures: bool = False,
-    most_attempts: int = 1000,
     sleep: Callable[[float], None] | None = None,
 ) -> DataFrame:
     """Put, then put the failed records again until none fail or the policy gives up on them.
 
     Every put keeps its own retry status, so puts give up independently. Each attempt is one round of
     Spark jobs over the records still failing; its outcomes are written out before the next. Outcomes
-    of all attempts are returned, every attempt once. ``most_attempts`` ends policies that never give up.
+    of all attempts are returned, every attempt once. Only the policy ends the rounds: one that never gives up goes
+    on while records fail. An error that the put function raises fails all entries of its attempt, with the code
+    PUT_RAISED, and is retried like any failure; what had landed by then may land again.
     """
     lookup, largest = lookup_table(shards), largest_group(records, PUT)  # retried puts only get smaller
     pending, rounds = records, []
-    for attempt in range(most_attempts):
-        entries, outcomes = send(pending, lookup, limits, put_fn, attempt, largest)
+    for attempt in count():
+        entries, outcomes = send(pending, lookup, limits, put_fn, attempt, largest, keep_errors=True)
         rounds.append(outcomes.select(*OUTCOME))
         failed = outcomes.filter("error_code IS NOT NULL").withColumnRenamed("waited_ns", "cumulative_ns")
         planned = plan_retries(failed.withColumn("retries_so_far", F.col("attempt")), policy).filter("decision = 'retry'")

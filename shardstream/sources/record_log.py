@@ -116,9 +116,9 @@ def with_stream_identifier(df: DataFrame, streams: DataFrame) -> DataFrame:
 
 
 def sequence_number() -> F.Column:
-    """56 digits that order the entries of a shard by put, attempt, batch and place in the request."""
+    """56 digits that order the entries of a shard by put, attempt, batch and place in the request; no part can outgrow its digits."""
     part = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
-    return F.concat(part("put_id", 20), part("attempt", 4), part("batch_no", 16), part("request_index", 16))
+    return F.concat(part("put_id", 19), part("attempt", 10), part("batch_no", 19), part("request_index", 8))
 
 
 def landing_put_fn(path: str, arrival):

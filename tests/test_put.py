@@ -140,5 +140,41 @@ def test_jitter_is_one_draw_per_put(spark):
 
 def test_sleeps_for_the_longest_delay(records, no_shards):
     slept = []
-    put_until_done(five(records), no_shards, PLAIN, Policy.constant_delay(2_000_000_000), accept_first, sleep=slept.append, most_attempts=3)
+    put_until_done(five(records), no_shards, PLAIN, Policy.constant_delay(2_000_000_000).join(Policy.limit_retries(3)), accept_first, sleep=slept.append)
     assert slept == [2.0, 2.0, 2.0][: len(slept)] and len(slept) >= 2
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_errors_of_the_put_function_are_retried(records, no_shards, late):
+    calls = []
+
+    def put_fn(entries):
+        calls.append(1)
+        if len(calls) > 2:
+            return accept_first(entries)
+        if not late:
+            raise ConnectionError("not there")
+        return accept_first(entries).withColumn("duration_s", F.raise_error(F.lit("not there")).cast("double"))
+
+    done = put_until_done(five(records), no_shards, PLAIN, Policy.constant_delay(0), put_fn)
+    by_attempt = {r.attempt: r["count"] for r in done.groupBy("attempt").count().collect()}
+    assert by_attempt == {0: 5, 1: 5, 2: 5, 3: 4, 4: 3, 5: 2, 6: 1}
+    raised = done.filter("error_code = 'PutRaised'").groupBy("attempt").count().collect()
+    assert sorted((r.attempt, r["count"]) for r in raised) == [(0, 5), (1, 5)]
+    assert done.filter("error_code = 'PutRaised' AND error_message LIKE '%not there%'").count() == 10
+
+
+def test_errors_end_with_the_policy(records, no_shards):
+    def put_fn(entries):
+        raise ConnectionError("not there")
+
+    done = put_until_done(five(records), no_shards, PLAIN, Policy.limit_retries(1), put_fn)
+    assert sorted(r.attempt for r in done.collect()) == [0] * 5 + [1] * 5
+    with pytest.raises(PutFailed):
+        put_until_done(five(records), no_shards, PLAIN, Policy.always_give_up(), put_fn, raise_on_failures=True)
+    with pytest.raises(ConnectionError):
+        put(five(records), no_shards, PLAIN, put_fn)
+
+
+def test_no_delay_stays_no_delay(spark):
+    assert delays(spark, Policy.fibonacci_backoff(0), [0, 91, 92, 500]) == [0] * 4
