@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -30,17 +31,12 @@ class _GroupWithin(StatefulProcessor):
         if size and now >= closes:
             chunk, size = chunk + 1, 0
         for batch in rows:
-            numbers, places = [], []
-            for _ in range(len(batch)):
-                if size == 0:
-                    closes = now + self.wait_ms
-                numbers.append(chunk)
-                places.append(size)
-                size += 1
-                if size == self.n:
-                    chunk, size = chunk + 1, 0
+            at = size + np.arange(len(batch), dtype=np.int64)
             out = batch[self.columns].copy()
-            out["chunk_no"], out["place_in_chunk"] = numbers, places
+            out["chunk_no"], out["place_in_chunk"] = chunk + at // self.n, at % self.n
+            if size == 0 or size + len(batch) > self.n:  # a chunk was opened now
+                closes = now + self.wait_ms
+            chunk, size = chunk + (size + len(batch)) // self.n, (size + len(batch)) % self.n
             yield out
         self._reset_timer(before, closes if size else None)
         self.open.update((chunk, size, closes))
@@ -64,17 +60,17 @@ class _GroupWithin(StatefulProcessor):
         pass
 
 
-def drain(query: StreamingQuery, most_s: float = 600.0) -> None:
-    """Stop a chunking query once a batch has found no new input.
+def drain(query: StreamingQuery) -> None:
+    """Stop a chunking query once it finds no new input, however long that takes; an empty source ends it at once.
 
     A query with timers goes on running empty batches, so an ``availableNow`` trigger would not end it.
     """
-    deadline, fed = time.monotonic() + most_s, False
-    while query.isActive and time.monotonic() < deadline:
-        for progress in query.recentProgress:
-            fed = fed or progress["numInputRows"] > 0
-        last = query.lastProgress
-        if fed and last and last["numInputRows"] == 0:
+    while query.isActive:
+        # after a restart the first batch may be one that was planned before, so one empty batch alone says nothing
+        rows, status = [progress["numInputRows"] for progress in query.recentProgress], query.status
+        if rows and rows[-1] == 0 and (any(rows) or len(rows) > 1):
+            break
+        if status["message"].startswith("Waiting for data") and not status["isDataAvailable"]:
             break
         time.sleep(0.2)
     query.stop()

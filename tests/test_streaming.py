@@ -94,7 +94,7 @@ def test_chunks_by_count_go_on_after_a_restart(spark, land, tmp_path):
         log = read_record_log(spark, path, streaming=True).select("stream_name", "shard_id", "sequence_number")
         chunked = group_within_stream(log, 10, 600_000, ["stream_name", "shard_id"])
         writer = chunked.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "p"))
-        drain(writer.trigger(processingTime="100 milliseconds").start(), 60)
+        drain(writer.trigger(processingTime="100 milliseconds").start())
         rows = spark.read.parquet(out).groupBy("shard_id", "chunk_no").agg(F.count("*").alias("n"), F.max("place_in_chunk").alias("m"))
         return sorted((r.shard_id, r.chunk_no, r.n, r.m) for r in rows.collect())
 
@@ -110,7 +110,7 @@ def test_chunks_by_time(spark, land, tmp_path):
         log = read_record_log(spark, land(start, stop), streaming=True).select("stream_name", "sequence_number")
         chunked = group_within_stream(log, 100, 1, ["stream_name"])
         writer = chunked.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "p"))
-        drain(writer.trigger(processingTime="100 milliseconds").start(), 60)
+        drain(writer.trigger(processingTime="100 milliseconds").start())
     sizes = [r["count"] for r in spark.read.parquet(out).groupBy("chunk_no").count().orderBy("chunk_no").collect()]
     assert sum(sizes) == 8 and len(sizes) >= 2
 
@@ -169,3 +169,12 @@ def test_empty_map_before_the_first_success():
     assert refreshing(down, empty="nothing")() == "nothing"
     with pytest.raises(RuntimeError):
         refreshing(down)()
+
+
+def test_draining_an_empty_source_ends(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    log = read_record_log(spark, str(tmp_path / "log"), streaming=True).select("stream_name", "sequence_number")
+    writer = group_within_stream(log, 10, 1, ["stream_name"]).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "p"))
+    query = writer.trigger(processingTime="100 milliseconds").start()
+    drain(query)
+    assert not query.isActive
