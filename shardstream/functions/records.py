@@ -127,7 +127,8 @@ def to_put_entries(df: DataFrame) -> DataFrame:
 
 
 def data_text(data: str = "data") -> Column:
-    return F.decode(F.col(data), "UTF-8")
+    """The payload as text; bytes that are no UTF-8 become replacement characters."""
+    return F.make_valid_utf8(F.col(data).cast("string"))
 
 
 def data_base64(data: str = "data") -> Column:

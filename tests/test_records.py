@@ -87,3 +87,8 @@ def test_audit_json_sorts_keys_and_leaves_out_nulls(spark):
 def test_entries_drop_the_ordering_number(records):
     df = records([(0, 0, "k", b"x")]).withColumn("sequence_number_for_ordering", F.lit("1"))
     assert R.to_put_entries(df).columns == ["stream_name", "put_id", "data", "partition_key", "explicit_hash_key"]
+
+
+def test_text_of_any_bytes(spark):
+    df = spark.createDataFrame([(bytes.fromhex("fffe61"),), (None,), (b"",)], "data binary")
+    assert [r[0] for r in df.select(R.data_text()).collect()] == ["��a", None, ""]
