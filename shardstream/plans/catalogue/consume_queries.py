@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ...config import Position
@@ -165,9 +166,16 @@ def from_latest(spark, sf_dir):
     return record_log.from_position(consumer_log(spark, sf_dir), Position.latest(), tips).select(event_id())
 
 
-@query("order_by_position", f"WITH {LOG} SELECT stream_name, shard_id, event_id FROM log")
+@query(
+    "order_by_position",
+    f"""WITH {LOG} SELECT stream_name, shard_id, event_id, coalesce(lag(event_id) OVER (PARTITION BY stream_name, shard_id ORDER BY event_id), -1) AS event_before
+        FROM log""",
+)
 def in_order(spark, sf_dir):
-    return order_by_position(consumer_log(spark, sf_dir)).select("stream_name", "shard_id", event_id())
+    """Each record with the one before it in its shard, as the order of the rows has it."""
+    rows = order_by_position(consumer_log(spark, sf_dir)).withColumn("place", F.monotonically_increasing_id())
+    before = F.lag(event_id()).over(Window.partitionBy("stream_name", "shard_id").orderBy("place"))
+    return rows.select("stream_name", "shard_id", event_id(), F.coalesce(before, F.lit(-1)).alias("event_before"))
 
 
 @query(

@@ -216,17 +216,20 @@ _plan(
 
 @query(
     "retry_plan_full_jitter",
-    "SELECT event_id, TRUE AS in_bounds, TRUE AS repeatable FROM events",
+    # the draws of one retry count must lie below the exponential delay and fill its range
+    f"""SELECT event_id % 12 AS retries, least({BASE}::DOUBLE * 2 ** (event_id % 12), {LONGEST}::DOUBLE) AS ceiling, count(*) AS n,
+               TRUE AS in_bounds, TRUE AS spread FROM events GROUP BY ALL""",
 )
 def full_jitter(spark, sf_dir):
-    """Every delay lies below the exponential one, and a second draw gives the same."""
-    ceiling = F.lit(BASE) * F.pow(F.lit(2), F.col("retries_so_far"))
-    once = plan_retries(retried(spark, sf_dir), Policy.full_jitter(BASE, seed=7))
-    again = Policy.full_jitter(BASE, seed=7).decide(F.col("retries_so_far"), F.col("cumulative_ns"))
-    return once.select(
-        "event_id",
-        F.col("delay_ns").between(0, F.least(ceiling, F.lit(LONGEST))).alias("in_bounds"),
-        (F.col("delay_ns") == again).alias("repeatable"),
+    """By retry count: the exponential delay, whether all delays lie below it, and whether their mean is near its half."""
+    ceiling = F.least(F.lit(float(BASE)) * F.pow(F.lit(2.0), F.col("retries")), F.lit(float(LONGEST))).alias("ceiling")
+    policy = Policy.full_jitter(BASE, seed=7, by=("event_id",))
+    drawn = plan_retries(retried(spark, sf_dir), policy).select(F.col("retries_so_far").cast("bigint").alias("retries"), "delay_ns")
+    drawn = drawn.select("retries", ceiling, "delay_ns")
+    part = F.col("delay_ns") / F.col("ceiling")
+    sure = 3 / F.sqrt(12 * F.count("*"))  # three standard errors of a uniform mean, with a little room
+    return drawn.groupBy("retries", "ceiling").agg(
+        F.count("*").alias("n"), F.every((part >= 0) & (part < 1)).alias("in_bounds"), (F.abs(F.avg(part) - 0.5) <= sure + 0.01).alias("spread")
     )
 
 
@@ -265,3 +268,28 @@ def until_done(spark, sf_dir):
         records(spark, sf_dir).drop("event_id"), shards, Limits(), Policy.limit_retries(2), fails_user_mod_4_times
     )
     return produce.put_summary(done)
+
+
+@query(
+    "put_after_errors",
+    f"""WITH {RECORDS}, {ranges_sql(FOUR)}, {LOOKUP},
+        sent AS (SELECT DISTINCT stream_name, put_id, partition_key FROM routed WHERE invalid_reason IS NULL)
+        SELECT attempt, CASE WHEN attempt < 2 THEN 'PutRaised' END AS error_code, count(*) AS n_entries, count(DISTINCT (stream_name, put_id)) AS n_puts
+        FROM sent, (VALUES (0), (1), (2)) t(attempt) GROUP BY ALL
+        UNION ALL SELECT 0, 'InvalidRecord', count(*), count(DISTINCT (stream_name, put_id)) FROM checked WHERE invalid_reason IS NOT NULL""".replace("FROM sized z", "FROM checked z"),
+)
+def after_errors(spark, sf_dir):
+    """A put function that raises an error at attempts 0 and 1 and then lands all: outcomes by attempt."""
+    shards = routing.shard_map(listing(spark, sf_dir, FOUR))
+    calls = []
+
+    def put_fn(entries):
+        calls.append(len(calls))
+        if len(calls) <= 2:
+            raise ConnectionError("the service is not there")
+        nothing = F.lit(None).cast("string")
+        return entries.select(*produce.ENTRY, nothing.alias("error_code"), nothing.alias("error_message"), F.lit(0.5).alias("duration_s"))
+
+    done = put_until_done(records(spark, sf_dir).drop("event_id"), shards, Limits(), Policy.constant_delay(0), put_fn)
+    code = F.coalesce("error_code", F.when(F.col("invalid_reason").isNotNull(), "InvalidRecord"))
+    return done.groupBy("attempt", code.alias("error_code")).agg(F.count("*").alias("n_entries"), F.count_distinct("stream_name", "put_id").alias("n_puts"))

@@ -1,5 +1,6 @@
 """Every registered query equals its SQL on the smallest test tables."""
 
+import re
 import sys
 from pathlib import Path
 
@@ -12,6 +13,8 @@ import check  # noqa: E402
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
+# those of the training-data subpackage have tests of their own
+OWN = sorted(name for name in queries() if name != "pipeline" and not re.match(r"op\d+_", name))
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +25,7 @@ def tables():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, tables, name):
     line = check.compare(spark, tables, name, SF_DIR)
     assert line.startswith(("ok", "rows")), line
@@ -33,4 +36,4 @@ def test_entry(spark):
 
 
 def test_few_queries_go_without_sql():
-    assert set(queries()) - set(oracle_sql()) == {"pack_wire_digest", "stream_group_within"}
+    assert set(OWN) - set(oracle_sql()) == {"pack_wire_digest", "stream_group_within"}
