@@ -176,6 +176,11 @@ def fitted(x: np.ndarray, y: np.ndarray) -> Network:
     return net
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The text (of repeated rows the least) and label of each labelled document; as many rows as ``labels``, dealt by doc_id."""
+    return docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+
+
 def training_labels(labels: DataFrame, label: str, folds: int, held_out: int, sample: int) -> DataFrame:
     """At most ``sample`` labelled ids outside the held-out fold, lowest hashes first; labels that disagree count by majority."""
     usable = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).filter(hashed_fold("doc_id", folds) != held_out)
@@ -202,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     vectors = unit_vectors(context_sums(docs))
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     chosen = training_labels(labels, "quality", FOLDS, HELD_OUT, sample)
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(2 * sample)
+    known = labelled_texts(docs, chosen)
 
     def run(parts):
         memo = Terms()

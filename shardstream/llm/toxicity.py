@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quality import training_labels
+from ..session import materialize
+from .quality import labelled_texts, training_labels
 from .words import LOWERED, MEMO_WORDS, alnum_words, pass_over, text_bytes
 
 FOLDS, HELD_OUT = 4, 2
@@ -237,11 +238,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     held-out fold; composed transducers read each clause of each whole text; a logistic scale turns the clauses' weights into a
     probability. Null and empty texts match nothing and get the probability of that; equal texts score alike;
     without labels of both kinds the seed lexicon and a plain scale are used; an empty table gives no rows. Only texts
-    are inputs. Two passes over the labelled sample, one over all texts, no shuffle of texts.
+    are inputs. All texts are read twice, once to pick the sample, and only the sample's texts are shuffled.
     """
     spark = docs.sparkSession
     chosen = training_labels(labels, "toxic", FOLDS, HELD_OUT, sample)
-    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label").limit(2 * sample)
+    labelled = materialize(labelled_texts(docs, chosen))
     grammar = spark.sparkContext.broadcast(Grammar(learned_stems(labelled)))
 
     def measure(parts):
