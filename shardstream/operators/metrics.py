@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordering import with_ordinal
@@ -74,72 +74,83 @@ def _histogram(value: str, name: str):
     ]
 
 
-def sum_points(df: DataFrame, metric: str, unit: str, value: str, attributes: dict[str, str], ts_ns: int) -> DataFrame:
-    """One sum point per row of a metric table; ``attributes`` maps attribute names to columns."""
+def sum_point(metric: str, unit: str, value: str, attributes: dict[str, str], ts_ns: int) -> Column:
+    """A sum point of a row of a metric table; ``attributes`` maps attribute names to columns."""
     null = F.lit(None).cast("double")
-    return _points(df, metric, unit, "sum", attributes, ts_ns, F.col(value).cast("double"), null, null, null, F.lit(None))
+    return _point(metric, unit, "sum", attributes, ts_ns, F.col(value).cast("double"), null, null, null, F.lit(None))
 
 
-def histogram_points(df: DataFrame, metric: str, unit: str, name: str, attributes: dict[str, str], ts_ns: int) -> DataFrame:
-    """One histogram point per row, from the columns ``name``_min, _max, _sum and _count; rows without samples give none."""
+def histogram_point(metric: str, unit: str, name: str, attributes: dict[str, str], ts_ns: int) -> Column:
+    """A histogram point of a row, from the columns ``name``_min, _max, _sum and _count; null if it has no samples."""
     low, high, total = (F.col(f"{name}_{part}").cast("double") for part in ("min", "max", "sum"))
-    sampled = df.filter(F.col(f"{name}_count") > 0)
-    return _points(
-        sampled, metric, unit, "histogram", attributes, ts_ns, F.lit(None).cast("double"), low, high, total, F.col(f"{name}_count")
-    )
+    count, null = F.col(f"{name}_count"), F.lit(None).cast("double")
+    return F.when(count > 0, _point(metric, unit, "histogram", attributes, ts_ns, null, low, high, total, count))
 
 
-def _points(df, metric, unit, kind, attributes, ts_ns, value, low, high, total, count):
+def _point(metric, unit, kind, attributes, ts_ns, value, low, high, total, count):
     pairs = [part for name, column in attributes.items() for part in (F.lit(name), F.col(column))]
-    return df.select(
-        F.lit(metric).alias("metric"),
-        F.lit(unit).alias("unit"),
-        F.lit(kind).alias("kind"),
-        F.create_map(*pairs).alias("attributes"),
-        F.lit(ts_ns).cast("bigint").alias("ts_ns"),
-        value.alias("value"),
-        low.alias("min"),
-        high.alias("max"),
-        total.alias("sum"),
-        count.cast("bigint").alias("count"),
-    )
+    values = [F.lit(metric), F.lit(unit), F.lit(kind), F.create_map(*pairs), F.lit(ts_ns).cast("bigint"), value, low, high, total, count.cast("bigint")]
+    return F.struct(*[v.alias(name) for name, v in zip(POINT, values)])
+
+
+def points_of(df: DataFrame, *points: Column) -> DataFrame:
+    """All points of each row of a metric table, in one pass over it."""
+    return df.select(F.inline(F.array_compact(F.array(*points))))
 
 
 def producer_points(
     records: DataFrame, requests: DataFrame, outcomes: DataFrame, errors: DataFrame, ts_ns: int, prefix: str = "producer"
 ) -> DataFrame:
-    """The seven producer metrics of a set of puts as points."""
+    """The seven producer metrics of a set of puts as points: one aggregation for each grain they have."""
     stream, shard = {STREAM: "stream_name"}, {STREAM: "stream_name", SHARD_ID: "shard_id"}
-    received, sent, retried = received_metrics(records), shard_put_metrics(requests), retry_metrics(outcomes)
     code = {STREAM: "stream_name", ERROR_CODE: "error_code"}
     parts = [
-        sum_points(received, f"{prefix}.user_records.received", "{record}", "n_records", stream, ts_ns),
-        sum_points(received, f"{prefix}.user_records.bytes", "By", "n_bytes", stream, ts_ns),
-        sum_points(sent, f"{prefix}.kinesis_records.put", "{record}", "n_records", shard, ts_ns),
-        sum_points(sent, f"{prefix}.kinesis_records.bytes", "By", "n_bytes", shard, ts_ns),
-        histogram_points(sent, f"{prefix}.request.duration", "s", "duration", shard, ts_ns),
-        histogram_points(retried, f"{prefix}.retries", "{retry}", "retries", stream, ts_ns),
-        sum_points(errors, f"{prefix}.errors", "{error}", "n_errors", code, ts_ns),
+        points_of(
+            received_metrics(records),
+            sum_point(f"{prefix}.user_records.received", "{record}", "n_records", stream, ts_ns),
+            sum_point(f"{prefix}.user_records.bytes", "By", "n_bytes", stream, ts_ns),
+        ),
+        points_of(
+            shard_put_metrics(requests),
+            sum_point(f"{prefix}.kinesis_records.put", "{record}", "n_records", shard, ts_ns),
+            sum_point(f"{prefix}.kinesis_records.bytes", "By", "n_bytes", shard, ts_ns),
+            histogram_point(f"{prefix}.request.duration", "s", "duration", shard, ts_ns),
+        ),
+        points_of(retry_metrics(outcomes), histogram_point(f"{prefix}.retries", "{retry}", "retries", stream, ts_ns)),
+        points_of(errors, sum_point(f"{prefix}.errors", "{error}", "n_errors", code, ts_ns)),
     ]
     return _union(parts)
 
 
 def buffer_points(events: DataFrame, ts_ns: int, prefix: str = "producer") -> DataFrame:
-    """The three buffer metrics as points."""
-    stream = {STREAM: "stream_name"}
-    measured = buffer_metrics(events)
-    waits = measured.select(
-        "stream_name",
-        *[F.col(f"{a}_waited").alias(f"time_{b}") for a, b in (("min", "min"), ("max", "max"), ("sum", "sum"), ("n", "count"))],
+    """The three buffer metrics as points, in one pass: first by stream and drop reason, then by stream."""
+    kind = F.col("kind")
+    waited = F.when(kind == "dequeued", F.col("waited_s"))
+    step = F.when(kind == "enqueued", 1).when(kind == "dequeued", -1).otherwise(0)
+    by_reason = events.groupBy("stream_name", F.when(kind == "dropped", F.col("reason")).alias("reason")).agg(
+        F.sum(step).alias("pending"), F.count_if(kind == "dropped").alias("n"), *_histogram(waited, "time")
+    )
+    measured = by_reason.groupBy("stream_name").agg(
+        F.sum("pending").alias("pending"),
+        F.min("time_min").alias("time_min"),
+        F.max("time_max").alias("time_max"),
+        F.sum("time_sum").alias("time_sum"),
+        F.sum("time_count").alias("time_count"),
+        F.collect_list(F.when(F.col("n") > 0, F.struct("reason", "n"))).alias("drops"),
     )
-    drops = events.filter("kind = 'dropped'").groupBy("stream_name", "reason").agg(F.count("*").alias("n"))
-    return _union(
-        [
-            sum_points(measured, f"{prefix}.buffer.records.pending", "{record}", "pending", stream, ts_ns),
-            histogram_points(waits, f"{prefix}.buffer.time", "s", "time", stream, ts_ns),
-            sum_points(drops, f"{prefix}.buffer.records.dropped", "{record}", "n", {STREAM: "stream_name", REASON: "reason"}, ts_ns),
-        ]
+    stream = {STREAM: "stream_name"}
+    fixed = F.array(
+        sum_point(f"{prefix}.buffer.records.pending", "{record}", "pending", stream, ts_ns),
+        histogram_point(f"{prefix}.buffer.time", "s", "time", stream, ts_ns),
     )
+    null, text = F.lit(None).cast("double"), F.lit("{record}")
+
+    def dropped(drop):
+        attributes = F.create_map(F.lit(STREAM), F.col("stream_name"), F.lit(REASON), drop["reason"])
+        values = [F.lit(f"{prefix}.buffer.records.dropped"), text, F.lit("sum"), attributes, F.lit(ts_ns).cast("bigint"), drop["n"].cast("double"), null, null, null, F.lit(None).cast("bigint")]
+        return F.struct(*[v.alias(name) for name, v in zip(POINT, values)])
+
+    return measured.select(F.inline(F.array_compact(F.concat(fixed, F.transform("drops", dropped)))))
 
 
 def _union(parts):

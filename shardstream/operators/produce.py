@@ -80,50 +80,37 @@ def error_messages(outcomes: DataFrame) -> DataFrame:
 
     Part 0 counts the invalid records by kind and the failures; part n+1 lists the failures of batch n
     of the last attempt, one line each. Joining the parts gives the whole message. A part covers at
-    most one batch, so its size is bounded however many records a put has.
+    most one batch, so its size is bounded however many records a put has. Two passes: one counts, by put and attempt
+    first, the other lists the failures.
     """
-    final = merge_attempts(outcomes)
     count = lambda c, name: F.count_if(c).alias(name)
-    reason = F.col("invalid_reason")
-    counts = final.groupBy(*PUT).agg(
+    reason, failing = F.col("invalid_reason"), F.col("error_code").isNotNull()
+    kinds = {"too large": "RecordTooLarge", "bad partition key": "InvalidPartitionKey", "bad explicit hash key": "InvalidExplicitHashKey"}
+    per_attempt = outcomes.groupBy(*PUT, "attempt").agg(
         count(reason.isNotNull(), "invalid"),
-        count(reason == "RecordTooLarge", "large"),
-        count(reason == "InvalidPartitionKey", "keys"),
-        count(reason == "InvalidExplicitHashKey", "hashes"),
-        count(F.col("error_code").isNotNull(), "failed"),
-    )
-    kind = lambda text, name: F.when(F.col(name) > 0, F.concat(F.lit(text), F.col(name).cast("string")))
-    invalid = F.when(
-        F.col("invalid") > 0,
-        F.concat_ws(
-            "",
-            F.col("invalid").cast("string"),
-            F.lit(" records were invalid."),
-            kind(" Records too large: ", "large"),
-            kind(" Invalid partition keys: ", "keys"),
-            kind(" Invalid explicit hash keys: ", "hashes"),
-        ),
-    )
-    failed = F.when(
-        F.col("failed") > 0, F.concat(F.col("failed").cast("string"), F.lit(" records received failures when producing."))
-    )
-    head = counts.filter("invalid + failed > 0").select(
-        *PUT, F.lit(0).cast("bigint").alias("part_no"), F.concat_ws("\n\nAND\n\n", invalid, failed).alias("message")
+        *[count(reason == name, name) for name in kinds.values()],
+        count(failing, "failed"),
+        F.min(F.when(failing, F.col("batch_no"))).alias("first_batch"),
     )
-    line = F.concat(
-        F.lit("\n\tError Code: "), "error_code", F.lit(", Error Message: "), F.coalesce("error_message", F.lit(""))
+    puts = per_attempt.groupBy(*PUT).agg(
+        *[F.sum(c).alias(c) for c in ("invalid", *kinds.values())],
+        *[F.max_by(c, "attempt").alias(c) for c in ("failed", "first_batch")],
+        F.max("attempt").alias("attempt"),
     )
-    listed = (
-        final.filter("error_code IS NOT NULL")
-        .groupBy(*PUT, "batch_no")
-        .agg(F.sort_array(F.collect_list(F.struct("shard_id", "request_index", line.alias("line")))).alias("lines"))
-        .select(
-            *PUT,
-            (F.col("batch_no") + 1).cast("bigint").alias("part_no"),
-            F.array_join(F.transform("lines", lambda x: x["line"]), "").alias("message"),
-        )
+    parts = [F.when(F.col(name) > 0, F.concat(F.lit(f"{text}: "), F.col(name).cast("string"))) for text, name in kinds.items()]
+    invalid = F.when(F.col("invalid") > 0, F.concat(F.lit("invalid records: "), F.col("invalid").cast("string"), F.lit(" ("), F.concat_ws(", ", *parts), F.lit(")")))
+    failed = F.when(F.col("failed") > 0, F.concat(F.lit("failed records: "), F.col("failed").cast("string")))
+    head = F.concat_ws("; ", invalid, failed)
+    line = F.concat(F.lit("\n  "), "error_code", F.lit(": "), F.coalesce("error_message", F.lit("")))
+    listed = outcomes.filter(failing).groupBy(*PUT, "attempt", "batch_no").agg(
+        F.sort_array(F.collect_list(F.struct("shard_id", "request_index", line.alias("line")))).alias("lines")
     )
-    return head.unionByName(listed)
+    both = puts.filter("invalid + failed > 0").join(listed, [*PUT, "attempt"], "left")
+    part = lambda number, message: F.struct(number.cast("bigint").alias("part_no"), message.alias("message"))
+    leads = F.col("batch_no").eqNullSafe(F.col("first_batch"))  # the put's first row also brings its head
+    text = F.array_join(F.transform("lines", lambda x: x["line"]), "")
+    rows = F.array_compact(F.array(F.when(leads, part(F.lit(0), head)), F.when(F.col("lines").isNotNull(), part(F.col("batch_no") + 1, text))))
+    return both.select(*PUT, F.inline(rows))
 
 
 def requests(outcomes: DataFrame) -> DataFrame:

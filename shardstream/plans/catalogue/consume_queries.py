@@ -426,8 +426,8 @@ ARNS = """WITH a AS (
   SELECT c_custkey, lpad(c_custkey::VARCHAR, 12, '0') AS account, lower(n_name) AS name, c_custkey % 7 = 0 AS cut,
          CASE n_nationkey % 5 WHEN 0 THEN 'mars-north-1' WHEN 1 THEN 'cn-north-1' ELSE 'eu-west-1' END AS region
   FROM customer JOIN nation ON c_nationkey = n_nationkey),
-p AS (SELECT *, CASE WHEN cut THEN 'Could not get stream name from ARN'
-                     WHEN region LIKE 'mars%' THEN 'Could not get awsRegion from ARN. mars-north-1 is not recognized as a valid region.' END AS arn_error
+p AS (SELECT *, CASE WHEN cut THEN 'no stream name'
+                     WHEN region LIKE 'mars%' THEN 'unknown region: mars-north-1' END AS arn_error
       FROM a)"""
 
 
@@ -452,7 +452,7 @@ def format_stream_arns(spark, sf_dir):
 
 @query(
     "parse_consumer_arns",
-    f"""{ARNS}, q AS (SELECT *, CASE WHEN arn_error IS NOT NULL THEN arn_error WHEN c_custkey % 11 = 0 THEN 'Could not convert timestamp to Long' END AS e FROM p)
+    f"""{ARNS}, q AS (SELECT *, CASE WHEN arn_error IS NOT NULL THEN arn_error WHEN c_custkey % 11 = 0 THEN 'creation time is no number' END AS e FROM p)
         SELECT c_custkey, e AS arn_error, CASE WHEN e IS NULL THEN name END AS stream_name, CASE WHEN e IS NULL THEN region END AS aws_region,
                CASE WHEN e IS NULL THEN account END AS account_id, CASE WHEN e IS NULL THEN 'reader' || c_custkey::VARCHAR END AS consumer_name,
                CASE WHEN e IS NULL THEN 1700000000 + c_custkey END AS created_s FROM q""",

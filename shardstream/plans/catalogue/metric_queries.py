@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ...functions.records import with_payload_size
 from ...operators import metrics, produce
+from ...session import materialize
 from ...sources.datums import datum_requests
 from ..testtables import micros, records, table
 from .produce_queries import OUTCOMES, outcomes
@@ -98,7 +99,7 @@ def pending_over_time(spark, sf_dir):
 
 
 def points(spark, sf_dir):
-    out = outcomes(spark, sf_dir)
+    out = materialize(outcomes(spark, sf_dir))  # as a put leaves them
     producer = metrics.producer_points(
         received(spark, sf_dir), produce.requests(out), out, produce.error_counts(out), TS_NS
     )

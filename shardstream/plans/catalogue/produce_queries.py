@@ -116,12 +116,12 @@ def merge_attempts(spark, sf_dir):
     "error_messages",
     f"""{OUTCOMES}, counts AS (
           SELECT stream_name, put_id, count(invalid_reason) AS invalid, count(error_code) AS failed FROM merged GROUP BY ALL)
-        SELECT stream_name, put_id, 0::BIGINT AS part_no, concat_ws(chr(10) || chr(10) || 'AND' || chr(10) || chr(10),
-            CASE WHEN invalid > 0 THEN invalid::VARCHAR || ' records were invalid. Invalid explicit hash keys: ' || invalid::VARCHAR END,
-            CASE WHEN failed > 0 THEN failed::VARCHAR || ' records received failures when producing.' END) AS message
+        SELECT stream_name, put_id, 0::BIGINT AS part_no, concat_ws('; ',
+            CASE WHEN invalid > 0 THEN 'invalid records: ' || invalid::VARCHAR || ' (bad explicit hash key: ' || invalid::VARCHAR || ')' END,
+            CASE WHEN failed > 0 THEN 'failed records: ' || failed::VARCHAR END) AS message
         FROM counts WHERE invalid + failed > 0
         UNION ALL
-        SELECT stream_name, put_id, 1::BIGINT, string_agg(chr(10) || chr(9) || 'Error Code: ' || error_code || ', Error Message: slow down', ''
+        SELECT stream_name, put_id, 1::BIGINT, string_agg(chr(10) || '  ' || error_code || ': slow down', ''
             ORDER BY shard_id, request_index) FROM merged WHERE error_code IS NOT NULL GROUP BY ALL""",
 )
 def error_messages(spark, sf_dir):

@@ -35,13 +35,11 @@ def _piece(text: Column, separator: str, at: int) -> Column:
 
 def _stream_fields(arn: Column) -> tuple[Column, Column, Column, Column]:
     name, region, account = _piece(arn, "/", 1), _piece(arn, ":", 3), _piece(arn, ":", 4)
-    unknown = F.concat(
-        F.lit("Could not get awsRegion from ARN. "), F.coalesce(region, F.lit("")), F.lit(" is not recognized as a valid region.")
-    )
+    unknown = F.concat(F.lit("unknown region: "), F.coalesce(region, F.lit("")))
     error = (
-        F.when(name.isNull(), "Could not get stream name from ARN")
+        F.when(name.isNull(), "no stream name")
         .when(region.isNull() | arn_partition(region).isNull(), unknown)
-        .when(account.isNull(), "Could not get awsAccountId from ARN")
+        .when(account.isNull(), "no account id")
     )
     return name, region, account, error
 
@@ -67,8 +65,8 @@ def parse_consumer_arns(df: DataFrame, arn: str = "consumer_arn") -> DataFrame:
     created = F.element_at(F.split(text, ":"), -1).try_cast("bigint")
     error = (
         F.when(stream_error.isNotNull(), stream_error)
-        .when(consumer.isNull(), "Could not get consumer name from ARN")
-        .when(created.isNull(), "Could not convert timestamp to Long")
+        .when(consumer.isNull(), "no consumer name")
+        .when(created.isNull(), "creation time is no number")
     )
     fields = {
         "stream_name": name, "aws_region": region, "account_id": account, "consumer_name": consumer, "created_s": created,

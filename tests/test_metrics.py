@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from shardstream.operators import metrics as M
 from shardstream.sources.datums import datum_requests, write_datums
 
@@ -71,3 +73,24 @@ def test_window_by_name_and_time(spark):
     total = lambda **kw: {r.metric: r.sum for r in M.metrics_window(points, 10 * s, **kw).collect()}
     assert total() == {"a": 10, "b": 10}
     assert total(name="a", seconds=3) == {"a": 3}
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_points_and_messages_take_few_passes(spark, tmp_path):
+    from shardstream.operators import produce
+
+    schema = (
+        "stream_name string, put_id long, attempt int, batch_no long, shard_id string, request_index long, seq_in_put int, n_bytes int,"
+        " invalid_reason string, error_code string, error_message string, duration_s double"
+    )
+    path = str(tmp_path / "outcomes")
+    spark.createDataFrame([], schema).write.parquet(path)
+    outcomes = spark.read.parquet(path)
+    assert scans(produce.error_messages(outcomes)) <= 3
+    points = M.producer_points(outcomes, produce.requests(outcomes), outcomes, produce.error_counts(outcomes), 9)
+    assert scans(points) == 4
+    events = outcomes.select("stream_name", F.col("error_code").alias("kind"), F.col("duration_s").alias("waited_s"), F.col("error_message").alias("reason"))
+    assert scans(M.buffer_points(events, 9)) == 1

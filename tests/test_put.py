@@ -88,8 +88,8 @@ def test_messages(records, no_shards):
     parts = produce.error_messages(put(rows, no_shards, PLAIN, accept_first)).orderBy("part_no").collect()
     whole = "".join(p.message for p in parts)
     assert whole == (
-        "2 records were invalid. Invalid partition keys: 1 Invalid explicit hash keys: 1\n\nAND\n\n"
-        f"1 records received failures when producing.\n\tError Code: {THROTTLED}, Error Message: slow down"
+        "invalid records: 2 (bad partition key: 1, bad explicit hash key: 1); failed records: 1"
+        f"\n  {THROTTLED}: slow down"
     )
 
 
