@@ -21,10 +21,22 @@ from .registry import DOCUMENTS, LOG, ORACLES, RECORDS, query, ranges_sql
 from .routing_queries import FOUR, LOOKUP
 
 NOW_TRIGGER = {"availableNow": True}
+FILES = 5
 
 
 def streamed(spark, sf_dir, shape):
-    """A table mapping applied to the events as a stream instead of as a table."""
+    """A table mapping applied to the events as a stream instead of as a table.
+
+    The events come in FILES files that hold whole puts, one file a micro-batch.
+    """
+    events, path = table(spark, sf_dir, "events"), scratch_path(spark, "events")
+    events.repartition(FILES, F.floor(F.col("event_id") / 500)).write.parquet(path)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return shape(_Source(spark, source), sf_dir)
+
+
+def streamed_at_once(spark, sf_dir, shape):
+    """The same in one micro-batch: for queries whose watermark needs the events in their order."""
     schema = table(spark, sf_dir, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return shape(_Source(spark, source), sf_dir)
@@ -105,20 +117,27 @@ def stream_quarantine(spark, sf_dir):
     return spark.read.parquet(f"{base}/aside").select(event_id())
 
 
-@query("stream_group_within")
+@query(
+    "stream_group_within",
+    f"WITH {LOG} SELECT stream_name, shard_id, count(*) AS n_records, TRUE AS within, TRUE AS gapless FROM log GROUP BY ALL",
+)
 def stream_group_within(spark, sf_dir):
-    """Chunks of at most 50 records per shard; how time cuts them depends on when they are read."""
+    """By shard: all records are in chunks, none above 50, numbered without gaps; how time cuts them depends on when they are read."""
     base = scratch_path(spark, "chunks")
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
+    name, rocks = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, rocks)
     log = stream_log(spark, sf_dir).select("stream_name", "shard_id", "sequence_number")
     chunked = group_within_stream(log, 50, 60_000, ["stream_name", "shard_id"])
     writer = chunked.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/progress")
-    drain(writer.trigger(processingTime="200 milliseconds").start())
-    found = spark.read.parquet(f"{base}/out")
-    return found.groupBy("stream_name", "shard_id", "chunk_no").agg(F.count("*").alias("n_records"))
+    try:
+        drain(writer.trigger(processingTime="200 milliseconds").start())
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+    chunks = spark.read.parquet(f"{base}/out").groupBy("stream_name", "shard_id", "chunk_no").agg(F.count("*").alias("n"))
+    return chunks.groupBy("stream_name", "shard_id").agg(
+        F.sum("n").alias("n_records"), (F.max("n") <= 50).alias("within"), (F.count("*") == F.max("chunk_no") + 1).alias("gapless")
+    )
 
 
 @query(
@@ -132,7 +151,7 @@ def stream_route_rates(spark, sf_dir):
     """Daily records and bytes per shard of a routed stream, for the days the watermark has passed."""
     base = scratch_path(spark, "rates")
     shards = routing.shard_map(listing(spark, sf_dir, FOUR))
-    routed = routing.predict_shard(streamed(spark, sf_dir, timed_records), shards)
+    routed = routing.predict_shard(streamed_at_once(spark, sf_dir, timed_records), shards)
     rates = route_rates(routed, "ts", "1 day", "1 hour")
     writer = rates.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/progress")
     finish(writer.trigger(**NOW_TRIGGER).start())

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +35,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_scopes = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4()}"
+    """A new folder name below the shared checkpoint folder, or below that of the open :func:`scratch_scope`."""
+    open_scopes = getattr(_scopes, "folders", [])
+    base = open_scopes[-1] if open_scopes else ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4()}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can reach it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialised inside are gone when it ends: for work whose results are written elsewhere by then."""
+    folder = scratch_path(spark, "scope")
+    _scopes.folders = [*getattr(_scopes, "folders", []), folder]
+    try:
+        yield
+    finally:
+        _scopes.folders = _scopes.folders[:-1]
+        remove_folder(spark, folder)
 
 
 def materialize(df: DataFrame) -> DataFrame:

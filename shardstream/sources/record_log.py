@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 from ..config import Position
 from ..operators.checkpoints import after_checkpoint, checkpoints
 from ..operators.produce import ENTRY
-from ..session import broadcast_checked
+from ..session import broadcast_checked, materialize
 
 CONSUMER_RECORD = T.StructType(
     [
@@ -61,9 +62,21 @@ def read_record_log(
     return log if position is None else from_position(log, position, tips)
 
 
-def shard_tips(log: DataFrame) -> DataFrame:
-    """The newest position of each shard now; capture it when a consumer starts at LATEST."""
-    return checkpoints(log)
+def shard_tips(log: DataFrame, store: str | None = None) -> DataFrame:
+    """The newest position of each shard now, for a consumer that starts at LATEST: written out, so that it stays what it was.
+
+    With a ``store`` the tips are captured once and read from there ever after, also by a consumer that starts again.
+    """
+    if store is None:
+        return materialize(checkpoints(log))
+    spark = log.sparkSession
+    try:
+        return spark.read.parquet(store)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    checkpoints(log).write.parquet(store)
+    return spark.read.parquet(store)
 
 
 def from_position(df: DataFrame, position: Position, tips: DataFrame | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.checkpoints import checkpoints, gated_checkpoints
+from ..session import materialize, remove_folder, scratch_scope
 
 log = logging.getLogger(__name__)
 
@@ -19,9 +20,37 @@ COMMIT_RETRIES = 5
 STORED = "stream_name string, shard_id string, sequence_number string, sub_sequence_number long"
 
 
+# So many batches apart, the store is put together into one folder.
+COMPACT_BATCHES = 50
+
+
 def write_checkpoints(new: DataFrame, path: str, batch_id: int) -> None:
-    """Store a batch's checkpoints. A batch that is run again overwrites its own folder only."""
-    new.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    """Store a batch's checkpoints. A batch that is run again overwrites its own folder only.
+
+    Every COMPACT_BATCHES batches the furthest positions of all folders go into the batch's own, and the older
+    folders go; until they are gone they only repeat what it says.
+    """
+    spark = new.sparkSession
+    own, compact = f"{path}/batch={batch_id}", batch_id > 0 and batch_id % COMPACT_BATCHES == 0
+    stored = [f for f in _folders(spark, path) if f <= batch_id] if compact else []
+    with scratch_scope(spark):
+        if stored:
+            # read before its own folder is overwritten: a batch that was run before may hold the older ones already
+            new = materialize(checkpoints(read_checkpoints(spark, path).select(*new.columns).unionByName(new)))
+        new.repartition(1).write.mode("overwrite").parquet(own)
+    for batch in stored:
+        if batch < batch_id:
+            remove_folder(spark, f"{path}/batch={batch}")
+
+
+def _folders(spark: SparkSession, path: str) -> list[int]:
+    """The batches that have a folder in the store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(where)]
+    return sorted(int(name.removeprefix("batch=")) for name in names if name.startswith("batch="))
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import Limits
 from ..functions.retry import Policy
 from ..plans.put import PutFn, put_until_done
+from ..session import scratch_scope
 
 log = logging.getLogger(__name__)
 
@@ -61,8 +62,9 @@ def put_stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        outcomes = put_until_done(batch, shards, limits, policy or Policy.always_give_up(), put_fn)
-        outcomes.write.mode("overwrite").parquet(f"{outcomes_path}/batch={batch_id}")
+        with scratch_scope(batch.sparkSession):  # entries, responses and retry rounds go once the outcomes are written
+            outcomes = put_until_done(batch, shards, limits, policy or Policy.always_give_up(), put_fn)
+            outcomes.write.mode("overwrite").parquet(f"{outcomes_path}/batch={batch_id}")
 
     writer = sdf.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
     return writer.trigger(**(trigger or {"processingTime": "100 milliseconds"})).start()

@@ -36,4 +36,4 @@ def test_entry(spark):
 
 
 def test_few_queries_go_without_sql():
-    assert set(OWN) - set(oracle_sql()) == {"pack_wire_digest", "stream_group_within"}
+    assert set(OWN) - set(oracle_sql()) == {"pack_wire_digest"}

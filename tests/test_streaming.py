@@ -178,3 +178,40 @@ def test_draining_an_empty_source_ends(spark, tmp_path):
     query = writer.trigger(processingTime="100 milliseconds").start()
     drain(query)
     assert not query.isActive
+
+
+def test_the_store_is_put_together(spark, tmp_path, monkeypatch):
+    from shardstream.streaming import process
+
+    monkeypatch.setattr(process, "COMPACT_BATCHES", 3)
+    store, schema = str(tmp_path / "store"), process.STORED
+    for batch in [0, 1, 2, 3, 3, 4, 5, 6, 7]:
+        rows = [("s", "a", str(batch), 0), ("s", f"b{batch}", "1", 0)]
+        process.write_checkpoints(spark.createDataFrame(rows, schema), store, batch)
+    assert process._folders(spark, store) == [6, 7]
+    kept = {(r.shard_id, r.sequence_number) for r in read_checkpoints(spark, store).collect()}
+    assert kept == {("a", "7"), *((f"b{i}", "1") for i in range(8))}
+
+
+def test_tips_stay_what_they_were(spark, land, tmp_path):
+    from shardstream.config import Position
+    from shardstream.sources.record_log import from_position, shard_tips
+
+    log = read_record_log(spark, land(0, 6))
+    store = str(tmp_path / "tips")
+    now, stored = shard_tips(log), shard_tips(log, store)
+    later = read_record_log(spark, land(6, 10))
+    assert from_position(later, Position.latest(), now).count() == from_position(later, Position.latest(), stored).count() > 0
+    assert shard_tips(later, store).exceptAll(stored).isEmpty()
+
+
+def test_scratch_goes_with_its_scope(spark):
+    from shardstream.session import materialize, scratch_path, scratch_scope
+
+    with scratch_scope(spark):
+        outer = materialize(spark.range(3)).inputFiles()[0].removeprefix("file:")
+        assert scratch_path(spark, "x").split("/")[-2].startswith("scope-")
+    from pathlib import Path
+
+    assert not Path(outer).exists() and not Path(outer).parent.parent.exists()
+    assert not scratch_path(spark, "x").split("/")[-2].startswith("scope-")
