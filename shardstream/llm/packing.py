@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, small_result
-from .words import pass_over, text_bytes
+from .words import pass_over, some_at_a_time, text_bytes
 
 SEQUENCE = 2048
 END = 1
@@ -21,7 +22,8 @@ END = 1
 BLOCK_WINDOWS = 256
 # Sources with at least 1/QUEUES of all tokens have queues of their own, so there are at most QUEUES of them; the others share one.
 QUEUES = 256
-MEMO_WORDS = 1 << 20
+# Words whose ids a task remembers, and cores of words whose ids a process does.
+MEMO_WORDS, MEMO_CORES = 1 << 18, 1 << 20
 
 
 class Schedule:
@@ -91,6 +93,57 @@ class Schedule:
         return out
 
 
+class Vocabulary:
+    """The tokenizer, and the ids of word cores that were met so far; one for each Python process of a worker."""
+
+    def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        # the same vocabulary for words that are already what its normalizer and its pattern would make of them
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.ids: dict[bytes, bytes] = {b"": b""}
+
+    @staticmethod
+    def of_process(path: str) -> "Vocabulary":
+        """Kept on the tokenizers module, which outlives a task: the next task of the process need not learn all words again."""
+        import tokenizers
+
+        kept = tokenizers.__dict__.setdefault("_vocabularies_by_path", {})
+        if path not in kept:
+            kept[path] = Vocabulary(path)
+        return kept[path]
+
+    def learn(self, cores: set[bytes]) -> None:
+        if len(self.ids) > MEMO_CORES:
+            self.ids.clear()
+            self.ids[b""] = b""
+        new = cores - self.ids.keys()
+        plain = [c for c in new if is_plain(c)]
+        for words, tokenizer in ((plain, self.plain), (list(new.difference(plain)), self.whole)):
+            for at in range(0, len(words), GROUP):
+                self._encode(words[at : at + GROUP], tokenizer)
+
+    def _encode(self, words: list[bytes], tokenizer) -> None:
+        """Encode words as one text and give each word the tokens that begin in it."""
+        texts = [w.decode() for w in words]
+        found = tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+        cuts = np.searchsorted(starts, ends).tolist()
+        ids, at = np.array(found.ids, "<u2").tobytes(), 0
+        for word, cut in zip(words, cuts):
+            self.ids[word] = ids[2 * at : 2 * cut]
+            at = cut
+
+
 class WordIds(dict):
     """The token ids of words between white space, as little-endian 16-bit bytes.
 
@@ -98,21 +151,43 @@ class WordIds(dict):
     """
 
     def __init__(self, path: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.vocabulary = Vocabulary.of_process(path)
 
     def learn(self, words: set[bytes]) -> None:
         if len(self) > MEMO_WORDS:
             self.clear()
-        new = [w for w in words if w not in self]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self[word] = np.array(found.ids, "<u2").tobytes()
+        new = [(w, *plain_form(w)) for w in words if w not in self]
+        self.vocabulary.learn({part for _, core, tail in new for part in (core, tail)})
+        ids = self.vocabulary.ids
+        for word, core, tail in new:
+            self[word] = ids[core] + ids[tail]
+
+
+GROUP = 256
+TAIL = b".,;:!?"
+
+
+def plain_form(word: bytes) -> tuple[bytes, bytes]:
+    """(core in lower case, closing punctuation) whose ids, put together, are those of the word.
+
+    The vocabulary lowers case and parts letters from other signs by itself. Words with combining marks are left
+    alone, since marks join some letters in one case only, and so are special strings; signs are only parted from a letter or digit.
+    """
+    core = word.rstrip(TAIL)
+    if core.isalnum():  # letters and digits of ASCII
+        return core.lower(), word[len(core) :]
+    if b"\xcc" in word or b"\xcd" in word or b"<|" in word or not core:
+        return word, b""
+    last = core[-1:] if core[-1] < 0x80 else core[-4:].decode(errors="ignore")[-1:].encode()
+    return (core.lower(), word[len(core) :]) if last.decode().isalnum() else (word.lower(), b"")
+
+
+def is_plain(word: bytes) -> bool:
+    """Whether a word is only lower-case Latin letters in composed form: one piece for the vocabulary, as it stands."""
+    if word.isalpha():
+        return word.islower()
+    text = word.decode()
+    return text.isalpha() and max(text) < "\u0250" and text == text.lower() and unicodedata.is_normalized("NFC", text)
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -134,13 +209,14 @@ def tokenized(docs: DataFrame, path: str | None = None, source: str = "source")
         closing = np.array([END], "<u2").tobytes()
         for part in parts:
             ids, counts, before = [], [], []
-            texts = [data.split() for data in part["data"].to_pylist()]
-            memo.learn(set().union(*texts))
-            for words, key in zip(texts, part["source_key"].to_pylist()):
-                ids.append(b"".join(map(memo.__getitem__, words)) + closing)
-                counts.append(len(ids[-1]) // 2)
-                before.append(seen[key])
-                seen[key] += counts[-1]
+            for datas, keys in some_at_a_time(part["data"], part["source_key"]):
+                texts = [data.split() for data in datas]
+                memo.learn(set().union(*texts))
+                for words, key in zip(texts, keys):
+                    ids.append(b"".join(map(memo.__getitem__, words)) + closing)
+                    counts.append(len(ids[-1]) // 2)
+                    before.append(seen[key])
+                    seen[key] += counts[-1]
             yield {"doc_id": part["doc_id"], "source_key": part["source_key"], "n": counts, "ids": ids, "block": [block] * len(ids), "before": before}
 
     key = F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("-"))

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ def _word_table() -> bytes:
 
 
 WORDS = _word_table()
-MEMO_WORDS = 1 << 20
+# Words that a task remembers; more are looked up anew.
+MEMO_WORDS = 1 << 18
 
 
 def alnum_words(data: bytes) -> list[bytes]:
@@ -106,6 +108,16 @@ def _as_array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, kind)
 
 
+def some_at_a_time(data: pa.Array, *others: pa.Array, most: int = 2 << 20) -> Iterator[tuple[list, ...]]:
+    """The rows of a batch as lists, in runs of about ``most`` bytes: the words of a whole batch would take much memory."""
+    at, ends = 0, np.cumsum(pc.binary_length(data).to_numpy(zero_copy_only=False), dtype=np.int64)
+    while at < len(data):
+        done = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, done + most)))
+        yield tuple(a[at:end].to_pylist() for a in (data, *others))
+        at = end
+
+
 def text_bytes(name: str = "text") -> Column:
     """The text as UTF-8 bytes; null as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))
