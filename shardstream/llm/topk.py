@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 K = 20
-LEAF = 64
+LEAF = 256
 # Vectors in a shard and queries in a block: what one task holds.
 SHARD_ROWS = 8192
-BLOCK_ROWS = 512
+BLOCK_ROWS = 1024
 # Blocks of queries that one task gets with its shard.
-TASK_BLOCKS = 128
+TASK_BLOCKS = 64
 
 
 class BallTree:
