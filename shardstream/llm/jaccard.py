@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, small_result
-from .words import WordHashes, mixed, pass_over, shingle_set, spaced_words, text_bytes
+from .words import WordHashes, mixed, pass_over, shingle_set, some_at_a_time, spaced_words, text_bytes
 
 # Token orders that a candidate must share a prefix token under; and orders whose first tokens find balls.
 ORDERS, FIRSTS, AGREE = 2, 6, 2
 BALL_ROUNDS = 3
-# The tokens that all orders put last: the most frequent ones, of those that occur LOCAL times in a batch and FREQUENT times in all.
-LOCAL, FREQUENT, FREQUENT_TOKENS = 3, 8, 1 << 18
+# The tokens that all orders put last: the most frequent ones, of those that occur LOCAL times in a run of rows and FREQUENT times in all.
+LOCAL, FREQUENT, FREQUENT_TOKENS = 2, 8, 1 << 18
+# Bytes of text whose tokens a task looks at together.
+RUN_BYTES = 8 << 20
+_SIEVE_BITS = 22
 ORDER_SEED = 0xA24BAED4963EE407
 
 
@@ -41,7 +44,7 @@ def order_keys(tokens: np.ndarray, order: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Stored: a row per document (doc_id, cls, n, firsts) and, without cls, tokens that are frequent in a batch (token, seen).
+    """Stored: a row per document (doc_id, cls, n, firsts) and, without cls, tokens that are frequent in a run of rows (token, seen).
 
     cls is a hash of the set, null for texts without words; firsts are the first tokens under FIRSTS orders.
     """
@@ -49,20 +52,22 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
     def run(parts):
         memo = WordHashes()
         for part in parts:
-            sets = [shingle_set(spaced_words(d), rule.k, memo) for d in part["data"].to_pylist()]
-            classes = [set_hash(s) if len(s) else None for s in sets]
-            firsts = [[int(order_keys(s, o).min().view(np.int64)) for o in range(FIRSTS)] if len(s) else None for s in sets]
-            different = {c: s for c, s in zip(classes, sets) if c is not None}
-            tokens, seen = np.unique(np.concatenate([np.empty(0, np.uint64), *different.values()]), return_counts=True)
-            often = seen >= LOCAL
-            tokens, seen = tokens[often].view(np.int64), seen[often]
-            nothing, n = pa.nulls(len(tokens)), len(sets)
-            yield {
-                "doc_id": pa.concat_arrays([part["doc_id"], nothing.cast(part["doc_id"].type)]),
-                "cls": pa.array([*classes, *[None] * len(tokens)], pa.int64()), "n": pa.array([*map(len, sets), *[None] * len(tokens)], pa.int64()),
-                "firsts": pa.array([*firsts, *[None] * len(tokens)], pa.list_(pa.int64())),
-                "token": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(tokens)]), "seen": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(seen)]),
-            }
+            at = 0
+            for (datas,) in some_at_a_time(part["data"], most=RUN_BYTES):
+                yield from described(part["doc_id"][at : at + len(datas)], [shingle_set(spaced_words(d), rule.k, memo) for d in datas])
+                at += len(datas)
+
+    def described(ids, sets):
+        classes = [set_hash(s) if len(s) else None for s in sets]
+        firsts = [[int(order_keys(s, o).min().view(np.int64)) for o in range(FIRSTS)] if len(s) else None for s in sets]
+        none = len(sets)
+        yield {"doc_id": ids, "cls": classes, "n": list(map(len, sets)), "firsts": firsts, "token": pa.nulls(none, pa.int64()), "seen": pa.nulls(none, pa.int64())}
+        different = {c: s for c, s in zip(classes, sets) if c is not None}
+        tokens, seen = np.unique(np.concatenate([np.empty(0, np.uint64), *different.values()]), return_counts=True)
+        often = seen >= LOCAL
+        tokens, seen = tokens[often].view(np.int64), seen[often]
+        empty = {"doc_id": pa.nulls(len(tokens)), "cls": pa.nulls(len(tokens)), "n": pa.nulls(len(tokens)), "firsts": pa.nulls(len(tokens))}
+        yield empty | {"token": pa.array(tokens), "seen": pa.array(seen)}
 
     columns = {"doc_id": F.col("doc_id"), "data": text_bytes()}
     return materialize(pass_over(docs, columns, "doc_id void, cls long, n long, firsts array<long>, token long, seen long", run))
@@ -83,50 +88,71 @@ class TokenOrder:
         self.tokens = array[by_token]
         self.levels = (np.log2(np.array(seen, np.float64)[by_token] / FREQUENT).astype(np.uint64) + np.uint64(1)) if len(tokens) else np.empty(0, np.uint64)
 
-    def prefix(self, tokens: np.ndarray, order: int, length: int) -> np.ndarray:
-        keys = order_keys(tokens, order) >> np.uint64(6)
-        if len(self.tokens):
-            at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-            frequent = self.tokens[at] == tokens
-            keys[frequent] |= np.minimum(self.levels[at[frequent]], np.uint64(63)) << np.uint64(58)
+        self.sieve = np.zeros(1 << _SIEVE_BITS, bool)
+        self.sieve[self.tokens >> np.uint64(64 - _SIEVE_BITS)] = True
+
+    def __reduce__(self):
+        return _restored, (self.tokens.tobytes(), self.levels.tobytes())
+
+    def ranked(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and leading rank bits of those tokens that are frequent."""
+        maybe = np.flatnonzero(self.sieve[tokens >> np.uint64(64 - _SIEVE_BITS)])
+        if not len(maybe):
+            return maybe, np.empty(0, np.uint64)
+        at = np.minimum(np.searchsorted(self.tokens, tokens[maybe]), len(self.tokens) - 1)
+        same = self.tokens[at] == tokens[maybe]
+        return maybe[same], np.minimum(self.levels[at[same]], np.uint64(63)) << np.uint64(58)
+
+    def prefixes(self, tokens: np.ndarray, length: int) -> list[np.ndarray]:
+        """The first ``length`` tokens under each order."""
         if length >= len(tokens):
-            return tokens
-        return tokens[np.argpartition(keys, length - 1)[:length]] if length else tokens[:0]
+            return [tokens] * ORDERS
+        places, levels = self.ranked(tokens)
+        out = []
+        for order in range(ORDERS):
+            keys = order_keys(tokens, order) >> np.uint64(6)
+            keys[places] |= levels
+            out.append(tokens[np.argpartition(keys, length - 1)[:length]])
+        return out
+
+
+def _restored(tokens: bytes, levels: bytes) -> TokenOrder:
+    """An order from its stored arrays, on another machine."""
+    made = TokenOrder([], [])
+    made.tokens, made.levels = np.frombuffer(tokens, np.uint64), np.frombuffer(levels, np.uint64)
+    made.sieve[made.tokens >> np.uint64(64 - _SIEVE_BITS)] = True
+    return made
 
 
 def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) of classes with the sizes and the common part of their sets: a, b, size_a, size_b, common.
 
-    Only texts of classes in a pair are read again; each set goes to its pairs by a join, which Spark splits where a class
-    has many partners.
+    Only texts of classes in a pair are read again, and travel as texts, which take half the room of their sets. Each goes to its
+    pairs by a join, which Spark splits where a class has many partners.
     """
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     ids = small_result(reps.join(wanted, "cls").select("cls", "rep"))
     rows = docs.select("doc_id", text_bytes().alias("data")).join(ids, F.col("doc_id").eqNullSafe(F.col("rep")))
-
-    def load(parts):
-        memo = WordHashes()
-        for part in parts:
-            sets = [shingle_set(spaced_words(d), rule.k, memo) for d in part["data"].to_pylist()]
-            keep = [i for i, (s, c) in enumerate(zip(sets, part["cls"].to_pylist())) if len(s) and set_hash(s) == c]
-            yield {"cls": part["cls"].take(pa.array(keep, pa.int64())), "tokens": [sets[i].tobytes() for i in keep]}
-
-    sets = materialize(pass_over(rows, {"cls": F.col("cls"), "data": F.col("data")}, "cls long, tokens binary", load))
-    left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("tokens_a"))
-    right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tokens_b"))
+    left = rows.select(F.col("cls").alias("a"), F.col("data").alias("data_a"))
+    right = rows.select(F.col("cls").alias("b"), F.col("data").alias("data_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
 
     def compare(parts):
+        memo, last = WordHashes(), (None, None)
         for part in parts:
-            sizes, others, common = [], [], []
-            for x, y in zip(part["tokens_a"], part["tokens_b"]):
-                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                sizes.append(len(a))
-                others.append(len(b))
-                common.append(len(np.intersect1d(a, b, assume_unique=True)))
-            yield {"a": part["a"], "b": part["b"], "size_a": sizes, "size_b": others, "common": common}
+            out = {c: [] for c in ("a", "b", "size_a", "size_b", "common")}
+            for datas, others, a, b in some_at_a_time(part["data_a"], part["data_b"], part["a"], part["b"]):
+                for data, other, cls_a, cls_b in zip(datas, others, a, b):
+                    one = shingle_set(spaced_words(data), rule.k, memo)
+                    two = last[1] if last[0] == other else shingle_set(spaced_words(other), rule.k, memo)
+                    last = (other, two)
+                    if len(one) and len(two) and set_hash(one) == cls_a and set_hash(two) == cls_b:  # ids may be those of several texts
+                        common = len(np.intersect1d(one, two, assume_unique=True))
+                        for name, value in zip(out, (cls_a, cls_b, len(one), len(two), common)):
+                            out[name].append(value)
+            yield out
 
-    return pass_over(both, {c: F.col(c) for c in ("a", "b", "tokens_a", "tokens_b")}, "a long, b long, size_a long, size_b long, common long", compare).distinct()
+    return pass_over(both, {c: F.col(c) for c in ("a", "b", "data_a", "data_b")}, "a long, b long, size_a long, size_b long, common long", compare).distinct()
 
 
 def linked(rule: Rule):
@@ -198,8 +224,7 @@ def candidates(docs: DataFrame, flags: DataFrame, order: TokenOrder, rule: Rule)
                     if flag["ball"] is None:
                         continue  # a copy of a class that another row stands for
                     ball = flag["ball"]
-                for o in range(ORDERS):
-                    prefix = shared.value.prefix(found, o, rule.prefix(len(found)))
+                for o, prefix in enumerate(shared.value.prefixes(found, rule.prefix(len(found)))):
                     tokens.append((prefix & ~np.uint64(ORDERS - 1)) | np.uint64(o))
                     owners.append(np.full(len(prefix), ball, np.int64))
             pairs = np.empty((sum(map(len, tokens)), 2), np.int64)
@@ -263,7 +288,7 @@ def components(edges: DataFrame) -> DataFrame:
         # large star: of each node's neighbours, the greater ones go to its least neighbour (or itself)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         # small star: each node and its lesser neighbours go to the least of these
         least = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(least, "a")
