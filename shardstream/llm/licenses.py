@@ -13,7 +13,7 @@ GRAM = 5
 # Diagonals this near are one copy with words put in or left out.
 NEAR = 8
 # Least part of a template's words, and least words in a row, that a verified span has.
-COVER, SPAN_WORDS = 0.2, 8
+COVER, SPAN_WORDS = 0.4, 8
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # The phrases of the base scan and their labels.

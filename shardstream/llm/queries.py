@@ -63,7 +63,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
     return rows.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
-        F.col("slot").cast("int").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
