@@ -3,11 +3,13 @@
 import base64
 import hashlib
 import json
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 from shardstream.llm import decontaminate, licenses, secrets, urls
+from shardstream.llm.words import hashed_fold
 from shardstream.llm.queries import URL_RULES
 from tables import changed, documents, prose
 
@@ -175,3 +177,22 @@ def test_models_are_distributions():
     model = urls.Ratio([(r, *c) for r, c in counts.items()])
     assert model.score("http://aab.org") > 0 > model.score("http://abc.net") and model.score("") == 0
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_scores_use_every_run(spark, monkeypatch):
+    made = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüéßñ-_" + "中文网页"
+    rows = [(i, f"http://{'x.org/fr' if i % 2 else 'net'}/{''.join(made.choices(letters, k=30))}") for i in range(4000)]
+    rows += [(5000 + i, rows[i][1].replace("org/fr", "com").replace("//net", "//x.com")) for i in range(40)] + [(6000, None), (6001, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    counts, held = {}, {r["page_id"] for r in pages.filter(hashed_fold("page_id", urls.FOLDS) == 0).collect()}
+    for page, url in rows[:4000]:
+        for run in urls.runs_of(url) if page not in held else ():
+            counts.setdefault(run, [0, 0])[page % 2 == 0] += 1
+    assert len(counts) > 250_000
+    model = urls.Ratio([(r, *c) for r, c in counts.items()])
+    for hot in (urls.HOT, 3):
+        monkeypatch.setattr(urls, "HOT", hot)
+        got = {r["page_id"]: r["score"] for r in urls.judge(pages, URL_RULES).collect()}
+        assert len(got) == len(rows)
+        assert all(abs(got[page] - model.score(url)) < 1e-9 for page, url in rows)
