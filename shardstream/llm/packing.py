@@ -20,8 +20,10 @@ SEQUENCE = 2048
 END = 1
 # Windows whose deficits are worked out one after another; blocks of them are independent of each other.
 BLOCK_WINDOWS = 256
-# Sources with at least 1/QUEUES of all tokens have queues of their own, so there are at most QUEUES of them; the others share one.
+# Sources with at least 1/QUEUES of all tokens have queues of their own, so there are at most QUEUES of them; the others take turns in one.
 QUEUES = 256
+# Tokens of a turn, and turns whose places one task adds up.
+TURN, SLICE = 256, 1 << 16
 # Words whose ids a task remembers, and cores of words whose ids a process does.
 MEMO_WORDS, MEMO_CORES = 1 << 18, 1 << 20
 
@@ -224,14 +226,39 @@ def tokenized(docs: DataFrame, path: str | None = None, source: str = "source")
     return materialize(pass_over(docs, columns, "doc_id void, source_key string, n long, ids binary, block int, before long", run))
 
 
+def turns(sources: DataFrame) -> DataFrame:
+    """The order in which sources (source_key, tokens) share a queue: source_key, turn, place.
+
+    A turn is the next TURN tokens of a source, or what is left of them; ``place`` is where it begins in the queue. A
+    source's deficit grows by its share of what the queue serves, and its next turn comes when the deficit reaches
+    a part of a turn that is the source's own (by hash, so that sources of one size do not come all at once). So
+    deficits are carried over as many windows as it takes, and between the shares of the queue that
+    two points mark, each source has its tokens of that share to within a turn. No source or turn is collected.
+    """
+    sources = sources.withColumn("luck", (F.xxhash64("source_key") % (1 << 30) / float(1 << 31)) + 0.5)
+    all_turns = F.expr(f"sequence(0L, (tokens - 1) div {TURN})")
+    dealt = sources.select("source_key", "tokens", "luck", F.explode(all_turns).alias("turn"))
+    size = F.least(F.lit(TURN), F.col("tokens") - F.col("turn") * TURN)
+    due = (F.col("turn") * TURN + F.col("luck") * size) / F.col("tokens")
+    slices = 1 + (sources.agg(F.sum(F.expr(f"(tokens - 1) div {TURN} + 1"))).first()[0] or 0) // SLICE
+    dealt = dealt.select("source_key", "turn", size.alias("size"), due.alias("due"), F.floor(due * slices).alias("slice"))
+    so_far = Window.rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy("slice").agg(F.sum("size").alias("all"))  # one row a slice
+    sums = sums.select("slice", F.coalesce(F.sum("all").over(so_far.orderBy("slice")), F.lit(0)).alias("base"))
+    inside = F.sum("size").over(so_far.partitionBy("slice").orderBy("due", "source_key", "turn"))
+    dealt = dealt.withColumn("inside", F.coalesce(inside, F.lit(0)))
+    return dealt.join(sums, "slice").select("source_key", "turn", (F.col("base") + F.col("inside")).alias("place"))
+
+
 def packed(docs: DataFrame, path: str | None = None, source: str = "source", sequence: int = SEQUENCE) -> DataFrame:
     """Pieces of documents in sequences of ``sequence`` tokens: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue, ids.
 
-    The queues are the sources (see QUEUES; a null source is a source of its own), their targets the sources' shares
-    of all tokens. All sequences are full but the last, and every token lies in exactly one piece. Order in a
+    The queues are the sources (a null source is a source of its own), their targets the sources' shares of all
+    tokens. Sources too small for a queue (see QUEUES) take turns in one more (see :func:`turns`), each by its share. All sequences are full but the last, and every token lies in exactly one piece. Order in a
     queue is that of the table's parts. A null or empty text is the one token END; repeated rows are packed each; special
     strings in texts become what the vocabulary makes of them; an empty table gives no rows. Tokens are
-    written once and never shuffled: the driver and the joins see sums by source and part only.
+    written once; those of queues of their own are never shuffled, those of small sources once, to their turns. The driver
+    sees the sums of sources with queues of their own only.
     """
     spark = docs.sparkSession
     tokens = tokenized(docs, path, source)
@@ -241,32 +268,36 @@ def packed(docs: DataFrame, path: str | None = None, source: str = "source", seq
     large = per_source.filter(F.col("tokens") * QUEUES >= total).orderBy("source_key").collect()  # at most QUEUES rows
     rest = total - sum(r["tokens"] for r in large)
     lengths, number = [r["tokens"] for r in large], {r["source_key"]: q for q, r in enumerate(large)}
-    shared = len(lengths)
-    if 0 < rest * SEQUENCE < total:  # too few tokens for one in each window: they follow the longest queue
-        shared = lengths.index(max(lengths))
-        lengths[shared] += rest
-    elif rest:
-        lengths.append(rest)
     named = spark.createDataFrame([(k, q) for k, q in number.items()] or [("", 0)], "source_key string, queue int")
-    queued = sums.join(F.broadcast(named), "source_key", "left").withColumn("queue", F.coalesce("queue", F.lit(shared)))
-    earlier = Window.partitionBy("queue").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy("queue", "block").orderBy("source_key").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = queued.groupBy("queue", "block").agg(F.sum("tokens").alias("all")).withColumn("base", F.coalesce(F.sum("all").over(earlier), F.lit(0)))
-    first = F.col("base") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))
-    starts = queued.join(blocks, ["queue", "block"]).select("block", "source_key", "queue", first.alias("first"))
-    placed = tokens.join(small_result(starts), ["block", "source_key"])
+    earlier = Window.partitionBy("source_key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("block", "source_key", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("first"))
+    first = F.col("first") + F.col("before")
+    own = tokens.join(small_result(starts.join(F.broadcast(named), "source_key")), ["block", "source_key"])
+    placed = own.select("doc_id", "queue", first.alias("begin"), F.lit(0).cast("long").alias("skip"), F.col("n").alias("size"), "n", "ids")
+    if rest:
+        small = per_source.join(F.broadcast(named), "source_key", "left_anti")
+        order = small_result(turns(small))
+        parts = tokens.join(small_result(starts.join(F.broadcast(named), "source_key", "left_anti")), ["block", "source_key"])
+        parts = parts.withColumn("first", first).withColumn("turn", F.explode(F.expr(f"sequence(first div {TURN}, (first + n - 1) div {TURN})")))
+        parts = parts.withColumn("from", F.greatest("first", F.col("turn") * TURN))
+        parts = parts.withColumn("size", F.least(F.col("first") + F.col("n"), (F.col("turn") + 1) * TURN) - F.col("from"))
+        parts = parts.withColumn("skip", F.col("from") - F.col("first"))
+        parts = parts.withColumn("ids", F.expr("substring(ids, CAST(2 * skip + 1 AS INT), CAST(2 * size AS INT))")).join(order, ["source_key", "turn"])
+        begin = F.col("place") + F.col("from") - F.col("turn") * TURN
+        placed = placed.unionByName(parts.select("doc_id", F.lit(len(lengths)).alias("queue"), begin.alias("begin"), "skip", "size", "n", "ids"))
+        lengths.append(rest)
     plan = spark.sparkContext.broadcast(Schedule(lengths, sequence))
 
     def run(parts):
         for part in parts:
             rows, at, made = [], [], []
-            columns = (part[c].to_pylist() for c in ("queue", "begin", "n", "ids"))
-            for i, (queue, begin, n, ids) in enumerate(zip(*columns)):
+            columns = (part[c].to_pylist() for c in ("queue", "begin", "skip", "size", "n", "ids"))
+            for i, (queue, begin, skip, size, n, ids) in enumerate(zip(*columns)):
                 wide = memoryview(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
-                for sequence_id, offset, start, length in plan.value.pieces(queue, begin, n):
+                for sequence_id, offset, start, length in plan.value.pieces(queue, begin, size):
                     at.append(i)
                     cut = wide[4 * start : 4 * (start + length)]
-                    rows.append((start, length, zlib.crc32(cut), n, sequence_id, offset, queue))
+                    rows.append((skip + start, length, zlib.crc32(cut), n, sequence_id, offset, queue))
                     made.append(ids[2 * start : 2 * (start + length)])
             names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue")
             for lo in range(0, len(at), 50_000):
@@ -275,6 +306,6 @@ def packed(docs: DataFrame, path: str | None = None, source: str = "source", seq
                 out |= {"doc_id": part["doc_id"].take(pa.array(at[lo : lo + 50_000])), "ids": made[lo : lo + 50_000]}
                 yield out
 
-    columns = {"doc_id": F.col("doc_id"), "queue": F.col("queue"), "begin": F.col("first") + F.col("before"), "n": F.col("n"), "ids": F.col("ids")}
+    columns = {c: F.col(c) for c in ("doc_id", "queue", "begin", "skip", "size", "n", "ids")}
     schema = "doc_id void, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue int, ids binary"
     return pass_over(placed, columns, schema, run)

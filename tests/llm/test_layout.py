@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 from shardstream.llm import packing, sharding
-from tables import documents, prose
+from tables import SCHEMA, documents, prose
 from tokenizers import Tokenizer
 
 
@@ -73,6 +73,54 @@ def test_packing_odd_tables(spark):
     assert sorted((r["doc_id"], r["length"], r["sequence_id"]) for r in only) == [(0, 1, 0), (1, 1, 0)]
 
 
+def many_sources(spark, sources: int, extra: list[tuple] = ()):
+    """Documents of many sources of one size, source after source, and extra (source, documents) at the end."""
+    names = [name for name, n in [*((f"host{s}", 6) for s in range(sources)), *extra] for _ in range(n)]
+    made = [(i, prose(i % 40, 60), None, name, None, None, None, None, None, None, None) for i, name in enumerate(names)]
+    return spark.createDataFrame(made, SCHEMA), dict(enumerate(names))
+
+
+@pytest.mark.parametrize("extra", [[], [("main", 4000), ("tiny", 1)]])
+def test_small_sources_share_by_their_sizes(spark, monkeypatch, extra):
+    """More sources than have queues of their own: each is served by its share all along, and no token is lost."""
+    monkeypatch.setattr(packing, "TURN", 64)
+    docs, source_of = many_sources(spark, 300, extra)
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
+    ids_of = {t: tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in {prose(i, 60) for i in range(40)}}
+    pieces, where, served = defaultdict(list), set(), defaultdict(list)
+    for r in packing.packed(docs).collect():
+        ids = list(struct.unpack(f"<{len(r['ids']) // 2}H", r["ids"]))
+        assert r["length"] == len(ids) and r["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+        pieces[r["doc_id"]].append((r["start"], ids))
+        places = range(r["sequence_id"] * 2048 + r["offset"], r["sequence_id"] * 2048 + r["offset"] + len(ids))
+        assert where.isdisjoint(places)
+        where.update(places)
+        served[source_of[r["doc_id"]]] += places
+    want = {r["doc_id"]: ids_of[r["text"]] for r in docs.collect()}
+    assert {d: [i for _, ids in sorted(p) for i in ids] for d, p in pieces.items()} == want
+    total = sum(map(len, want.values()))
+    assert where == set(range(total))
+    for share in (0.25, 0.5, 0.75):
+        got = {s: sum(p < share * total for p in places) for s, places in served.items()}
+        # a turn, and what the shared queue's own turns have run ahead or behind
+        assert all(abs(got[s] - share * len(served[s])) <= 64 + 0.05 * len(served[s]) + 2 for s in served)
+    hosts = [s for s in served if s.startswith("host")]
+    first = {s for s in hosts if min(served[s]) < total / 8}
+    assert len(first) > len(hosts) / 2
+
+
+def test_turns_fill_a_queue(spark, monkeypatch):
+    """Turns of sources of all sizes lie end to end, also over slices."""
+    monkeypatch.setattr(packing, "SLICE", 16)
+    sizes = {f"s{i}": n for i, n in enumerate([1, 2, 255, 256, 257, 5000, 100, 9999, *[300] * 50])}
+    order = packing.turns(spark.createDataFrame(list(sizes.items()), "source_key string, tokens long")).collect()
+    at = 0
+    for r in sorted(order, key=lambda r: r["place"]):
+        assert r["place"] == at
+        at += min(256, sizes[r["source_key"]] - 256 * r["turn"])
+    assert at == sum(sizes.values())
+
+
 def least_capacity(sizes: list[int], shards: int) -> int:
     best = {0: 0}
     for _ in range(shards):
