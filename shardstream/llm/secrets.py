@@ -22,8 +22,14 @@ ASSIGN = re.compile(
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-BLOCK = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+# Line breaks may be real or escaped, as in JSON and in source strings.
+BLOCK = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/])+)-----END \1-----")
+BLANK = re.compile(r"\\+[nrt]|\\+(?=/)|\s")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{40,}(?:[ \t]*+(?:\\++[nr]|[\r\n])++[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
+BREAK = re.compile(r"[ \t]*+(?:\\++[nr]|[\r\n])++[ \t]*+")
+# How the base64 of a sequence, of an OpenSSH key and of a key block begins.
+KEY_START = re.compile(r"M[A-I]|b3BlbnNz|LS0t")
 HEX_BLOB = re.compile(r"[0-9A-Fa-f]{48,}")
 SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 LONG = re.compile(r"[!-~]{20,}")
@@ -84,6 +90,67 @@ def decoded(text: str) -> bytes | None:
         return None
 
 
+def is_key_block(match: re.Match) -> bool:
+    return is_private_key(decoded(BLANK.sub("", match[2])) or b"")
+
+
+def key_bytes(data: bytes) -> int:
+    """Bytes of the OpenSSH key or the key block that ``data`` begins with; 0 if there is none."""
+    if data.startswith(b"-----BEGIN "):
+        block = BLOCK.match(data.decode("latin-1"))
+        return block.end() if block and is_key_block(block) else 0
+    if not is_private_key(data):
+        return 0
+    at = len(b"openssh-key-v1\0")
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+    for _ in range(keys + 1):  # the public keys, then the private ones together
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at if at <= len(data) else 0
+
+
+def key_length(run: str, start: int) -> int:
+    """Characters of the base64 key that begins at ``start``, by the length that the key itself gives; 0 if none does."""
+    head = decoded(run[start : start + 16]) or b""
+    if len(head) < 12:
+        return 0
+    if head.startswith((b"-----BEGIN ", b"openssh-key-")):
+        rest = run[start:].rstrip("=")
+        size = key_bytes(decoded(rest[: len(rest) - (len(rest) % 4 == 1)]) or b"")
+        return -(-size * 4 // 3)
+    more = head[1] & 0x7F if head[1] & 0x80 else 0
+    if head[0] != SEQUENCE or more > 4 or head[2 + more : 4 + more] != bytes([INTEGER, 1]):
+        return 0
+    size = 2 + more + (int.from_bytes(head[2 : 2 + more], "big") if more else head[1])
+    length = -(-size * 4 // 3)
+    return length if start + length <= len(run) and is_private_key(decoded(run[start : start + length]) or b"") else 0
+
+
+def keys_inside(text: str) -> list[tuple[int, int]]:
+    """Base64 keys that begin or end inside a run of such characters, or go on over line breaks: start, end."""
+    found = []
+    for match in WRAPPED.finditer(text):
+        if not KEY_START.search(BREAK.sub("", match[0])):
+            continue
+        pieces, at = [], match.start()
+        for gap in BREAK.finditer(match[0]):
+            pieces.append(range(at, match.start() + gap.start()))
+            at = match.start() + gap.end()
+        pieces.append(range(at, match.end()))
+        places = [p for piece in pieces for p in piece]
+        run, at = "".join(text[p.start : p.stop] for p in pieces), 0
+        while start := KEY_START.search(run, at):
+            length = key_length(run, start.start())
+            at = start.start() + (length or 1)
+            if length:
+                end = places[at - 1] + 1
+                while end < match.end() and text[end] == "=":
+                    end += 1
+                found.append((places[start.start()], end))
+    return found
+
+
 def _json_object(segment: str) -> dict | None:
     try:
         value = json.loads(decoded(segment) or b"")
@@ -111,8 +178,11 @@ def find_secrets(text: str) -> list[tuple[int, int, int]]:
     if LONG.search(text):
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-        found += [(m.start(), 3, m.end()) for m in BLOCK.finditer(text) if is_private_key(decoded("".join(m[2].split())) or b"")]
-        found += [(m.start(), 4, m.end()) for m in BASE64.finditer(text) if is_private_key(decoded(m[0]) or b"")]
+        blocks = [(m.start(), 3, m.end()) for m in BLOCK.finditer(text) if is_key_block(m)]
+        runs = [(m.start(), 4, m.end()) for m in BASE64.finditer(text) if is_private_key(decoded(m[0]) or b"")]
+        inside = [(start, 4, end) for start, end in keys_inside(text) if not any(a < end and start < b for a, _, b in blocks)]
+        runs = [r for r in runs if not any(a <= r[0] and r[2] <= b for a, _, b in inside)]  # first lines of longer keys
+        found += blocks + runs + [k for k in inside if not any(a < k[2] and k[0] < b for a, _, b in runs)]
         found += [(m.start(), 5, m.end()) for m in HEX_BLOB.finditer(text) if len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0]))]
         found += [(m.start(), 6, m.end()) for m in SIGNED.finditer(text) if is_signed_token(m[0])]
     return sorted(found)
@@ -123,7 +193,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     The base kinds are assignments to secret names, access ids and runs of hex digits. The other kinds
     are reported only when their decoded content holds: a private key in a block, in bare base64 or in hex (nested
-    lengths must add up), and a signed token (header, claims, signature). Null and empty texts have no spans; rows
+    lengths must add up; breaks of lines may be escaped, base64 may be wrapped or have other characters before and after it), and a signed token (header, claims, signature). Null and empty texts have no spans; rows
     are judged one by one, also equal ones; a text of any length is searched whole, in one task; an
     empty table gives no rows. Other columns are not read, and nothing is shuffled.
     """

@@ -60,6 +60,37 @@ def test_key_block_and_mask():
     assert secrets.masked(secrets.masked(text)) == secrets.masked(text)
 
 
+def openssh_key():
+    def string(data):
+        return len(data).to_bytes(4, "big") + data
+
+    return b"openssh-key-v1\0" + string(b"none") * 2 + string(b"") + (1).to_bytes(4, "big") + string(b"p" * 51) + string(b"k" * 136)
+
+
+@pytest.mark.parametrize("key", [RSA, openssh_key()])
+def test_keys_in_strings_lines_and_paths(key):
+    plain, lines = base64.b64encode(key).decode(), base64.encodebytes(key).decode()
+    block = f"-----BEGIN PRIVATE KEY-----\n{lines}-----END PRIVATE KEY-----\n"
+    escaped = json.dumps({"private_key": block})
+    assert ("key_block", block.strip().replace("\n", "\\n")) in kinds(escaped)
+    assert "key_block" in [k for k, _ in kinds(json.dumps(escaped))]
+    for text, wanted in (
+        (f"key:\n{lines}\nend", lines.strip()),
+        (f"key: {lines.strip()!r} end", lines.strip().replace("\n", "\\n")),
+        ("  " + lines.strip().replace("\n", "\r\n  "), lines.strip().replace("\n", "\r\n  ")),
+        (f"\\n{plain}\\n", plain),
+        (f"/some/path/{plain} x", plain),
+        (f"name-{plain} x", plain),
+        (f"x {plain.rstrip('=')}/tail", plain.rstrip("=")),
+        (f"data: {base64.b64encode(block.encode()).decode()}", None),
+    ):
+        found = [t for k, t in kinds(text) if k == "key_base64"]
+        assert len(found) == 1 and (wanted is None or found == [wanted])
+        assert plain[:30] not in secrets.masked(text)
+    broken = base64.b64encode(key[:-40]).decode()
+    assert not [k for k, _ in kinds(f"name/{broken[:76]}\n{broken[76:]}") if k.startswith("key")]
+
+
 def test_secrets_of_odd_rows(spark):
     docs = documents(spark)
     found = secrets.scan_secrets(docs)
