@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import materialize
 from .words import alnum_words, pass_over, text_bytes
 
 WINDOW = 13
@@ -76,13 +79,14 @@ def _hash(columns) -> np.ndarray:
     return out
 
 
-def _slices(benchmark: DataFrame, window: int, slice_bytes: int) -> list[Windows]:
-    """The benchmark's windows; each slice holds about ``slice_bytes`` of text at most."""
-    narrow = benchmark.select(F.col("item_id").cast("string").alias("item"), text_bytes().alias("data"))
+def _slices(benchmark: DataFrame, window: int, slice_bytes: int) -> Iterator[tuple[Windows, bool]]:
+    """The benchmark's windows, slice by slice, and whether it is the last; each holds about ``slice_bytes`` of distinct texts at most."""
+    narrow = materialize(benchmark.select(F.col("item_id").cast("string").alias("item"), text_bytes().alias("data")).distinct())
     total = narrow.agg(F.sum(F.length("data"))).first()[0] or 0
-    parts = -(-total // slice_bytes)
-    at = F.pmod(F.xxhash64("item", "data"), F.lit(max(parts, 1)))
-    return [Windows.of([(r[0], bytes(r[1])) for r in narrow.filter(at == p).collect()], window) for p in range(parts)]
+    parts = max(-(-total // slice_bytes), 1)
+    at = F.pmod(F.xxhash64("item", "data"), F.lit(parts))
+    for p in range(parts):
+        yield Windows.of([(r[0], bytes(r[1])) for r in narrow.filter(at == p).collect()], window), p == parts - 1
 
 
 def _marks(spans: list) -> list[tuple[int, int]]:
@@ -93,8 +97,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_byte
     """Hits of benchmark windows in every document: doc_id, n_words, n_hit, items, spans (of word numbers).
 
     A window is ``window`` consecutive words of an item, or all words of a shorter item; items without
-    words have none. A word is hit if it lies in any occurrence of a window. No shuffle: each slice of
-    the benchmark is broadcast and the documents stream past it. Null or empty texts have no words and
+    words have none. A word is hit if it lies in any occurrence of a window. Documents are not shuffled: each slice of
+    the benchmark is broadcast and the documents stream past it; what a slice but the last finds is stored. Null or empty texts have no words and
     no hits; equal rows are judged alike, row by row; items without an id mark words but are not
     listed; an empty benchmark hits nothing. Other columns of either table are not looked at.
     """
@@ -104,9 +108,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_byte
         "doc_id", text_bytes().alias("data"), F.lit(None).cast("array<string>").alias("items"),
         F.lit(None).cast("array<struct<start:long,end:long>>").alias("spans"),
     )
-    slices = _slices(benchmark, window, slice_bytes) or [Windows()]
-    for number, windows in enumerate(slices):
-        shared, last = spark.sparkContext.broadcast(windows), number == len(slices) - 1
+    for windows, last in _slices(benchmark, window, slice_bytes):
+        shared = spark.sparkContext.broadcast(windows)
 
         def run(parts, shared=shared, last=last):
             for part in parts:
@@ -127,6 +130,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_byte
 
         columns = {c: F.col(c) for c in ("doc_id", "data", "items", "spans")}
         out = pass_over(out, columns, schema, run)
+        if not last:  # one slice at a time is held by workers
+            out = materialize(out)
+            shared.unpersist()
     return out.drop("data")
 
 
@@ -135,26 +141,36 @@ def contaminated(percent: int = 5):
     return (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent: int = 5) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent: int = 5, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The documents that are not contaminated, with all their columns as they were.
 
     Rows are judged by their text; null and empty texts stay. No shuffle: the scan runs inside a pass
-    that keeps or drops whole rows.
+    that keeps or drops whole rows; a benchmark of several slices takes a stored pass for each but the last.
     """
-    spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(w) for w in _slices(benchmark, window, SLICE_BYTES)]
-    at = docs.columns.index("text")
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for text in batch.column(at).to_pylist():
-                words = alnum_words((text or "").encode())
-                hit = np.zeros(len(words), bool)
-                for windows in shared:
-                    hit |= windows.value.scan(words)[0]
-                n = int(hit.sum())
-                keep.append(not (n and 100 * n >= percent * len(words)))
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    spark, out, at = docs.sparkSession, docs, docs.columns.index("text")
+    marked = T.StructType([*docs.schema.fields, T.StructField("__hits", T.BinaryType())])
+    for windows, last in _slices(benchmark, window, slice_bytes):
+        shared = spark.sparkContext.broadcast(windows)
+
+        def run(batches, shared=shared, last=last, width=len(docs.columns)):
+            for batch in batches:
+                keep, hits = [], []
+                before = batch.column(width).to_pylist() if batch.num_columns > width else [None] * batch.num_rows
+                for text, earlier in zip(batch.column(at).to_pylist(), before):
+                    words = alnum_words((text or "").encode())
+                    hit = shared.value.scan(words)[0]
+                    if earlier:
+                        hit |= np.unpackbits(np.frombuffer(earlier, np.uint8), count=len(words)).astype(bool)
+                    n = int(hit.sum())
+                    keep.append(not (n and 100 * n >= percent * len(words)))  # later slices only add hits
+                    hits.append(None if last or not n else np.packbits(hit).tobytes())
+                columns, names = batch.columns[:width], batch.schema.names[:width]
+                if not last:
+                    columns, names = [*columns, pa.array(hits, pa.binary())], [*names, "__hits"]
+                yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+
+        out = out.mapInArrow(run, docs.schema if last else marked)
+        if not last:  # one slice at a time is held by workers
+            out = materialize(out)
+            shared.unpersist()
+    return out

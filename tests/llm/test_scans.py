@@ -162,6 +162,22 @@ def test_overlap_is_brute_force(spark, slice_bytes):
     assert decontaminate.scan(docs, benchmark.limit(0)).filter("n_hit > 0").isEmpty() and decontaminate.scan(docs.limit(0), benchmark).count() == 0
 
 
+def test_repeated_items_and_slices(spark, monkeypatch):
+    """A repeated item is collected once, and passes slice by slice keep what one pass does."""
+    items = [(str(i), prose(50 + i, 20)) for i in range(4)]
+    benchmark = spark.createDataFrame(items + [items[0]] * 500, "item_id string, text string")
+    texts = [None, "", prose(60, 100), *(f"{prose(70 + i, 10 + 260 * (i % 2))} {t}" for i, (_, t) in enumerate(items)), f"{items[0][1]} {prose(61, 500)} {items[3][1]}"]
+    docs, seen, of = documents(spark, texts), [], decontaminate.Windows.of
+    monkeypatch.setattr(decontaminate.Windows, "of", staticmethod(lambda rows, window: (seen.append(rows), of(rows, window))[1]))
+    whole = sorted(r["doc_id"] for r in decontaminate.clean_documents(docs, benchmark).collect())
+    assert sorted(map(tuple, sum(seen, []))) == [(i, t.encode()) for i, t in items]
+    sliced = decontaminate.clean_documents(docs, benchmark, slice_bytes=150)
+    assert len(seen) > 3 and sliced.schema == docs.schema
+    assert sorted(r["doc_id"] for r in sliced.collect()) == whole and 0 < len(whole) < len(texts)
+    scanned = decontaminate.scan(docs, benchmark, slice_bytes=150)
+    assert sorted(r["doc_id"] for r in scanned.filter(~decontaminate.contaminated()).collect()) == whole
+
+
 def brute_rule(url):
     host = path = ""
     if url and "://" in url:
