@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, packing, quality, secrets, sharding, topk, toxicity, urls
+from ..session import scratch_path
+from . import decontaminate, jaccard, lexical, licenses, packing, quality, secrets, sharding, topk, toxicity, turns, urls, warc
 from .words import hashed_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +160,121 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged(scores, toxicity.FOLDS, toxicity.HELD_OUT)
+
+
+OP11 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents),
+item AS (
+  SELECT row_number() OVER () AS item_no, item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_terms FROM doc WHERE len(words) > 0),
+asked AS (SELECT item_no, item_id, term, count(*) AS times FROM (SELECT item_no, item_id, unnest(words) AS term FROM item) GROUP BY ALL),
+held AS (SELECT row, doc_id, n, term, count(*) AS tf
+         FROM (SELECT row, doc_id, len(words) AS n, unnest(words) AS term FROM doc) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weighed AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM held, size GROUP BY term, n_docs),
+scored AS (
+  SELECT item_no, item_id, row, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weighed USING (term), size GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0) WHERE rank <= 10"""
+
+
+@query("op11_length_strata_search", OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The least of (cost, audit, repaired text) from each state on, row by row from the last; states: 0 start, 1 system, 2 user, 3 assistant.
+_NEXT = (2, 2, 3, 2)
+
+
+def _repair_sql() -> str:
+    def made(to: int) -> str:
+        return "'user'" if to == 2 else "'assistant'"
+
+    def led(cost: str, initial: str, text: str, rest: str) -> str:
+        joined = f"CASE WHEN {rest}.r = '' THEN {text} ELSE {text} || chr(10) || {rest}.r END" if text else f"{rest}.r"
+        return f"{{'c': {rest}.c + {cost}, 'a': '{initial}' || {rest}.a, 'r': {joined}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    def kept(state: int) -> list[tuple[str, int]]:
+        return [("s", 1)] * (state == 0) + [({2: "u", 3: "a"}[_NEXT[state]], _NEXT[state])]
+
+    def row(state: int) -> str:
+        """From a state over a row: delete, keep or rerole; dear ways stand in for those that can't be."""
+        ways = [led("2", "D", "", f"b{state}")]
+        for initial, to in kept(state):
+            ways.append(led(f"(CASE WHEN gone OR initial <> '{initial}' THEN 1000000 ELSE 5 * cut END)", "K", "(role || ':' || text)", f"b{to}"))
+        ways.append(led("(CASE WHEN gone THEN 1000000 ELSE 1 + 5 * cut END)", "R", f"({made(_NEXT[state])} || ':' || text)", f"b{_NEXT[state]}"))
+        return least(*ways)
+
+    def inserting(state: int, name: str) -> str:
+        once = led("5", "I", made(_NEXT[state]) + " || ':'", f"{name}{_NEXT[state]}")
+        return least(f"{name}{state}", once)
+
+    end = ["{'c': 0, 'a': '', 'r': ''}", "{'c': 10, 'a': 'II', 'r': 'user:' || chr(10) || 'assistant:'}", "{'c': 5, 'a': 'I', 'r': 'assistant:'}", "{'c': 0, 'a': '', 'r': ''}"]
+    four = range(4)
+    each = lambda make: ", ".join(f"{make(s)} AS b{s}" for s in four)
+    return f"""
+WITH RECURSIVE hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+           lambda x: ord(x)::BIGINT)), lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+           lambda bits, i: xor(bits >> 1, CASE WHEN bits & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT) % 20 AS kind FROM conversations),
+hurt AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS words
+  FROM hurt),
+judged AS (
+  SELECT conv_id, turn, role, text, pos, left(role, 1) AS initial, words = '' AS blank, words <> '' AND again > 1 AS twice,
+         words <> '' AND again = 1 AND right(words, 1) NOT IN ('.', '!', '?') AS truncated,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal FROM placed),
+rows_of AS (SELECT *, blank OR twice AS gone, truncated::INTEGER AS cut FROM judged),
+best AS (
+  SELECT conv_id, count(*) AS pos, {each(lambda s: end[s])} FROM rows_of GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, pos, {each(lambda s: inserting(s, 'b'))} FROM (SELECT conv_id, pos, {each(lambda s: inserting(s, 'b'))} FROM (
+    SELECT best.conv_id, best.pos - 1 AS pos, {each(row)}
+    FROM best JOIN rows_of r ON best.conv_id IS NOT DISTINCT FROM r.conv_id AND best.pos = r.pos))),
+counted AS (
+  SELECT conv_id, CASE WHEN max(turn) IS NULL THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps, sum(blank::INTEGER) AS blank,
+         sum(twice::INTEGER) AS duplicate, sum(cut) AS truncated, sum(coalesce(illegal, FALSE)::INTEGER) AS illegal FROM rows_of GROUP BY conv_id),
+convs AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(b0.c, 0) AS BIGINT) AS cost,
+       coalesce(b0.a, '') AS audit, sha256(coalesce(b0.r, '')) AS repaired_sha256
+FROM convs c LEFT JOIN counted n ON c.conv_id IS NOT DISTINCT FROM n.conv_id
+LEFT JOIN (SELECT * FROM best WHERE pos = 0) b ON c.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+
+OP12 = _repair_sql()
+
+
+@query("op12_run_length_repair", OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damaged(table(spark, sf_dir, "conversations")))
+
+
+OP13 = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS html, row_number() OVER () AS row FROM pages),
+ordered AS (
+  SELECT page_id, html, strlen(html) AS size, row_number() OVER (PARTITION BY html ORDER BY page_id NULLS LAST, row) AS nth,
+         first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST, row) AS original FROM page)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN size >= 100 AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN size >= 100 AND nth > 1 THEN original END AS refers_to
+FROM ordered"""
+
+
+@query("op13_content_addressed_warc", OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
