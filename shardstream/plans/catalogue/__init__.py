@@ -3,6 +3,8 @@
 from . import (  # noqa: F401
     batching_queries,
     consume_queries,
+    live_queries,
+    log_queries,
     metric_queries,
     produce_queries,
     record_queries,

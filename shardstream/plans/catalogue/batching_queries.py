@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ...config import Limits
 from ...functions import records as R
+from ...functions.records import MAGIC
 from ...operators import routing
 from ...operators.batching import assign_batches, batch_summary, chunk_puts, group_within, with_request_index
 from ...operators.consume import reconcile, reconcile_summary
@@ -225,7 +226,32 @@ def sizes_in_packs(spark, sf_dir):
     return numbered.select("put_id", "partition_key", "rn", "pack_no", "packed_size")
 
 
-@query("pack_wire_digest")
+def _varint_hex(x):
+    return (
+        f"CASE WHEN {x} < 128 THEN printf('%02x', {x}) WHEN {x} < 16384 THEN printf('%02x%02x', {x} % 128 + 128, {x} // 128)"
+        f" ELSE printf('%02x%02x%02x', {x} % 128 + 128, {x} // 128 % 128 + 128, {x} // 16384) END"
+    )
+
+
+def _field_hex(tag, text):
+    return f"'{tag}' || {_varint_hex(f'strlen({text})')} || lower(hex(encode({text})))"
+
+
+WIRE = f"""{PACKED[: PACKED.rindex('SELECT put_id')]},
+entries AS (
+  SELECT w.put_id, w.partition_key, pack_no, w.rn, size, hs, data_text, printf('%02x', list_position(hs, k.h) - 1) AS place, d
+  FROM walk w JOIN (SELECT *, row_number() OVER (PARTITION BY put_id, partition_key ORDER BY seq_in_put) AS rn FROM keyed) k USING (put_id, partition_key, rn)),
+written AS (
+  SELECT *, '1a' || {_varint_hex(f"(d + 5 + {_varint_len('d')})")} || '080010' || place || '1a' || {_varint_hex('d')} || lower(hex(encode(data_text))) AS entry FROM entries),
+framed AS (
+  SELECT put_id, partition_key, pack_no, max(size) AS size, min(data_text) AS alone, arg_max(hs, rn) AS hs, string_agg(entry, '' ORDER BY rn) AS listed
+  FROM written GROUP BY ALL),
+bodies AS (SELECT *, {_field_hex('0a', 'partition_key')} || array_to_string(list_transform(hs, lambda x: {_field_hex('12', 'x')}), '') || listed AS body FROM framed)
+SELECT put_id, partition_key, CAST(pack_no AS BIGINT) AS pack_no,
+       CASE WHEN size > 8192 THEN md5(alone) ELSE md5(unhex('{MAGIC.hex()}' || body || md5(unhex(body)))) END AS digest FROM bodies"""
+
+
+@query("pack_wire_digest", WIRE)
 def pack_wire_digest(spark, sf_dir):
     packed = pack_records(documents_to_pack(spark, sf_dir), DOCUMENT_LIMITS)
     return packed.select("put_id", "partition_key", "pack_no", F.md5("data").alias("digest"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,9 @@ from ..config import Position
 from ..operators.checkpoints import after_checkpoint, checkpoints
 from ..operators.produce import ENTRY
 from ..session import broadcast_checked, materialize
+from . import manifest
+
+CHECKPOINT = "stream_name string, shard_id string, sequence_number string, sub_sequence_number long"
 
 CONSUMER_RECORD = T.StructType(
     [
@@ -27,14 +32,28 @@ CONSUMER_RECORD = T.StructType(
 )
 
 
-def write_record_log(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Land consumer records. One directory per stream; shards stay columns, since a stream may have thousands.
+def write_record_log(df: DataFrame, path: str, mode: str = "append", commit: str | None = None) -> None:
+    """Land consumer records, once for each ``commit`` name: a name that has landed before lands nothing more.
 
-    Rows are rebalanced by stream before: small streams share a task, a hot one is split over many,
-    and files come out evenly sized.
+    One directory per stream; shards stay columns, since a stream may have thousands. Rows are rebalanced by shard before:
+    small shards share a task, a hot one is split over many, files come out evenly sized and hold few shards. The
+    manifest notes for each file and shard the positions and arrivals it holds, so that a consumer reads only files it needs.
     """
-    columns = [f.name for f in CONSUMER_RECORD.fields]
-    df.select(*columns).hint("rebalance", "stream_name").write.mode(mode).partitionBy("stream_name").parquet(path)
+    spark, commit = df.sparkSession, commit or str(uuid.uuid4())
+    if mode == "overwrite":
+        manifest.remove_folder(spark, path)
+    manifest.recover(spark, path)
+    if manifest.committed(spark, path, commit):
+        return
+    stage_records(df, path, commit)
+    manifest.land(spark, path, commit, CONSUMER_RECORD)
+    manifest.compact(spark, path)
+
+
+def stage_records(df: DataFrame, path: str, commit: str) -> None:
+    """Write records aside, to be landed by their commit's name."""
+    rows = df.select(*[f.name for f in CONSUMER_RECORD.fields])
+    manifest.stage(rows.hint("rebalance", "stream_name", "shard_id"), path, commit)
 
 
 def read_record_log(
@@ -65,18 +84,15 @@ def read_record_log(
 def shard_tips(log: DataFrame, store: str | None = None) -> DataFrame:
     """The newest position of each shard now, for a consumer that starts at LATEST: written out, so that it stays what it was.
 
-    With a ``store`` the tips are captured once and read from there ever after, also by a consumer that starts again.
+    With a ``store`` the tips are captured once and read from there ever after, also by a consumer that starts again. A store that a
+    crash left incomplete is captured anew.
     """
     if store is None:
         return materialize(checkpoints(log))
     spark = log.sparkSession
-    try:
-        return spark.read.parquet(store)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-    checkpoints(log).write.parquet(store)
-    return spark.read.parquet(store)
+    if not manifest.complete(spark, store):
+        checkpoints(log).write.mode("overwrite").parquet(store)
+    return spark.read.schema(CHECKPOINT).parquet(store)
 
 
 def from_position(df: DataFrame, position: Position, tips: DataFrame | None = None) -> DataFrame:
@@ -134,26 +150,37 @@ def sequence_number() -> F.Column:
     return F.concat(part("put_id", 19), part("attempt", 10), part("batch_no", 19), part("request_index", 8))
 
 
-def landing_put_fn(path: str, arrival):
+class LandingPut:
     """A put function that lands every entry in a record log and reports success.
 
-    Delivery is at least once: an attempt that is run again lands its entries again, with the same
-    sequence numbers.
+    The entries of an attempt are staged when it is called, and land when the put takes their responses (``commit``): an
+    attempt that raises an error after writing lands nothing. ``name`` tells the puts of a log apart; an attempt of a
+    put that runs again, as a stream's batch may after a crash, lands nothing that it had landed before. Without a name each
+    of these objects is a put of its own.
     """
 
-    def put_fn(entries: DataFrame) -> DataFrame:
+    def __init__(self, path: str, arrival: dt.datetime, name: str | None = None):
+        self.path, self.arrival, self.name = path, arrival, name or str(uuid.uuid4())
+
+    def for_batch(self, batch_id: int) -> LandingPut:
+        """The put function of one micro-batch of a stream."""
+        return LandingPut(self.path, self.arrival, f"{self.name}.{batch_id}")
+
+    def __call__(self, entries: DataFrame) -> DataFrame:
         landed = entries.select(
             "stream_name",
             "shard_id",
             sequence_number().alias("sequence_number"),
             F.lit(None).cast("bigint").alias("sub_sequence_number"),
-            F.lit(arrival).cast("timestamp_ntz").alias("arrival"),
+            F.lit(self.arrival).cast("timestamp_ntz").alias("arrival"),
             "data",
             "partition_key",
             F.lit("NONE").alias("encryption_type"),
             "explicit_hash_key",
         )
-        write_record_log(landed, path)
+        attempt = entries.agg(F.max("attempt")).first()[0]
+        if attempt is not None and not manifest.committed(entries.sparkSession, self.path, self._commit(attempt)):
+            stage_records(landed, self.path, self._commit(attempt))
         return entries.select(
             *ENTRY,
             F.lit(None).cast("string").alias("error_code"),
@@ -161,5 +188,14 @@ def landing_put_fn(path: str, arrival):
             F.lit(None).cast("double").alias("duration_s"),
         )
 
-    return put_fn
+    def _commit(self, attempt: int) -> str:
+        return f"{self.name}.{attempt}"
+
+    def commit(self, spark: SparkSession, attempt: int) -> None:
+        """Land an attempt's staged entries, once."""
+        if manifest.exists(spark, f"{self.path}/{manifest.STAGED}/{self._commit(attempt)}"):
+            manifest.land(spark, self.path, self._commit(attempt), CONSUMER_RECORD)
+
 
+def landing_put_fn(path: str, arrival: dt.datetime, name: str | None = None) -> LandingPut:
+    return LandingPut(path, arrival, name)

@@ -60,22 +60,29 @@ class _GroupWithin(StatefulProcessor):
         pass
 
 
-def drain(query: StreamingQuery) -> None:
-    """Stop a chunking query once it finds no new input, however long that takes; an empty source ends it at once.
+def drain(query: StreamingQuery, seconds: float | None = None) -> bool:
+    """Stop a query once it finds no new input; an empty source ends it at once. Says whether it got that far.
 
-    A query with timers goes on running empty batches, so an ``availableNow`` trigger would not end it.
+    With ``seconds`` it is stopped after that time even if input is left; without, however long it takes. A query with
+    timers goes on running empty batches, so an ``availableNow`` trigger would not end it.
     """
+    until, drained = None if seconds is None else time.monotonic() + seconds, not query.isActive
     while query.isActive:
+        if until is not None and time.monotonic() >= until:
+            break
         # after a restart the first batch may be one that was planned before, so one empty batch alone says nothing
         rows, status = [progress["numInputRows"] for progress in query.recentProgress], query.status
         if rows and rows[-1] == 0 and (any(rows) or len(rows) > 1):
+            drained = True
             break
         if status["message"].startswith("Waiting for data") and not status["isDataAvailable"]:
+            drained = True
             break
         time.sleep(0.2)
     query.stop()
     if query.exception() is not None:
         raise query.exception()
+    return drained
 
 
 def group_within_stream(sdf: DataFrame, n: int, wait_ms: int, keys: list[str]) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.checkpoints import checkpoints, gated_checkpoints
 from ..session import materialize, remove_folder, scratch_scope
+from ..sources.manifest import read_table_or
 
 log = logging.getLogger(__name__)
 
@@ -54,14 +54,8 @@ def _folders(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
-    """The furthest stored position of each shard; none before the first commit."""
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], STORED)
-    return checkpoints(stored)
+    """The furthest stored position of each shard; none before the first commit, or if a crash left the store without a file."""
+    return checkpoints(read_table_or(spark, path, STORED))
 
 
 def _retrying(commit: Callable[[], None], retries: int = COMMIT_RETRIES) -> None:
@@ -95,7 +89,8 @@ def process_stream(
     """Run ``fn`` on every batch of records, then commit the batch's positions.
 
     An error in ``fn`` stops the query; with ``raise_on_error=False`` it is logged, the batch goes to
-    the ``quarantine`` folder, if given, without being committed, and the stream moves on. Delivery is
+    the ``quarantine`` folder, if given, without being committed, and the stream moves on. A commit that fails after all of
+    its retries stops the query either way: the batch was processed, and is seen again after a restart. Delivery is
     at least once: ``fn`` may see a batch again after a failure.
     """
 
@@ -108,14 +103,15 @@ def process_stream(
                 return
             try:
                 fn(batch)
-                if auto_commit and store is not None:
-                    commit_batch(batch, batch_id, store, states)
             except Exception:
                 if raise_on_error:
                     raise
                 log.exception("batch %s failed; moving on may lose its records", batch_id)
                 if quarantine is not None:
                     batch.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            else:
+                if auto_commit and store is not None:
+                    commit_batch(batch, batch_id, store, states)
         finally:
             batch.unpersist()
 

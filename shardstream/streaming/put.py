@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Limits
 from ..functions.retry import Policy
-from ..plans.put import PutFn, put_until_done
+from ..plans.put import REPORT, PutFn, put_until_done
 from ..session import scratch_scope
 
 log = logging.getLogger(__name__)
@@ -52,19 +52,27 @@ def put_stream(
     checkpoint_location: str,
     policy: Policy | None = None,
     trigger: dict | None = None,
+    metrics_path: str | None = None,
 ) -> StreamingQuery:
     """Put the records of each micro-batch; outcomes land below ``outcomes_path``, one folder per batch.
 
-    The trigger bounds the wait, the source's rate limit the batch. Stop with ``query.stop()``; an
-    ``availableNow`` trigger drains what is there and ends.
+    The trigger bounds the wait, the source's rate limit the batch. Stop with ``query.stop()``, or with
+    ``streaming.chunks.drain(query, seconds)`` once what is there was put; an ``availableNow`` trigger drains what is there and ends.
+    Below ``metrics_path`` each batch leaves a report of each of its attempts (``plans.put.REPORT``), observed as its
+    outcomes are written. A put function with a method ``for_batch`` is asked for one of its own for each batch, so that
+    a batch that is run again lands nothing twice.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        with scratch_scope(batch.sparkSession):  # entries, responses and retry rounds go once the outcomes are written
-            outcomes = put_until_done(batch, shards, limits, policy or Policy.always_give_up(), put_fn)
+        spark, reports = batch.sparkSession, []
+        own = put_fn.for_batch(batch_id) if hasattr(put_fn, "for_batch") else put_fn
+        with scratch_scope(spark):  # entries, responses and retry rounds go once the outcomes are written
+            outcomes = put_until_done(batch, shards, limits, policy or Policy.always_give_up(), own, on_attempt=reports.append)
             outcomes.write.mode("overwrite").parquet(f"{outcomes_path}/batch={batch_id}")
+        if metrics_path is not None:
+            spark.createDataFrame(reports, REPORT).coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={batch_id}")
 
     writer = sdf.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
     return writer.trigger(**(trigger or {"processingTime": "100 milliseconds"})).start()
