@@ -90,15 +90,3 @@ def workers_started(worker_events: DataFrame) -> DataFrame:
     last = worker_events.groupBy("worker").agg(F.max_by("state", F.struct("ts", "state")).alias("state"))
     return last.withColumn("started", F.col("state") == "STARTED")
 
-
-__all__ = [
-    "after_checkpoint",
-    "can_checkpoint",
-    "checkpoints",
-    "gated_checkpoints",
-    "latest_state",
-    "mark_last_in_shard",
-    "merge_checkpoints",
-    "shard_end_status",
-    "workers_started",
-]

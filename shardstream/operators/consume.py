@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.positions import SHARD, position
@@ -52,15 +52,33 @@ def reconcile(produced: DataFrame, consumed: DataFrame, keys: list[str], data: s
         F.sum("__c").alias("n_consumed"),
         F.max(F.abs(F.col("__p") - F.col("__c"))).alias("__off"),
     )
+    return per_key.select(*keys, "n_produced", "n_consumed", _status(F.col("__off") > 0).alias("status"))
+
+
+def _status(unlike: Column) -> Column:
     p, c = F.col("n_produced"), F.col("n_consumed")
-    status = (
-        F.when(p == 0, "foreign")
-        .when(c < p, "lost")
-        .when(c > p, "duplicated")
-        .when(F.col("__off") > 0, "differs")
-        .otherwise("ok")
+    return F.when(p == 0, "foreign").when(c < p, "lost").when(c > p, "duplicated").when(unlike, "differs").otherwise("ok")
+
+
+def reconcile_stream(produced: DataFrame, consumed: DataFrame, keys: list[str], time: str, wait: str, data: str = "data") -> DataFrame:
+    """Compare two streams key by key while they run: a row for each key once nothing has come for it for ``wait``.
+
+    The same statuses as :func:`reconcile`, which lost and foreign keys get when their time is up, in append mode. A key is a
+    session: its counts, and the sum of its payloads' hashes, produced ones up and consumed ones down, which is zero if the payloads are the
+    same. State lasts for ``wait``; what is consumed later than that is reported as lost first and as foreign then. ``time`` is a
+    timestamp column of both.
+    """
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(*keys, F.col(time).alias("__at"), F.lit(sign).alias("__sign"), F.xxhash64(F.md5(data)).cast("decimal(38,0)").alias("__hash"))
+
+    both = side(produced, 1).unionByName(side(consumed, -1)).withWatermark("__at", "0 seconds")
+    per_key = both.groupBy(*keys, F.session_window("__at", wait).alias("__open")).agg(
+        F.count_if(F.col("__sign") > 0).alias("n_produced"),
+        F.count_if(F.col("__sign") < 0).alias("n_consumed"),
+        F.sum(F.col("__hash") * F.col("__sign")).alias("__off"),
     )
-    return per_key.select(*keys, "n_produced", "n_consumed", status.alias("status"))
+    return per_key.select(*keys, "n_produced", "n_consumed", _status(F.col("__off") != 0).alias("status"))
 
 
 def reconcile_summary(compared: DataFrame) -> DataFrame:

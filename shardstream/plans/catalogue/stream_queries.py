@@ -3,22 +3,20 @@
 from pyspark.sql import functions as F
 
 from ...config import Limits, Position
-from ...functions.records import data_text, with_payload_size
+from ...functions.records import data_text
 from ...functions.retry import Policy
-from ...operators import checkpoints as C
 from ...operators import produce, routing
 from ...operators.packing import pack_records, unpack_records
 from ...session import scratch_path
 from ...sources import record_log
-from ...streaming.chunks import drain, group_within_stream
-from ...streaming.process import commit_records, process_stream, read_checkpoints, route_rates
+from ...streaming.process import commit_records, process_stream
 from ...streaming.put import put_stream, refreshing
 from ..testtables import DOCUMENT_LIMITS, consumer_log, listing, micros, records, table
 from .batching_queries import as_consumed, documents_to_pack
-from .consume_queries import LIFECYCLE, MIDDLE, event_id, lifecycle
+from .consume_queries import MIDDLE, event_id
 from .produce_queries import fails_user_mod_4_times
-from .registry import DOCUMENTS, LOG, ORACLES, RECORDS, query, ranges_sql
-from .routing_queries import FOUR, LOOKUP
+from .registry import DOCUMENTS, LOG, ORACLES, query
+from .routing_queries import FOUR
 
 NOW_TRIGGER = {"availableNow": True}
 FILES = 5
@@ -35,13 +33,6 @@ def streamed(spark, sf_dir, shape):
     return shape(_Source(spark, source), sf_dir)
 
 
-def streamed_at_once(spark, sf_dir, shape):
-    """The same in one micro-batch: for queries whose watermark needs the events in their order."""
-    schema = table(spark, sf_dir, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return shape(_Source(spark, source), sf_dir)
-
-
 class _Source:
     """Stands in for the session where a table mapping reads ``events``."""
 
@@ -67,19 +58,6 @@ def finish(query):
         query.stop()
 
 
-@query(
-    "stream_commit",
-    f"""{LIFECYCLE} SELECT stream_name, shard_id, max(sequence_number) AS sequence_number, 0::BIGINT AS sub_sequence_number
-        FROM log JOIN latest USING (stream_name, shard_id) WHERE state IN ('Processing', 'ShardEnded') GROUP BY ALL""",
-)
-def stream_commit(spark, sf_dir):
-    """Checkpoints left by a stream that commits where the shard's processor may."""
-    base = scratch_path(spark, "commit")
-    states = C.latest_state(lifecycle(spark, sf_dir))
-    finish(commit_records(stream_log(spark, sf_dir), f"{base}/out", f"{base}/store", f"{base}/progress", states, NOW_TRIGGER))
-    return read_checkpoints(spark, f"{base}/store")
-
-
 @query("stream_commit_passes_records", f"WITH {LOG} SELECT event_id, data_text FROM log")
 def stream_commit_passes_records(spark, sf_dir):
     """A committing stream passes every record on unchanged."""
@@ -117,61 +95,6 @@ def stream_quarantine(spark, sf_dir):
     return spark.read.parquet(f"{base}/aside").select(event_id())
 
 
-@query(
-    "stream_group_within",
-    f"WITH {LOG} SELECT stream_name, shard_id, count(*) AS n_records, TRUE AS within, TRUE AS gapless FROM log GROUP BY ALL",
-)
-def stream_group_within(spark, sf_dir):
-    """By shard: all records are in chunks, none above 50, numbered without gaps; how time cuts them depends on when they are read."""
-    base = scratch_path(spark, "chunks")
-    name, rocks = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, rocks)
-    log = stream_log(spark, sf_dir).select("stream_name", "shard_id", "sequence_number")
-    chunked = group_within_stream(log, 50, 60_000, ["stream_name", "shard_id"])
-    writer = chunked.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/progress")
-    try:
-        drain(writer.trigger(processingTime="200 milliseconds").start())
-    finally:
-        spark.conf.set(name, before) if before else spark.conf.unset(name)
-    chunks = spark.read.parquet(f"{base}/out").groupBy("stream_name", "shard_id", "chunk_no").agg(F.count("*").alias("n"))
-    return chunks.groupBy("stream_name", "shard_id").agg(
-        F.sum("n").alias("n_records"), (F.max("n") <= 50).alias("within"), (F.count("*") == F.max("chunk_no") + 1).alias("gapless")
-    )
-
-
-@query(
-    "stream_route_rates",
-    f"""WITH {RECORDS}, {ranges_sql(FOUR)}, {LOOKUP}
-        SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS window_us, stream_name, shard_id, count(*) AS n_records,
-               CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM routed
-        WHERE time_bucket(INTERVAL 1 DAY, ts) < (SELECT time_bucket(INTERVAL 1 DAY, max(ts) - INTERVAL 1 HOUR) FROM events) GROUP BY ALL""",
-)
-def stream_route_rates(spark, sf_dir):
-    """Daily records and bytes per shard of a routed stream, for the days the watermark has passed."""
-    base = scratch_path(spark, "rates")
-    shards = routing.shard_map(listing(spark, sf_dir, FOUR))
-    routed = routing.predict_shard(streamed_at_once(spark, sf_dir, timed_records), shards)
-    rates = route_rates(routed, "ts", "1 day", "1 hour")
-    writer = rates.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/progress")
-    finish(writer.trigger(**NOW_TRIGGER).start())
-    out = spark.read.parquet(f"{base}/out")
-    return out.select(F.unix_micros("window_start").alias("window_us"), "stream_name", "shard_id", "n_records", "n_bytes")
-
-
-def timed_records(spark, sf_dir):
-    """Records with their size and their event time."""
-    event = table(spark, sf_dir, "events")
-    data = F.concat_ws("|", F.col("event_id").cast("string"), "event_type", "props").cast("binary")
-    shaped = event.select(
-        F.concat(F.lit("stream-"), "event_type").alias("stream_name"),
-        F.col("user_id").cast("string").alias("partition_key"),
-        data.alias("data"),
-        F.timestamp_micros(micros("ts")).alias("ts"),
-    )
-    return with_payload_size(shaped).drop("data")
-
-
 @query("stream_put", ORACLES["put_until_done"])
 def stream_put(spark, sf_dir):
     """The retried puts, fed from a stream, with a shard map that is loaded by the stream."""

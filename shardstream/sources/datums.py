@@ -17,5 +17,7 @@ def datum_requests(datums: DataFrame, namespace: str = DATUM_NAMESPACE, per_requ
     )
 
 
-def write_datums(datums: DataFrame, path: str, namespace: str = DATUM_NAMESPACE, mode: str = "append") -> None:
-    datum_requests(datums, namespace).write.mode(mode).partitionBy("namespace").json(path)
+def write_datums(
+    datums: DataFrame, path: str, namespace: str = DATUM_NAMESPACE, mode: str = "append", per_request: int = DATUMS_PER_REQUEST
+) -> None:
+    datum_requests(datums, namespace, per_request).write.mode(mode).partitionBy("namespace").json(path)

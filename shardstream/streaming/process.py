@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.checkpoints import checkpoints, gated_checkpoints
+from ..functions.positions import SHARD
+from ..operators.checkpoints import checkpoints, gated_checkpoints, latest_state
 from ..session import materialize, remove_folder, scratch_scope
 from ..sources.manifest import read_table_or
 
@@ -25,10 +26,15 @@ COMPACT_BATCHES = 50
 
 
 def write_checkpoints(new: DataFrame, path: str, batch_id: int) -> None:
-    """Store a batch's checkpoints. A batch that is run again overwrites its own folder only.
+    """Store a batch's checkpoints; the furthest position of a shard is its checkpoint."""
+    write_batch(new.select(*SHARD, "sequence_number", "sub_sequence_number"), path, batch_id, checkpoints)
 
-    Every COMPACT_BATCHES batches the furthest positions of all folders go into the batch's own, and the older
-    folders go; until they are gone they only repeat what it says.
+
+def write_batch(new: DataFrame, path: str, batch_id: int, merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Store what a batch adds to a table that ``merge`` puts together. A batch that is run again overwrites its own folder only.
+
+    Every COMPACT_BATCHES batches all folders put together go into the batch's own, and the older folders go; until they
+    are gone they only repeat what it says.
     """
     spark = new.sparkSession
     own, compact = f"{path}/batch={batch_id}", batch_id > 0 and batch_id % COMPACT_BATCHES == 0
@@ -36,7 +42,7 @@ def write_checkpoints(new: DataFrame, path: str, batch_id: int) -> None:
     with scratch_scope(spark):
         if stored:
             # read before its own folder is overwritten: a batch that was run before may hold the older ones already
-            new = materialize(checkpoints(read_checkpoints(spark, path).select(*new.columns).unionByName(new)))
+            new = materialize(merge(read_table_or(spark, path, new.schema).select(*new.columns).unionByName(new)))
         new.repartition(1).write.mode("overwrite").parquet(own)
     for batch in stored:
         if batch < batch_id:
@@ -144,9 +150,67 @@ def commit_records(
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
+REPORT = "stream_name string, shard_id string, worker string, state string, ts timestamp"
+
+
+def known_states(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The last state of each shard's processor that was reported up to a batch."""
+    stored = read_table_or(spark, path, f"{REPORT}, batch int").filter(F.col("batch") <= batch_id)
+    return latest_state(stored)
+
+
+def commit_gated_stream(
+    records: DataFrame, reports: DataFrame, out: str, store: str, states: str, checkpoint_location: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Like :func:`commit_records`, with the processors' states as a second stream: a batch commits by the states known at its end.
+
+    ``reports`` has stream_name, shard_id, worker, state and the time ``ts`` of the report. The reports of a batch are stored below
+    ``states`` before its commits; a batch that is run again sees the states it saw then, and none of later batches.
+    """
+    one = records.select(F.struct(*records.columns).alias("record"))
+    other = reports.select(F.struct(*SHARD, "worker", "state", F.col("ts").cast("timestamp").alias("ts")).alias("report"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            write_batch(latest_state(batch.filter("report IS NOT NULL").select("report.*")), states, batch_id, latest_state)
+            arrived = batch.filter("record IS NOT NULL").select("record.*")
+            arrived.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            commit_batch(arrived, batch_id, store, known_states(batch.sparkSession, states, batch_id))
+        finally:
+            batch.unpersist()
+
+    both = one.unionByName(other, allowMissingColumns=True)
+    writer = both.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
+    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
 def route_rates(routed: DataFrame, time: str, width: str, late: str) -> DataFrame:
     """Records and bytes per shard and time window of a routed stream; windows close ``late`` after their end."""
     windowed = routed.withWatermark(time, late).groupBy(F.window(time, width), "stream_name", "shard_id")
     return windowed.agg(F.count("*").alias("n_records"), F.sum("n_bytes").alias("n_bytes")).select(
         F.col("window.start").alias("window_start"), "stream_name", "shard_id", "n_records", "n_bytes"
     )
+
+
+RATES = "window_start timestamp, stream_name string, shard_id string, n_records long, n_bytes long, as_of long"
+
+
+def _last_rates(stored: DataFrame) -> DataFrame:
+    newest = stored.groupBy("window_start", *SHARD).agg(F.max(F.struct("as_of", "n_records", "n_bytes")).alias("__last"))
+    return newest.select("window_start", *SHARD, *[F.col(f"__last.{c}").alias(c) for c in ("n_records", "n_bytes", "as_of")])
+
+
+def keep_rates(rates: DataFrame, path: str, checkpoint_location: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the rates of all windows in a table, those that are still open as well: each batch stores the windows it changed."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.withColumn("as_of", F.lit(batch_id).cast("bigint")), path, batch_id, _last_rates)
+
+    writer = rates.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint_location)
+    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
+def read_rates(spark: SparkSession, path: str) -> DataFrame:
+    """The kept rates of each window, as of the last batch."""
+    return _last_rates(read_table_or(spark, path, RATES)).drop("as_of")
