@@ -24,8 +24,8 @@ BLOCK_WINDOWS = 256
 QUEUES = 256
 # Tokens of a turn, and turns whose places one task adds up.
 TURN, SLICE = 256, 1 << 16
-# Words whose ids a task remembers, and cores of words whose ids a process does.
-MEMO_WORDS, MEMO_CORES = 1 << 18, 1 << 20
+# Words whose ids a process remembers, in each of two generations, and runs of closing punctuation.
+MEMO_WORDS, MEMO_TAILS = 1 << 19, 1 << 12
 
 
 class Schedule:
@@ -96,7 +96,12 @@ class Schedule:
 
 
 class Vocabulary:
-    """The tokenizer, and the ids of word cores that were met so far; one for each Python process of a worker."""
+    """The tokenizer, and the ids of the words between white space that were met so far; one for each Python process of a worker.
+
+    The vocabulary drops white space and no token crosses it, so a text's ids are those of its words in order. Ids are
+    little-endian 16-bit bytes. Words are remembered in two generations: when the younger is full it becomes the older, and words
+    that are met again move on to the younger, so that common words stay and memory is bounded.
+    """
 
     def __init__(self, path: str):
         import os
@@ -111,60 +116,75 @@ class Vocabulary:
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        self.ids: dict[bytes, bytes] = {b"": b""}
+        self.ends_word = np.zeros(self.whole.get_vocab_size(), bool)
+        for token, number in self.whole.get_vocab().items():
+            self.ends_word[number] = token.endswith(WORD_END)
+        self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.tails: dict[bytes, bytes] = {b"": b""}
 
     @staticmethod
     def of_process(path: str) -> "Vocabulary":
-        """Kept on the tokenizers module, which outlives a task: the next task of the process need not learn all words again."""
-        import tokenizers
+        """Kept in a module of its own, which outlives a task: the next task of the process need not learn all words again."""
+        import sys
+        import types
 
-        kept = tokenizers.__dict__.setdefault("_vocabularies_by_path", {})
+        kept = sys.modules.setdefault(PROCESS_MODULE, types.ModuleType(PROCESS_MODULE)).__dict__
         if path not in kept:
             kept[path] = Vocabulary(path)
         return kept[path]
 
-    def learn(self, cores: set[bytes]) -> None:
-        if len(self.ids) > MEMO_CORES:
-            self.ids.clear()
-            self.ids[b""] = b""
-        new = cores - self.ids.keys()
-        plain = [c for c in new if is_plain(c)]
-        for words, tokenizer in ((plain, self.plain), (list(new.difference(plain)), self.whole)):
-            for at in range(0, len(words), GROUP):
-                self._encode(words[at : at + GROUP], tokenizer)
-
-    def _encode(self, words: list[bytes], tokenizer) -> None:
-        """Encode words as one text and give each word the tokens that begin in it."""
-        texts = [w.decode() for w in words]
-        found = tokenizer.encode(" ".join(texts), add_special_tokens=False)
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of words, of at least these."""
+        if len(self.ids) > MEMO_WORDS:
+            self.ids, self.older = {}, self.ids
+        ids, older = self.ids, self.older
+        new = []
+        for word in words.difference(ids):
+            known = older.get(word)
+            if known is None:
+                new.append(word)
+            else:
+                ids[word] = known
+        plain, others = [], []
+        for word in new:
+            core, tail = plain_form(word)
+            (plain if is_plain(core) else others).append((word, core, tail))
+        for at in range(0, len(plain), GROUP):
+            self._learn_plain(plain[at : at + GROUP])
+        for at in range(0, len(others), GROUP):
+            self._learn_others(others[at : at + GROUP])
+        return ids
+
+    def _tail(self, tail: bytes) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) > MEMO_TAILS:
+                self.tails = {b"": b""}
+            self.tails[tail] = np.array(self.whole.encode(tail.decode(), add_special_tokens=False).ids, "<u2").tobytes()
+        return self.tails[tail]
+
+    def _learn_plain(self, words: list[tuple[bytes, bytes, bytes]]) -> None:
+        """Words that are one piece each: every token that ends a word ends one."""
+        found = np.array(self.plain.encode(b" ".join([core for _, core, _ in words]).decode(), add_special_tokens=False).ids, "<u2")
+        self._keep(words, found.tobytes(), np.flatnonzero(self.ends_word[found]) + 1)
+
+    def _learn_others(self, words: list[tuple[bytes, bytes, bytes]]) -> None:
+        """Any words: each has the tokens that begin in it."""
+        texts = [core.decode() for _, core, _ in words]
+        found = self.whole.encode(" ".join(texts), add_special_tokens=False)
         ends = np.cumsum([len(t) + 1 for t in texts])
         starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
-        cuts = np.searchsorted(starts, ends).tolist()
-        ids, at = np.array(found.ids, "<u2").tobytes(), 0
-        for word, cut in zip(words, cuts):
-            self.ids[word] = ids[2 * at : 2 * cut]
-            at = cut
-
-
-class WordIds(dict):
-    """The token ids of words between white space, as little-endian 16-bit bytes.
+        self._keep(words, np.array(found.ids, "<u2").tobytes(), np.searchsorted(starts, ends))
 
-    The vocabulary drops white space and no token crosses it, so a text's ids are those of its words in order.
-    """
-
-    def __init__(self, path: str):
-        self.vocabulary = Vocabulary.of_process(path)
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        new = [(w, *plain_form(w)) for w in words if w not in self]
-        self.vocabulary.learn({part for _, core, tail in new for part in (core, tail)})
-        ids = self.vocabulary.ids
-        for word, core, tail in new:
-            self[word] = ids[core] + ids[tail]
+    def _keep(self, words: list[tuple[bytes, bytes, bytes]], found: bytes, cuts: np.ndarray) -> None:
+        at = 0
+        for (word, _, tail), cut in zip(words, (2 * cuts).tolist()):
+            self.ids[word] = found[at:cut] + self._tail(tail) if tail else found[at:cut]
+            at = cut
 
 
+WORD_END = "</w>"
+PROCESS_MODULE = "packing_vocabularies_of_this_process"
 GROUP = 256
 TAIL = b".,;:!?"
 
@@ -172,16 +192,19 @@ TAIL = b".,;:!?"
 def plain_form(word: bytes) -> tuple[bytes, bytes]:
     """(core in lower case, closing punctuation) whose ids, put together, are those of the word.
 
-    The vocabulary lowers case and parts letters from other signs by itself. Words with combining marks are left
-    alone, since marks join some letters in one case only, and so are special strings; signs are only parted from a letter or digit.
+    The vocabulary composes and lowers letters by itself, and parts letters and digits from other signs. So punctuation is parted only from
+    what is a letter or digit still after that: some letters become a letter and a mark, which then joins the signs behind it. Words with
+    combining marks are left alone, since marks join some letters in one case only, and so are special strings.
     """
     core = word.rstrip(TAIL)
     if core.isalnum():  # letters and digits of ASCII
         return core.lower(), word[len(core) :]
     if b"\xcc" in word or b"\xcd" in word or b"<|" in word or not core:
         return word, b""
-    last = core[-1:] if core[-1] < 0x80 else core[-4:].decode(errors="ignore")[-1:].encode()
-    return (core.lower(), word[len(core) :]) if last.decode().isalnum() else (word.lower(), b"")
+    if len(core) == len(word):
+        return word.lower(), b""
+    last = core[-1:].decode() if core[-1] < 0x80 else unicodedata.normalize("NFC", core[-4:].decode(errors="ignore")[-1:]).lower()[-1:]
+    return (core.lower(), word[len(core) :]) if last.isalnum() else (word.lower(), b"")
 
 
 def is_plain(word: bytes) -> bool:
@@ -207,15 +230,15 @@ def tokenized(docs: DataFrame, path: str | None = None, source: str = "source")
     vocabulary = path or vocabulary_path()
 
     def run(parts):
-        memo, seen, block = WordIds(vocabulary), defaultdict(int), TaskContext.get().partitionId()
+        known, seen, block = Vocabulary.of_process(vocabulary), defaultdict(int), TaskContext.get().partitionId()
         closing = np.array([END], "<u2").tobytes()
         for part in parts:
             ids, counts, before = [], [], []
             for datas, keys in some_at_a_time(part["data"], part["source_key"]):
                 texts = [data.split() for data in datas]
-                memo.learn(set().union(*texts))
+                ids_of = known.learn(set().union(*texts)).__getitem__
                 for words, key in zip(texts, keys):
-                    ids.append(b"".join(map(memo.__getitem__, words)) + closing)
+                    ids.append(b"".join(map(ids_of, words)) + closing)
                     counts.append(len(ids[-1]) // 2)
                     before.append(seen[key])
                     seen[key] += counts[-1]
@@ -236,8 +259,11 @@ def turns(sources: DataFrame) -> DataFrame:
     two points mark, each source has its tokens of that share to within a turn. No source or turn is collected.
     """
     sources = sources.withColumn("luck", (F.xxhash64("source_key") % (1 << 30) / float(1 << 31)) + 0.5)
-    all_turns = F.expr(f"sequence(0L, (tokens - 1) div {TURN})")
-    dealt = sources.select("source_key", "tokens", "luck", F.explode(all_turns).alias("turn"))
+    # in two steps, over tasks: a source just too small for a queue of its own has a great many turns
+    stretches = F.expr(f"sequence(0L, (tokens - 1) div {TURN * SLICE})")
+    dealt = sources.select("source_key", "tokens", "luck", F.explode(stretches).alias("stretch")).repartition("source_key", "stretch")
+    some = F.expr(f"sequence(stretch * {SLICE}, least((stretch + 1) * {SLICE} - 1, (tokens - 1) div {TURN}))")
+    dealt = dealt.select("source_key", "tokens", "luck", F.explode(some).alias("turn"))
     size = F.least(F.lit(TURN), F.col("tokens") - F.col("turn") * TURN)
     due = (F.col("turn") * TURN + F.col("luck") * size) / F.col("tokens")
     slices = 1 + (sources.agg(F.sum(F.expr(f"(tokens - 1) div {TURN} + 1"))).first()[0] or 0) // SLICE

@@ -35,15 +35,36 @@ def test_schedule_places_every_token_once():
         assert all(abs(c[q] - 64 * n / total) < 2 for w, c in windows.items() if w < total // 64 for q, n in enumerate(lengths))
 
 
-def test_word_ids_are_the_tokenizers():
+def word_ids(known, text):
+    words = text.encode().split()
+    whole = b"".join(map(known.learn(set(words)).__getitem__, words))
+    return list(struct.unpack(f"<{len(whole) // 2}H", whole))
+
+
+def test_word_ids_are_the_tokenizers(monkeypatch):
     path = packing.vocabulary_path()
-    tokenizer, memo = Tokenizer.from_file(path), packing.WordIds(path)
+    tokenizer, known = Tokenizer.from_file(path), packing.Vocabulary(path)
     odd = "H̱a. Áb, », ab», it's. IT'S, 9. 1,2. Ünder! İx. Kab <|endoftext|>, <|EndOfText|> a, 中文。 한́. é́! ². Ⅷ, 'S 's. x'll. \x1c\x1d \x85a ẞß. ΣΣ. \x00a."
+    odd += " BELGESİ. SAHİ, geldi. क़. ড়; ਖ਼! ଡ଼? གྷ: e\u0301. ᾳ, ŉ. ǰ! ﬁ. ª, µ?!"
     for text in (odd, odd.lower(), odd.upper(), odd[::-1], prose(3, 500), "", " \n"):
-        data = text.encode()
-        memo.learn(set(data.split()))
-        ids = struct.unpack(f"<{len(b''.join(map(memo.__getitem__, data.split()))) // 2}H", b"".join(map(memo.__getitem__, data.split())))
-        assert list(ids) == tokenizer.encode(text, add_special_tokens=False).ids
+        assert word_ids(known, text) == tokenizer.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr(packing, "MEMO_WORDS", 50)  # generations change all the time
+    for i in range(30):
+        text = prose(i % 4, 300, 150)
+        assert word_ids(known, text) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(known.ids) + len(known.older) < 800
+
+
+def test_every_letter_before_every_sign():
+    """All letters and digits there are, before each of the closing signs."""
+    path = packing.vocabulary_path()
+    tokenizer, known = Tokenizer.from_file(path), packing.Vocabulary(path)
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalnum()]
+    signs = packing.TAIL.decode()
+    words = [f"{'aB'[i % 2]}{letter}{signs[i % 6]}" for i, letter in enumerate(letters)] + [f"{x}{s}" for x in letters if ord(x) < 0x2500 for s in signs]
+    for at in range(0, len(words), 2000):
+        text = " ".join(words[at : at + 2000])
+        assert word_ids(known, text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_packing_round_trip(spark):
