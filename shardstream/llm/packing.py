@@ -9,12 +9,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, small_result
-from .words import pass_over, some_at_a_time, text_bytes
+from .words import pass_over, runs_of_bytes, text_bytes
 
 SEQUENCE = 2048
 END = 1
@@ -26,6 +27,8 @@ QUEUES = 256
 TURN, SLICE = 256, 1 << 16
 # Words whose ids a process remembers, in each of two generations, and runs of closing punctuation.
 MEMO_WORDS, MEMO_TAILS = 1 << 19, 1 << 12
+# Bytes of texts whose words are told apart at once.
+RUN_BYTES = 8 << 20
 
 
 class Schedule:
@@ -134,6 +137,31 @@ class Vocabulary:
             kept[path] = Vocabulary(path)
         return kept[path]
 
+    def encoded(self, texts: pa.Array) -> list[bytes]:
+        """The ids of texts. Words are told apart, and put together again, for all texts at once; only distinct words are looked up."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.string()))
+        ends, coded = split.offsets.to_numpy(), split.flatten().dictionary_encode()
+        laid = self.of_words(coded.dictionary).take(coded.indices)
+        if not len(laid):
+            return [b""] * len(texts)
+        places, whole = np.frombuffer(laid.buffers()[1], np.int32)[: len(laid) + 1], memoryview(laid.buffers()[2] or b"")
+        cuts = places[ends - ends[0]].tolist()
+        return [bytes(whole[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+    def of_words(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words. Words of ASCII letters and digits are looked up in lower case, without closing punctuation."""
+        cores = pc.ascii_rtrim(words, characters=TAIL.decode())
+        simple = pc.ascii_is_alnum(cores)
+        keys = pc.if_else(simple, pc.ascii_lower(cores), words).cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.learn(set(keys)).__getitem__, keys))
+        tail_bytes = pc.if_else(simple, pc.subtract(pc.binary_length(words), pc.binary_length(cores)), 0)
+        tails = pc.if_else(pc.equal(tail_bytes, 1), pc.utf8_slice_codeunits(words, -1), "").dictionary_encode()
+        tail_ids = list(map(self._tail, tails.dictionary.cast(pa.binary()).to_pylist()))
+        ids = [i + tail_ids[t] for i, t in zip(ids, tails.indices.to_numpy().tolist())]
+        for at in np.flatnonzero(pc.greater(tail_bytes, 1).to_numpy(zero_copy_only=False)).tolist():
+            ids[at] += self._tail(words[at].as_py()[len(keys[at]) :].encode())
+        return pa.array(ids, pa.binary())
+
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """The ids of words, of at least these."""
         if len(self.ids) > MEMO_WORDS:
@@ -148,6 +176,9 @@ class Vocabulary:
                 ids[word] = known
         plain, others = [], []
         for word in new:
+            if word.isalpha():  # in lower case by now
+                plain.append((word, word, b""))
+                continue
             core, tail = plain_form(word)
             (plain if is_plain(core) else others).append((word, core, tail))
         for at in range(0, len(plain), GROUP):
@@ -165,7 +196,8 @@ class Vocabulary:
 
     def _learn_plain(self, words: list[tuple[bytes, bytes, bytes]]) -> None:
         """Words that are one piece each: every token that ends a word ends one."""
-        found = np.array(self.plain.encode(b" ".join([core for _, core, _ in words]).decode(), add_special_tokens=False).ids, "<u2")
+        text = b" ".join([core for _, core, _ in words]).decode()
+        found = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
         self._keep(words, found.tobytes(), np.flatnonzero(self.ends_word[found]) + 1)
 
     def _learn_others(self, words: list[tuple[bytes, bytes, bytes]]) -> None:
@@ -234,11 +266,9 @@ def tokenized(docs: DataFrame, path: str | None = None, source: str = "source")
         closing = np.array([END], "<u2").tobytes()
         for part in parts:
             ids, counts, before = [], [], []
-            for datas, keys in some_at_a_time(part["data"], part["source_key"]):
-                texts = [data.split() for data in datas]
-                ids_of = known.learn(set().union(*texts)).__getitem__
-                for words, key in zip(texts, keys):
-                    ids.append(b"".join(map(ids_of, words)) + closing)
+            for start, stop in runs_of_bytes(part["data"], RUN_BYTES):
+                for found, key in zip(known.encoded(part["data"][start:stop]), part["source_key"][start:stop].to_pylist()):
+                    ids.append(found + closing)
                     counts.append(len(ids[-1]) // 2)
                     before.append(seen[key])
                     seen[key] += counts[-1]

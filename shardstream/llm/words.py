@@ -108,16 +108,22 @@ def _as_array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, kind)
 
 
-def some_at_a_time(data: pa.Array, *others: pa.Array, most: int = 2 << 20) -> Iterator[tuple[list, ...]]:
-    """The rows of a batch as lists, in runs of about ``most`` bytes: the words of a whole batch would take much memory."""
+def runs_of_bytes(data: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(start, stop) of runs of rows of about ``most`` bytes; a longer row is a run of its own."""
     at, ends = 0, np.cumsum(pc.binary_length(data).to_numpy(zero_copy_only=False), dtype=np.int64)
     while at < len(data):
         done = int(ends[at - 1]) if at else 0
         end = max(at + 1, int(np.searchsorted(ends, done + most)))
-        yield tuple(a[at:end].to_pylist() for a in (data, *others))
+        yield at, min(end, len(data))
         at = end
 
 
+def some_at_a_time(data: pa.Array, *others: pa.Array, most: int = 2 << 20) -> Iterator[tuple[list, ...]]:
+    """The rows of a batch as lists, in runs of about ``most`` bytes: the words of a whole batch would take much memory."""
+    for at, end in runs_of_bytes(data, most):
+        yield tuple(a[at:end].to_pylist() for a in (data, *others))
+
+
 def text_bytes(name: str = "text") -> Column:
     """The text as UTF-8 bytes; null as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))
