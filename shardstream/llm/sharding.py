@@ -108,22 +108,22 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     number the rows of a shard from 0 without gaps. Null texts are one group of size ROW_BYTES a row,
     apart from that of empty texts; repeated rows get slots of their own; a group larger than a fair share
     fills a shard and later shards may stay empty; an empty table gives no rows. The text is read once;
-    all else works on five numbers a row. Rows of a shard are numbered in runs dealt by a hash of the
-    row, so that a hot group is spread over many tasks.
+    all else works on six numbers a row. Rows of a shard are numbered in runs dealt by a hash of the
+    row's stored number, so that a hot group, also of rows that are all the same, is spread over many tasks.
     """
     place = F.when(F.col("text").isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64("text"))
     rows = materialize(docs.select(
         "doc_id", (F.length(text_bytes()) + ROW_BYTES).cast("bigint").alias("size"),
-        F.crc32(text_bytes()).alias("text_crc32"), place.alias("place"),
+        F.crc32(text_bytes()).alias("text_crc32"), place.alias("place"), F.monotonically_increasing_id().alias("row"),
     ))
     groups = materialize(rows.groupBy("place").agg(F.sum("size").alias("size"), F.count("*").alias("rows")))
     total = groups.agg(F.sum("rows")).first()[0] or 0
     shard = sum((F.col("place") >= F.lit(cut)).cast("int") for cut in (minimax_cuts(groups, shards) if total else []))
     runs = max(1, -(-total // (shards * RUN_ROWS)))
-    run = F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(runs))
+    run = F.pmod(F.xxhash64("row"), F.lit(runs))
     dealt = rows.withColumn("shard", F.lit(0) if isinstance(shard, int) else shard).withColumn("run", run)
     before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("shard", "run").count().select("shard", "run", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
-    within = F.row_number().over(Window.partitionBy("shard", "run").orderBy("doc_id", "size", "text_crc32")) - 1
+    within = F.row_number().over(Window.partitionBy("shard", "run").orderBy("row")) - 1
     numbered = dealt.withColumn("within", within).join(broadcast_checked(materialize(starts)), ["shard", "run"])
     return numbered.select("doc_id", "size", "text_crc32", "place", "shard", (F.col("first") + F.col("within")).alias("slot"))
