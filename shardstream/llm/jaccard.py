@@ -1,4 +1,8 @@
-"""N-gram Jaccard join: exact near copies by prefix filters under several global token orders, intersected before verification."""
+"""N-gram Jaccard join: exact near copies by prefix filters under several global token orders, intersected before verification.
+
+Large families of near copies are not compared with each other as whole sets: each class is compared once with a reference, the class
+that looks most like the middle of its family, and then filtered by what sets it apart from the reference.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +10,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize, small_result
 from .words import WordHashes, mixed, pass_over, shingle_set, some_at_a_time, spaced_words, text_bytes
 
-# Token orders that a candidate must share a prefix token under; and orders whose first tokens find balls.
-ORDERS, FIRSTS, AGREE = 2, 6, 2
-BALL_ROUNDS = 3
+# Token orders that a candidate must share a prefix token under; the low bits of a posting's token say which.
+ORDERS, ORDER_BITS = 2, 2
+# Orders whose first tokens find references, how many a class must share with its own, and the least similarity in percent to be of its family.
+FIRSTS, AGREE, FAMILY_PERCENT = 6, 2, 40
+JUMPS = 3
 # The tokens that all orders put last: the most frequent ones, of those that occur LOCAL times in a run of rows and FREQUENT times in all.
 LOCAL, FREQUENT, FREQUENT_TOKENS = 2, 8, 1 << 18
 # Bytes of text whose tokens a task looks at together.
@@ -37,6 +44,27 @@ class Rule:
     def prefix(self, size: int) -> int:
         return size - self.least_common(size) + 1
 
+    def most_apart(self, size: int, other: int) -> int:
+        """The most tokens that linked sets of these sizes may not have in common."""
+        return (100 - self.percent) * (size + other) // (100 + self.percent)
+
+    def apart_prefixes(self, apart: int, size: int, reference: int) -> tuple[int, int]:
+        """Prefix lengths of a set's difference (``apart`` tokens) from the reference of its family.
+
+        Linked sets a and b differ in at most s tokens, so their differences have at least (apart_a + apart_b - s) / 2 in common. That is more
+        than nothing unless both are linked to the reference. The first length finds partners that, like this set, are not
+        linked to the reference; the second finds partners on the other side of that line. A partner's size is at
+        least ``percent`` of this one's, at most its inverse; those not linked to the reference differ from it in more than most_apart.
+        """
+        s = (100 - self.percent) * size // self.percent
+        far = self.most_apart(-(-self.percent * size // 100), reference) + 1
+        linked = apart <= self.most_apart(size, reference)
+
+        def length(least: int) -> int:
+            return apart - max(1, -(-(apart + max(least, apart - s, 0) - s) // 2)) + 1
+
+        return (0, length(far)) if linked else (length(far), length(0))
+
 
 def order_keys(tokens: np.ndarray, order: int) -> np.ndarray:
     """Hashed ranks of tokens under one of the orders."""
@@ -115,6 +143,20 @@ class TokenOrder:
             out.append(tokens[np.argpartition(keys, length - 1)[:length]])
         return out
 
+    def ordered(self, *groups: np.ndarray) -> list[np.ndarray]:
+        """Tokens in their whole order under each order, one group behind the other."""
+        out = []
+        for order in range(ORDERS):
+            parts = []
+            for tokens in groups:
+                keys = order_keys(tokens, order) >> np.uint64(6)
+                if len(tokens):
+                    places, levels = self.ranked(tokens)
+                    keys[places] |= levels
+                parts.append(tokens[np.argsort(keys)])
+            out.append(np.concatenate(parts))
+        return out
+
 
 def _restored(tokens: bytes, levels: bytes) -> TokenOrder:
     """An order from its stored arrays, on another machine."""
@@ -124,15 +166,37 @@ def _restored(tokens: bytes, levels: bytes) -> TokenOrder:
     return made
 
 
-def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) of classes with the sizes and the common part of their sets: a, b, size_a, size_b, common.
+def texts_of(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """A text of each of some classes (cls, rep): cls, data. Rows that only share an id with the class are told apart by the reader, who makes the set."""
+    known = small_result(wanted.filter("rep IS NOT NULL").select("cls", "rep"))
+    rows = docs.select("doc_id", text_bytes().alias("data")).join(known, F.col("doc_id") == F.col("rep")).select("cls", "data")
+    lost = wanted.filter("rep IS NULL").select("cls")
+    return rows.unionByName(texts_without_id(docs, rule).join(small_result(lost), "cls"))
+
+
+def texts_without_id(docs: DataFrame, rule: Rule) -> DataFrame:
+    """A text of each class among the rows without an id."""
+
+    def run(parts):
+        memo = WordHashes()
+        for part in parts:
+            for (datas,) in some_at_a_time(part["data"]):
+                sets = [shingle_set(spaced_words(d), rule.k, memo) for d in datas]
+                yield {"cls": [set_hash(s) if len(s) else None for s in sets], "data": datas}
+
+    made = pass_over(docs.filter("doc_id IS NULL"), {"data": text_bytes()}, "cls long, data binary", run)
+    return made.filter("cls IS NOT NULL").dropDuplicates(["cls"])
+
+
+def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, rule: Rule, order: TokenOrder | None = None) -> DataFrame:
+    """Pairs (a, b) of classes with the sizes and the common part of their sets: a, b, size_a, size_b, common, marks.
 
     Only texts of classes in a pair are read again, and travel as texts, which take half the room of their sets. Each goes to its
-    pairs by a join, which Spark splits where a class has many partners.
+    pairs by a join, which Spark splits where a class has many partners; a pair may come more than once if rows are the same. With an ``order``, b is the reference of a's
+    family, and ``marks`` are the tokens by which a finds partners within it (see :func:`marks_of`).
     """
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    ids = small_result(reps.join(wanted, "cls").select("cls", "rep"))
-    rows = docs.select("doc_id", text_bytes().alias("data")).join(ids, F.col("doc_id").eqNullSafe(F.col("rep")))
+    rows = texts_of(docs, reps.join(wanted, "cls"), rule)
     left = rows.select(F.col("cls").alias("a"), F.col("data").alias("data_a"))
     right = rows.select(F.col("cls").alias("b"), F.col("data").alias("data_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -140,27 +204,55 @@ def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, rule: Rule) ->
     def compare(parts):
         memo, last = WordHashes(), (None, None)
         for part in parts:
-            out = {c: [] for c in ("a", "b", "size_a", "size_b", "common")}
             for datas, others, a, b in some_at_a_time(part["data_a"], part["data_b"], part["a"], part["b"]):
+                out = {c: [] for c in ("a", "b", "size_a", "size_b", "common", "marks")}
                 for data, other, cls_a, cls_b in zip(datas, others, a, b):
                     one = shingle_set(spaced_words(data), rule.k, memo)
                     two = last[1] if last[0] == other else shingle_set(spaced_words(other), rule.k, memo)
                     last = (other, two)
                     if len(one) and len(two) and set_hash(one) == cls_a and set_hash(two) == cls_b:  # ids may be those of several texts
                         common = len(np.intersect1d(one, two, assume_unique=True))
-                        for name, value in zip(out, (cls_a, cls_b, len(one), len(two), common)):
+                        marks = marks_of(one, two, common, cls_b, order, rule) if order is not None else None
+                        for name, value in zip(out, (cls_a, cls_b, len(one), len(two), common, marks)):
                             out[name].append(value)
-            yield out
+                yield out
 
-    return pass_over(both, {c: F.col(c) for c in ("a", "b", "data_a", "data_b")}, "a long, b long, size_a long, size_b long, common long", compare).distinct()
+    schema = "a long, b long, size_a long, size_b long, common long, marks array<struct<token:long,side:long>>"
+    return pass_over(both, {c: F.col(c) for c in ("a", "b", "data_a", "data_b")}, schema, compare)
 
 
-def linked(rule: Rule):
-    return 100 * F.col("common") >= rule.percent * (F.col("size_a") + F.col("size_b") - F.col("common"))
+# Sides of a token list on which sets stand that are linked to the reference of their family, and that are not.
+LINKED_SIDE, OTHER_SIDE = 1, 2
+
+
+def marks_of(one: np.ndarray, reference: np.ndarray, common: int, family: int, order: TokenOrder, rule: Rule) -> list[dict] | None:
+    """Prefix tokens, under each order, of the difference between a set and its family's reference; None if it is not of the family.
+
+    What the set has and the reference has not comes first, as that is rare; what it lacks comes behind. Tokens are hashed with the
+    family. Sets that are not linked to the reference meet each other by some of them (``side`` is None: all pairs), and
+    those that are linked to it by others (only pairs of different sides).
+    """
+    union = len(one) + len(reference) - common
+    if 100 * common < FAMILY_PERCENT * union:
+        return None
+    added, lacking = np.setdiff1d(one, reference, assume_unique=True), np.setdiff1d(reference, one, assume_unique=True)
+    apart = len(added) + len(lacking)
+    with_others, across = rule.apart_prefixes(apart, len(one), len(reference))
+    side = LINKED_SIDE if 100 * common >= rule.percent * union else OTHER_SIDE
+    out = []
+    for o, tokens in enumerate(order.ordered(added, lacking)):
+        for length, salt, on in ((with_others, 1, None), (across, 2, side)):
+            hashed = mixed(tokens[:length] ^ mixed(np.array([family, salt], np.int64).view(np.uint64)).sum(dtype=np.uint64))
+            out += [{"token": t, "side": on} for t in posting(hashed, o).view(np.int64).tolist()]
+    return out
 
 
-def distance():
-    return 1 - F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
+def posting(tokens: np.ndarray, order: int) -> np.ndarray:
+    return (tokens & ~np.uint64((1 << ORDER_BITS) - 1)) | np.uint64(order)
+
+
+def linked(rule: Rule):
+    return 100 * F.col("common") >= rule.percent * (F.col("size_a") + F.col("size_b") - F.col("common"))
 
 
 def fitting(rule: Rule, a: str = "n_a", b: str = "n_b"):
@@ -168,114 +260,103 @@ def fitting(rule: Rule, a: str = "n_a", b: str = "n_b"):
     return 100 * F.least(a, b) >= rule.percent * F.greatest(a, b)
 
 
-def balls(docs: DataFrame, reps: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
-    """Leaders and the classes linked to them: (cls, leader, away) of members, and the links found.
+def references(reps: DataFrame) -> DataFrame:
+    """For each class that looks like others the reference of its family: a, b.
 
-    Classes that share first tokens under AGREE orders with the least class of these tokens' groups are compared with it.
-    A least class that is linked to no lesser one is a leader. Some rounds over classes without a ball follow. This only saves
-    work: families of near copies are one ball afterwards, and exactness is left to the prefix filters.
+    Classes that share a first token under an order are a group. A class follows the class of its largest group whose own groups are the
+    largest taken together: near the middle of a family most first tokens are those of the others. Followed to its end, a
+    few steps at most, that leads the family to one or few references; whoever shares fewer than AGREE first tokens with it has none.
     """
-    members = links = None
-    free = reps
-    for turn in range(BALL_ROUNDS):
-        rank = F.xxhash64("cls", F.lit(turn))
-        firsts = free.select("cls", "n", rank.alias("rank"), F.posexplode("firsts").alias("order", "token"))
-        centers = firsts.groupBy("order", "token").agg(F.min(F.struct("rank", "cls", "n")).alias("c"), F.count("*").alias("rows")).filter("rows > 1")
-        near = firsts.join(centers, ["order", "token"]).filter((F.col("cls") != F.col("c.cls")) & fitting(rule, "n", "c.n"))
-        pairs = near.groupBy(F.col("cls").alias("a"), F.col("c.cls").alias("b")).agg(F.count("*").alias("orders")).filter(F.col("orders") >= AGREE)
-        pairs = materialize(pairs)
-        if pairs.isEmpty():
-            break
-        found = materialize(verified(docs, pairs, reps, rule).filter(linked(rule)).select("a", "b", distance().alias("away")))
-        links = found if links is None else links.unionByName(found)
-        followers = found.select(F.col("a").alias("b")).distinct()
-        led = found.join(followers, "b", "left_anti")  # to classes that follow nobody
-        new = led.groupBy("a").agg(F.min(F.struct("away", "b")).alias("best")).select(F.col("a").alias("cls"), F.col("best.b").alias("leader"), F.col("best.away").alias("away"))
-        new = materialize(new)
-        grown = new.count()
-        members = new if members is None else members.unionByName(new)
-        if grown * 200 < reps.count():
-            break
-        taken = members.select("cls").union(members.select(F.col("leader").alias("cls"))).distinct()
-        free = materialize(reps.join(taken, "cls", "left_anti"))
-    return members, links
-
-
-def candidates(docs: DataFrame, flags: DataFrame, order: TokenOrder, rule: Rule) -> DataFrame:
-    """Pairs of balls (a < b) that share a prefix token of some members under every one of the ORDERS orders.
-
-    ``flags`` has, by doc_id, the classes that are copies (to be left out) or belong to a ball. Two linked sets share a
-    prefix token under any order, so nothing is lost. A task sees each token and ball once a batch.
+    firsts = reps.select("cls", F.posexplode("firsts").alias("order", "token"))
+    sizes = firsts.groupBy("order", "token").agg(F.count("*").alias("n")).filter("n > 1")
+    grouped = materialize(firsts.join(sizes, ["order", "token"]))
+    popular = grouped.groupBy("cls").agg(F.sum("n").alias("popularity"))
+    best = grouped.join(popular, "cls").groupBy("order", "token").agg(F.max(F.struct("popularity", "cls")).alias("best"))
+    choice = grouped.join(best, ["order", "token"]).groupBy("cls").agg(F.max(F.struct("n", "best")).alias("choice"))
+    follows = choice.select("cls", F.col("choice.best.cls").alias("to")).filter("cls != to")
+    for _ in range(JUMPS):  # popularity grows with every step, so there are no circles
+        follows = materialize(follows)
+        on = follows.select(F.col("cls").alias("to"), F.col("to").alias("further"))
+        follows = follows.join(on, "to", "left").select("cls", F.coalesce("further", "to").alias("to"))
+    mine, theirs = reps.select("cls", "firsts"), reps.select(F.col("cls").alias("to"), F.col("firsts").alias("others"))
+    agreed = F.aggregate(F.zip_with("firsts", "others", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    return follows.join(mine, "cls").join(theirs, "to").filter(agreed >= AGREE).select(F.col("cls").alias("a"), F.col("to").alias("b"))
+
+
+def candidates(docs: DataFrame, reps: DataFrame, flags: DataFrame, families: DataFrame, marks: DataFrame, order: TokenOrder, rule: Rule) -> DataFrame:
+    """Pairs of classes (a < b) that share a prefix token under every one of the ORDERS orders.
+
+    Two linked sets share a prefix token under any order, so nothing is lost; those of one family share one of their difference's prefix
+    (``marks``: token, cls, side). ``flags`` has, by doc_id, the classes that are copies (to be left out) or belong to a family.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(order)
-    joined = docs.select("doc_id", text_bytes().alias("data")).join(flags.withColumnRenamed("doc_id", "flag_id"), F.col("doc_id").eqNullSafe(F.col("flag_id")), "left")
+    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", text_bytes().alias("data"))
+    rows = rows.join(flags.withColumnRenamed("doc_id", "flag_id"), F.col("doc_id") == F.col("flag_id"), "left").select("data", "flags")
+    lost = texts_without_id(docs, rule).join(reps.filter("rep IS NULL").select("cls"), "cls").join(families, "cls", "left")
+    none = F.lit(None).cast("array<struct<cls:long,family:long,copy:boolean>>")
+    known = F.when(F.col("family").isNotNull(), F.array(F.struct("cls", "family", F.lit(False).alias("copy")))).otherwise(none)
+    rows = rows.unionByName(lost.select("data", known.alias("flags")))
 
     def emit(parts):
         memo = WordHashes()
         for part in parts:
-            tokens, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-            for data, known in zip(part["data"].to_pylist(), part["flags"].to_pylist()):
-                found = shingle_set(spaced_words(data), rule.k, memo)
-                if not len(found):
-                    continue
-                cls = ball = set_hash(found)
-                if flag := next((f for f in known or () if f["cls"] == cls), None):
-                    if flag["ball"] is None:
-                        continue  # a copy of a class that another row stands for
-                    ball = flag["ball"]
-                for o, prefix in enumerate(shared.value.prefixes(found, rule.prefix(len(found)))):
-                    tokens.append((prefix & ~np.uint64(ORDERS - 1)) | np.uint64(o))
-                    owners.append(np.full(len(prefix), ball, np.int64))
-            pairs = np.empty((sum(map(len, tokens)), 2), np.int64)
-            pairs[:, 0], pairs[:, 1] = np.concatenate(tokens).view(np.int64), np.concatenate(owners)
-            if len(owners) > 2:
-                pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-                pairs = pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)])] if len(pairs) else pairs
-            for at in range(0, len(pairs), 1 << 18):
-                part_of = pairs[at : at + (1 << 18)]
-                yield {"token": pa.array(part_of[:, 0]), "ball": pa.array(part_of[:, 1])}
-
-    postings = pass_over(joined, {"data": F.col("data"), "flags": F.col("flags")}, "token long, ball long", emit)
+            for datas, flags in some_at_a_time(part["data"], part["flags"], most=RUN_BYTES):
+                tokens, owners, groups = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+                for data, known in zip(datas, flags):
+                    found = shingle_set(spaced_words(data), rule.k, memo)
+                    if not len(found):
+                        continue
+                    cls = family = set_hash(found)
+                    if flag := next((f for f in known or () if f["cls"] == cls), None):
+                        if flag["copy"]:
+                            continue  # another row stands for this class
+                        family = flag["family"]
+                    for o, prefix in enumerate(order.prefixes(found, rule.prefix(len(found)))):
+                        tokens.append(posting(prefix, o))
+                        owners.append(np.full(len(prefix), cls, np.int64))
+                        groups.append(np.full(len(prefix), family, np.int64))
+                yield {"token": pa.array(np.concatenate(tokens).view(np.int64)), "cls": pa.array(np.concatenate(owners)), "side": pa.array(np.concatenate(groups))}
+
+    postings = pass_over(rows, {"data": F.col("data"), "flags": F.col("flags")}, "token long, cls long, side long", emit)
+    postings = postings.unionByName(marks.select("token", "cls", F.coalesce("side", "cls").alias("side")))
 
     def meet(parts):
-        """All rows of a token are in one partition: the pairs of different balls of each token."""
-        token, ball = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        """All rows of a token are in one partition: the pairs of its classes that stand on different sides."""
+        columns = [[np.empty(0, np.int64)] for _ in range(3)]
         for part in parts:
-            token.append(part["token"].to_numpy())
-            ball.append(part["ball"].to_numpy())
-        token, ball = np.concatenate(token), np.concatenate(ball)
-        by = np.lexsort((ball, token))
-        token, ball = token[by], ball[by]
-        new = np.concatenate([[True], (token[1:] != token[:-1]) | (ball[1:] != ball[:-1])]) if len(token) else np.empty(0, bool)
-        token, ball = token[new], ball[new]
-        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.empty(0, np.int64)
-        sizes = np.diff(np.concatenate([starts, [len(token)]]))
-        waiting, held = [], 0
-        for size in np.unique(sizes[sizes > 1]):
-            at = starts[sizes == size]
-            for i in range(size - 1):
-                for rows in np.array_split(at, max(1, len(at) * (size - 1 - i) >> 20)):
-                    low = np.repeat(ball[rows + i], size - 1 - i)
-                    high = ball[(rows[:, None] + np.arange(i + 1, size)).ravel()]
-                    waiting.append(np.column_stack([low, high, np.repeat(token[rows] & (ORDERS - 1), size - 1 - i)]))
-                    held += len(low)
-                    if held > 1 << 20:
-                        yield _distinct_pairs(waiting)
-                        waiting, held = [], 0
-        yield _distinct_pairs(waiting)
+            for column, name in zip(columns, ("token", "side", "cls")):
+                column.append(part[name].to_numpy())
+        token, side, cls = map(np.concatenate, columns)
+        by = np.lexsort((cls, side, token))
+        token, side, cls = token[by], side[by], cls[by]
+        new = np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]) | (side[1:] != side[:-1])) if len(token) else np.empty(0, bool)
+        token, side, cls = token[new], side[new], cls[new]
+        if not len(token):
+            return
+        lists = np.append(True, token[1:] != token[:-1])
+        sides = lists | np.append(True, side[1:] != side[:-1])
+        after_list = np.append(np.flatnonzero(lists)[1:], len(token))[np.cumsum(lists) - 1]
+        after_side = np.append(np.flatnonzero(sides)[1:], len(token))[np.cumsum(sides) - 1]
+        counts = after_list - after_side  # each meets those of the sides behind its own
+        ends, at = np.cumsum(counts), 0
+        while at < len(counts):
+            done = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + (1 << 20))))
+            left = np.repeat(np.arange(at, stop), counts[at:stop])
+            right = after_side[left] + np.arange(len(left)) - (ends[left] - counts[left] - done)
+            low, high = np.minimum(cls[left], cls[right]), np.maximum(cls[left], cls[right])
+            yield _distinct_pairs(np.column_stack([low, high, token[left] & ((1 << ORDER_BITS) - 1)]))
+            at = stop
 
     dealt = postings.repartition(F.col("token"))
-    pairs = pass_over(dealt, {"token": F.col("token"), "ball": F.col("ball")}, "a long, b long, orders int", meet)
+    pairs = pass_over(dealt, {c: F.col(c) for c in ("token", "side", "cls")}, "a long, b long, orders int", meet)
     every = (1 << ORDERS) - 1
-    return pairs.groupBy("a", "b").agg(F.bit_or("orders").alias("orders")).filter(F.col("orders") == every).select("a", "b")
+    return pairs.groupBy("a", "b").agg(F.bit_or("orders").alias("orders")).filter((F.col("orders") == every) & (F.col("a") != F.col("b"))).select("a", "b")
 
 
-def _distinct_pairs(parts: list[np.ndarray]) -> dict:
-    rows = np.concatenate([np.empty((0, 3), np.int64), *parts])
+def _distinct_pairs(rows: np.ndarray) -> dict:
     by = np.lexsort((rows[:, 1], rows[:, 0]))
     rows = rows[by]
-    first = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)])) if len(rows) else np.empty(0, np.int64)
+    first = np.flatnonzero(np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(1))) if len(rows) else np.empty(0, np.int64)
     orders = np.bitwise_or.reduceat(1 << rows[:, 2], first) if len(first) else np.empty(0, np.int64)
     return {"a": pa.array(rows[first, 0]), "b": pa.array(rows[first, 1]), "orders": pa.array(orders).cast(pa.int32())}
 
@@ -304,79 +385,97 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.hash("b", "a").cast("bigint"))).first())
 
 
-def near_copies(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Groups of documents linked by the Jaccard similarity of their shingle sets: doc_id, n_shingles, component_id.
-
-    Exact: documents link if 100 * common >= percent * union of their sets of distinct k-word shingles (A-Z in lower case,
-    words between ASCII white space; fewer words are one shingle), and component_id is the least doc_id that links reach. Null and
-    empty texts have no set and link with nothing; equal sets are one class, however often and in whatever rows they occur;
-    a null doc_id never names a component unless all of it lack ids; an empty table gives no rows. Sets are known by 64-bit
-    hashes. Other columns are not read.
-
-    1. One pass makes a class hash, first tokens and frequent tokens. 2. Families are gathered into balls around leaders, by first
-    tokens under several orders. 3. Prefix tokens of every class under each order meet by token, as their balls: pairs of balls
-    that meet under all orders are candidates. 4. Leaders of candidates are compared. By the triangle inequality of the Jaccard distance, two
-    balls have no link if their leaders are further apart than their radii and the rule's distance; the members of others, if not
-    yet connected, are compared. 5. Links become components by alternating stars. No group is collected, and no pairs are made within a ball.
-    """
-    spark = docs.sparkSession
+def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, cls, n), classes (cls, rep, rows), and for classes with a link the least class of their component (cls, root)."""
     stored = signatures(docs, rule)
     rows = stored.filter("token IS NULL").select("doc_id", "cls", "n", "firsts")
     often = stored.filter("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= FREQUENT)
     top = often.orderBy(F.desc("seen"), "token").limit(FREQUENT_TOKENS).toArrow()
     order = TokenOrder(top["token"].to_pylist(), top["seen"].to_pylist())
     reps = materialize(rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("firsts").alias("firsts"), F.count("*").alias("rows")))
-    members, links = balls(docs, reps, rule)
-    if members is None:
-        members = spark.createDataFrame([], "cls long, leader long, away double")
-        links = spark.createDataFrame([], "a long, b long, away double")
-
-    copies = rows.join(reps.filter("rows > 1").select("cls", "rep"), "cls").filter(~F.col("doc_id").eqNullSafe(F.col("rep")))
-    flags = copies.select("doc_id", "cls", F.lit(None).cast("bigint").alias("ball")).distinct().unionByName(
-        reps.join(members, "cls").select(F.col("rep").alias("doc_id"), "cls", F.col("leader").alias("ball")))
-    flags = flags.groupBy("doc_id").agg(F.collect_list(F.struct("cls", "ball")).alias("flags"))
-    pairs = materialize(candidates(docs, small_result(flags), order, rule))
-
-    radii = members.groupBy(F.col("leader").alias("cls")).agg(F.max("away").alias("radius"))
-    sized = materialize(reps.join(radii, "cls", "left").select("cls", "n", F.coalesce("radius", F.lit(0.0)).alias("radius")))
-    a = sized.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("radius").alias("radius_a"))
-    b = sized.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("radius").alias("radius_b"))
-    pairs = pairs.join(a, "a").join(b, "b").filter(fitting(rule) | (F.col("radius_a") + F.col("radius_b") > 0))
-    compared = materialize(verified(docs, materialize(pairs), reps, rule).join(a.drop("n_a"), "a").join(b.drop("n_b"), "b"))
-    edges = links.select("a", "b").unionByName(compared.filter(linked(rule)).select("a", "b"))
-    reach = (100 - rule.percent) / 100 + F.col("radius_a") + F.col("radius_b") + 1e-9
-    open_pairs = compared.filter(~linked(rule) & (F.col("radius_a") + F.col("radius_b") > 0) & (distance() <= reach)).select("a", "b")
-    open_pairs = materialize(open_pairs)
-    if not open_pairs.isEmpty():
-        known = components(edges)
-        root_a, root_b = (known.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-        apart = open_pairs.join(root_a, "a", "left").join(root_b, "b", "left").filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-        inside = members.select("cls", "leader").unionByName(members.select(F.col("leader").alias("cls"), "leader").distinct())
-        inside = inside.join(reps.select("cls", "n"), "cls")
-        in_a = inside.select(F.col("leader").alias("a"), F.col("cls").alias("cls_a"), F.col("n").alias("n_a"))
-        in_b = inside.select(F.col("leader").alias("b"), F.col("cls").alias("cls_b"), F.col("n").alias("n_b"))
-        alone = sized.select("cls", "n")
-        more = apart.select("a", "b").join(in_a, "a", "left").join(in_b, "b", "left").select(F.coalesce("cls_a", "a").alias("a"), F.coalesce("cls_b", "b").alias("b")).distinct()
-        more = more.join(alone.select(F.col("cls").alias("a"), F.col("n").alias("n_a")), "a").join(alone.select(F.col("cls").alias("b"), F.col("n").alias("n_b")), "b")
-        found = verified(docs, materialize(more.filter(fitting(rule))), reps, rule).filter(linked(rule)).select("a", "b")
-        edges = edges.unionByName(found)
+
+    compared = materialize(verified(docs, materialize(references(reps)), reps, rule, order))
+    of_family = compared.filter("marks IS NOT NULL")
+    used = of_family.select(F.col("b").alias("used")).distinct()
+    of_family = of_family.join(used, F.col("a") == F.col("used"), "left_anti")  # a reference is of its own family only
+    families = of_family.select(F.col("a").alias("cls"), F.col("b").alias("family")).distinct()
+    families = materialize(families.unionByName(used.select(F.col("used").alias("cls"), F.col("used").alias("family"))))
+    marks = of_family.select(F.col("a").alias("cls"), F.inline("marks"))
+
+    copies = rows.join(reps.filter("rows > 1 AND rep IS NOT NULL").select("cls", "rep"), "cls").filter("doc_id != rep")
+    flags = copies.select("doc_id", "cls", F.lit(None).cast("bigint").alias("family"), F.lit(True).alias("copy")).distinct().unionByName(
+        reps.filter("rep IS NOT NULL").join(families, "cls").select(F.col("rep").alias("doc_id"), "cls", "family", F.lit(False).alias("copy")))
+    flags = flags.groupBy("doc_id").agg(F.collect_list(F.struct("cls", "family", "copy")).alias("flags"))
+    pairs = materialize(candidates(docs, reps, small_result(flags), families, marks, order, rule))
+
+    sizes = reps.select("cls", "n")
+    pairs = pairs.join(sizes.select(F.col("cls").alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col("cls").alias("b"), F.col("n").alias("n_b")), "b")
+    found = verified(docs, materialize(pairs.filter(fitting(rule)).select("a", "b")), reps, rule)
+    edges = compared.filter(linked(rule)).select("a", "b").unionByName(found.filter(linked(rule)).select("a", "b"))
     roots = components(edges)
-    named = roots.join(reps.select(F.col("cls").alias("node"), "rep"), "node").unionByName(
-        roots.select(F.col("root").alias("node"), "root").distinct().join(reps.select(F.col("cls").alias("node"), "rep"), "node"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component"))
-    of_class = small_result(named.join(least, "root").select(F.col("node").alias("cls"), "component"))
+    roots = roots.select(F.col("node").alias("cls"), "root").unionByName(roots.select(F.col("root").alias("cls"), "root").distinct())
+    return rows.select("doc_id", "cls", "n"), reps.select("cls", "rep", "rows"), materialize(roots)
+
+
+def near_copies(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """Groups of documents linked by the Jaccard similarity of their shingle sets: doc_id, n_shingles, component_id.
+
+    Exact: documents link if 100 * common >= percent * union of their sets of distinct k-word shingles (A-Z in lower case,
+    words between ASCII white space; fewer words are one shingle), and component_id is the least doc_id that links reach. Null and
+    empty texts have no set and link with nothing; equal sets are one class, however often and in whatever rows they occur; rows that repeat
+    an id are documents of their own; a null doc_id never names a component unless all of it lack ids; an empty table gives no rows. Texts are
+    read whole, one at a time. Sets are known by 64-bit hashes. Other columns are not read.
+
+    1. One pass makes a class hash, first tokens and frequent tokens. 2. Each class that looks like others is compared with the reference
+    of its family, which gives links and what sets the class apart. 3. Prefix tokens of every class under each order meet by token: classes of
+    different families by tokens of their sets, classes of one family by tokens of what sets them apart. Pairs that meet under
+    all orders are candidates. 4. Candidates of fitting sizes are compared. 5. Links become components by alternating stars. No group is
+    collected; what links two classes of a family by way of its reference is not looked for again.
+    """
+    rows, reps, roots = _grouped(docs, rule)
+    least = roots.join(reps.select("cls", "rep"), "cls").groupBy("root").agg(F.min("rep").alias("component"))
+    of_class = small_result(roots.join(least, "root").select("cls", "component"))
     several = small_result(reps.filter("rows > 1").select("cls", "rep"))
-    out = rows.select("doc_id", "cls", "n").join(of_class, "cls", "left").join(several, "cls", "left")
+    out = rows.join(of_class, "cls", "left").join(several, "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """All columns of the documents that give their component its name, one row each; rows without doc_id stay."""
-    groups = near_copies(docs, rule).select(F.col("doc_id").alias("group_doc"), "component_id")
-    others = small_result(groups.filter("component_id != group_doc").select("group_doc").distinct())
-    kept = docs.join(others, docs["doc_id"] == others["group_doc"], "left_anti")
-    repeated = small_result(kept.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    """All columns of one row of each component: of its class with the least doc_id, the row with that id (the least text, if it repeats).
+
+    Decided by id and set of shingles, so unrelated texts under one id all stay. Texts without words are in no component: rows of one id
+    whose such texts are equal become one, those without an id all stay. Components without any id keep the least text of one
+    class. An empty table stays empty; texts of any length are taken whole.
+    """
+    rows, reps, roots = _grouped(docs, rule)
+    named = roots.join(reps, "cls").unionByName(reps.filter("rows > 1").join(roots, "cls", "left_anti").withColumn("root", F.col("cls")).select("cls", "root", "rep", "rows"))
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("lost"), "rep", "cls")).alias("first"))
+    chosen = small_result(named.join(first, "root").select("cls", F.when(F.col("cls") == F.col("first.cls"), F.struct("rep")).alias("kept")))
+    repeated = small_result(rows.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__again")))
+
+    # ids of one row: the class of the id decides
+    gone = rows.join(chosen, "cls").filter(F.col("kept").isNull() | ~F.col("doc_id").eqNullSafe(F.col("kept.rep"))).select(F.col("doc_id").alias("__again"))
+    single = docs.join(small_result(gone.filter("__again IS NOT NULL").distinct().unionByName(repeated).distinct()), docs["doc_id"].eqNullSafe(F.col("__again")), "left_anti")
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").withColumn("__place", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once.filter("__place = 1").drop("__place"))
+        return single
+
+    # ids of several rows, and rows without an id: the class of each row decides, which a pass over these rows finds
+    at, names = docs.columns.index("text"), docs.columns
+    several = docs.join(repeated, docs["doc_id"].eqNullSafe(F.col("__again")), "left_semi")
+    schema = T.StructType([*docs.schema.fields, T.StructField("__cls", T.LongType())])
+
+    def classed(batches):
+        memo = WordHashes()
+        for batch in batches:
+            sets = (shingle_set(spaced_words((t or "").encode()), rule.k, memo) for t in batch.column(at).to_pylist())
+            classes = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, classes], names=[*batch.schema.names, "__cls"])
+
+    of_rows = materialize(several.mapInArrow(classed, schema))
+    wordless = of_rows.filter("__cls IS NULL")
+    loose = wordless.filter("doc_id IS NULL").unionByName(wordless.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
+    decided = chosen.select(F.col("cls").alias("__of"), F.col("kept").alias("__kept"))
+    kept = of_rows.filter("__cls IS NOT NULL").join(decided, F.col("__cls") == F.col("__of"), "left")
+    kept = kept.filter(F.col("__of").isNull() | F.col("__kept").isNotNull() & F.col("doc_id").eqNullSafe(F.col("__kept.rep")))
+    kept = kept.groupBy("__cls").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in names]), F.struct("text")).alias("__row")).select("__row.*")
+    return single.unionByName(loose.select(*names)).unionByName(kept.select(*names))

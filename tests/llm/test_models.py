@@ -54,9 +54,8 @@ def families(seed: int) -> list:
 
 @pytest.mark.parametrize("rule, frequent", [(jaccard.Rule(4, 85), True), (jaccard.Rule(5, 80), False)])
 def test_near_copies_are_brute_force(spark, monkeypatch, rule, frequent):
-    if frequent:  # so that small tables too have tokens that come last in all orders, and few balls
+    if frequent:  # so that small tables too have tokens that come last in all orders
         monkeypatch.setattr(jaccard, "FREQUENT", 3)
-        monkeypatch.setattr(jaccard, "BALL_ROUNDS", 1)
     docs = documents(spark, families(rule.k))
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_copies(docs, rule).collect()}
@@ -76,6 +75,65 @@ def test_order_never_loses_a_link():
                 assert len(np.intersect1d(x, y))
 
 
+def edited(made, reference: np.ndarray) -> np.ndarray:
+    """Some tokens gone, some at one end, and some new ones; new ones are drawn from few, so that copies share them."""
+    kept = reference[made.random(len(reference)) > made.choice([0, 0.02, 0.1, 0.2])]
+    kept = kept[: int(len(kept) * made.choice([1, 1, 0.9, 0.7]))]
+    return np.unique(np.append(kept, made.integers(1, 60, int(made.integers(0, 14))).astype(np.uint64)))
+
+
+@pytest.mark.parametrize("rule", [jaccard.Rule(4, 85), jaccard.Rule(5, 80), jaccard.Rule(4, 60)])
+def test_marks_never_lose_a_link(rule):
+    """Linked sets of one family that are not both linked to its reference share marks on different sides, under every order."""
+    made, order, seen = np.random.default_rng(3), jaccard.TokenOrder([5, 9, 17, 1 << 40], [8, 900, 30, 9]), [0, 0]
+    for _ in range(1500):
+        reference = np.unique(made.integers(40, 1 << 62, int(made.integers(20, 90))).astype(np.uint64))
+        first = edited(made, reference)
+        second = edited(made, first) if made.random() < 0.7 else edited(made, reference)
+        sets, far, marks = (first, second), [], []
+        for one in sets:
+            common = len(np.intersect1d(one, reference))
+            far.append(100 * common < rule.percent * (len(one) + len(reference) - common))
+            marks.append(jaccard.marks_of(one, reference, common, 77, order, rule))
+        common = len(np.intersect1d(*sets))
+        if None in marks or not any(far) or 100 * common < rule.percent * (len(first) + len(second) - common) or common == len(first) == len(second):
+            continue
+        seen[all(far)] += 1
+        met = set()
+        for m in marks[0]:
+            met |= {n["token"] & 3 for n in marks[1] if n["token"] == m["token"] and (m["side"] is None or m["side"] != n["side"])}
+        assert met == set(range(jaccard.ORDERS))
+    assert min(seen) > 20
+
+
+@pytest.mark.parametrize("rule", [jaccard.Rule(4, 85), jaccard.Rule(5, 80)])
+def test_a_large_family(spark, rule):
+    """Copies of one text, most of which are linked to few others or to none, cut copies, and rows without an id."""
+    made = random.Random(11)
+    base = prose(50, 150, 3000)
+    texts = [changed(base, made.sample(range(150), made.choice([0, 1, 2, 3, 3, 4, 5, 6, 8]))) for _ in range(220)]
+    texts += [" ".join(changed(base, made.sample(range(100), made.choice([0, 2, 4]))).split(" ")[: made.choice([149, 130, 125, 118, 100])]) for _ in range(80)]
+    docs = documents(spark, texts)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_copies(docs, rule).collect()}
+    want = brute_groups({r["doc_id"]: r["text"] for r in docs.collect()}, rule.k, rule.percent)
+    assert got == want and 5 < len({c for _, c in want.values()}) < 250
+    lost = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")))
+    sizes = sorted(tuple(r) for r in jaccard.near_copies(lost, rule).groupBy("component_id").count().collect() if r[0] is not None)
+    group = defaultdict(list)
+    for doc, (_, root) in want.items():
+        group[root].append(doc)
+    assert sizes == sorted((min(d for d in g if d % 3), len(g)) for g in group.values() if any(d % 3 for d in g))
+
+
+def test_one_of_each_keeps_unrelated_texts(spark):
+    a, x, y, z = prose(60, 80), prose(61, 80), prose(62, 80), prose(63, 80)
+    rows = [(1, a), (2, changed(a, [70])), (2, x), (3, y), (3, z), (4, y), (4, y), (5, None), (5, ""), (5, ""), (None, a), (None, prose(64, 70)), (None, prose(64, 70)), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", None, None, 0.5, "x", 3, 1, 7, None) for i, t in rows], documents(spark).schema)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.one_of_each(docs).collect()]
+    want = [(1, a), (2, x), (3, y), (3, z), (5, None), (5, ""), (None, prose(64, 70)), (None, ""), (None, "")]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
 def test_near_copies_of_odd_rows(spark):
     docs = documents(spark)
     out = jaccard.near_copies(docs).collect()
