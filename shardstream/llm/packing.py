@@ -312,9 +312,10 @@ def packed(docs: DataFrame, path: str | None = None, source: str = "source", seq
     The queues are the sources (a null source is a source of its own), their targets the sources' shares of all
     tokens. Sources too small for a queue (see QUEUES) take turns in one more (see :func:`turns`), each by its share. All sequences are full but the last, and every token lies in exactly one piece. Order in a
     queue is that of the table's parts. A null or empty text is the one token END; repeated rows are packed each; special
-    strings in texts become what the vocabulary makes of them; an empty table gives no rows. Tokens are
-    written once; those of queues of their own are never shuffled, those of small sources once, to their turns. The driver
-    sees the sums of sources with queues of their own only.
+    strings in texts become what the vocabulary makes of them; an empty table gives no rows. A text of any length is encoded whole, in one
+    task, its words as one Arrow array; other columns are not read. Tokens are written once; those of queues of their own meet the sums of (task,
+    source), which are broadcast up to BROADCAST_ROWS rows and joined by a shuffle beyond that; those of small sources are shuffled once more, to
+    their turns. The driver sees the sums of sources with queues of their own only.
     """
     spark = docs.sparkSession
     tokens = tokenized(docs, path, source)

@@ -230,7 +230,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     means of its words' and shapes' vectors; a two-layer network, fitted on at most ``sample`` labelled documents
     outside the held-out fold, scores it. Null and empty texts pool to zeros and are scored like any text; equal
     texts score alike; without labels of both kinds every score is the share of good labels (1 without any label);
-    an empty table gives no rows. Only the text is an input, and no pass shuffles texts.
+    an empty table gives no rows. A text of any length is read whole, in one task, with a few numbers held for each of its words. Only the
+    text is an input, and no pass shuffles texts but those of the sample; other columns are not read.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample))
 
@@ -243,7 +244,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, least: float = REJECT_BELOW, sample: int = SAMPLE) -> DataFrame:
-    """The documents that score at least ``least``, with all their columns as they were."""
+    """The documents that score at least ``least``, with all their columns as they were.
+
+    Rows are judged one by one, also those that repeat or have no id; null and empty texts are scored as :func:`quality_scores` scores
+    them; an empty table stays empty. Long texts are read whole.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample))
     at = docs.columns.index("text")
 

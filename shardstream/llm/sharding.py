@@ -107,7 +107,8 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     one hash would only share a group). A size is the UTF-8 bytes of the text plus ROW_BYTES. Slots
     number the rows of a shard from 0 without gaps. Null texts are one group of size ROW_BYTES a row,
     apart from that of empty texts; repeated rows get slots of their own; a group larger than a fair share
-    fills a shard and later shards may stay empty; an empty table gives no rows. The text is read once;
+    fills a shard and later shards may stay empty; an empty table gives no rows; a text of any length is one number in all that
+    follows; other columns are not read. The text is read once;
     all else works on six numbers a row. Rows of a shard are numbered in runs dealt by a hash of the
     row's stored number, so that a hot group, also of rows that are all the same, is spread over many tasks.
     """

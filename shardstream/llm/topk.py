@@ -115,7 +115,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, vector: str = "embedding") -
     smaller vec_id. Null vectors, vectors with null or non-finite components and rows without vec_id take no part; of
     rows that repeat a vec_id the smallest vector counts; vectors are only compared with vectors of their length; scores
     are 64-bit, so components are expected below 2**31. With fewer than k candidates all are returned; an empty table
-    gives no rows.
+    gives no rows. Columns but ``is_query``'s, vec_id and the vector are not read.
 
     The rows are dealt into shards by a hash of their id, the queries into blocks. A block first searches one shard of
     its own, and the k-th scores found there go with it as floors to all other shards, where they prune from the

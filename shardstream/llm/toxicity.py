@@ -237,8 +237,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     The grammar's words are a seed lexicon and stems learned from at most ``sample`` labelled documents outside the
     held-out fold; composed transducers read each clause of each whole text; a logistic scale turns the clauses' weights into a
     probability. Null and empty texts match nothing and get the probability of that; equal texts score alike;
-    without labels of both kinds the seed lexicon and a plain scale are used; an empty table gives no rows. Only texts
-    are inputs. All texts are read twice, once to pick the sample, and only the sample's texts are shuffled.
+    without labels of both kinds the seed lexicon and a plain scale are used; an empty table gives no rows. A text of any length is
+    read whole, in one task; rows that repeat or have no id are scored one by one. Only texts are inputs, whatever other columns are called. All texts are read twice, once to pick the sample, and only the sample's texts are shuffled.
     """
     spark = docs.sparkSession
     chosen = training_labels(labels, "toxic", FOLDS, HELD_OUT, sample)

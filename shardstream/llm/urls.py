@@ -236,7 +236,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     parts the calibration fold best. Counting covers all urls and all their character runs and is added up before it is
     shuffled; runs, totals of contexts and ratios are tables, and every window of a url is scored with its own. Null urls and urls without '://' have an empty host and path;
     a null or empty url scores 0; without urls of both kinds the threshold is 0 and a url that the models
-    know nothing of is allowed. Repeated rows are judged alike, other columns are not read, an empty table gives no rows.
+    know nothing of is allowed. Repeated rows are judged alike, a url of any length is
+    read whole, other columns are not read, an empty table gives no rows.
     """
     rows = ruled(pages, rules)
     found = scored(rows, window_ratios(count_runs(rows)))
