@@ -14,27 +14,36 @@ NEAR = jaccard.Rule(k=5, percent=80)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject (score of 0.3 or more), with their columns as they were."""
+    """Documents that the quality classifier does not reject (score of 0.3 or more), with their columns as they were.
+
+    Each row is judged by its text, also rows that repeat or have no id; a null text is scored as an empty one.
+    """
     return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least doc_id."""
+    """Of each group of near copies the document with the least doc_id, one row of it.
+
+    Texts are grouped, not ids: unrelated texts under one id all stay, as do rows without words (equal ones of one id as one row).
+    """
     return jaccard.one_of_each(docs, NEAR)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than one word in twenty lies in a benchmark window."""
+    """Documents of which less than one word in twenty lies in a benchmark window; null and empty texts stay, repeated rows are judged alike."""
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked and n_chars following the text."""
+    """All documents, row by row, with secrets masked and n_chars following the text; null texts stay null."""
     return secrets.mask_secrets(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 2048 tokens, each filled to the sources' shares; with the token ids (16-bit)."""
+    """Pieces of documents in sequences of 2048 tokens, each filled to the sources' shares; with the token ids (16-bit).
+
+    Each row is packed, also rows that repeat or have no id; null and empty texts are one closing token; a null source is one of its own.
+    """
     return packing.packed(docs)
 
 
