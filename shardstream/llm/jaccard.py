@@ -22,6 +22,8 @@ ORDERS, ORDER_BITS = 2, 2
 # Orders whose first tokens find references, how many a class must share with its own, and the least similarity in percent to be of its family.
 FIRSTS, AGREE, FAMILY_PERCENT = 6, 2, 40
 JUMPS = 3
+# With more candidate pairs a class than this, so many of each class are compared before the others.
+CROWDED = 3
 # The tokens that all orders put last: the most frequent ones, of those that occur LOCAL times in a run of rows and FREQUENT times in all.
 LOCAL, FREQUENT, FREQUENT_TOKENS = 2, 8, 1 << 18
 # Bytes of text whose tokens a task looks at together.
@@ -217,7 +219,7 @@ def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, rule: Rule, ord
                             out[name].append(value)
                 yield out
 
-    schema = "a long, b long, size_a long, size_b long, common long, marks array<struct<token:long,side:long>>"
+    schema = "a long, b long, size_a long, size_b long, common long, marks array<struct<token:long,side:long,behind:long,apart:long,n:long>>"
     return pass_over(both, {c: F.col(c) for c in ("a", "b", "data_a", "data_b")}, schema, compare)
 
 
@@ -243,10 +245,17 @@ def marks_of(one: np.ndarray, reference: np.ndarray, common: int, family: int, o
     for o, tokens in enumerate(order.ordered(added, lacking)):
         for length, salt, on in ((with_others, 1, None), (across, 2, side)):
             hashed = mixed(tokens[:length] ^ mixed(np.array([family, salt], np.int64).view(np.uint64)).sum(dtype=np.uint64))
-            out += [{"token": t, "side": on} for t in posting(hashed, o).view(np.int64).tolist()]
+            for place, token in enumerate(posting(hashed, o).view(np.int64).tolist()):
+                out.append({"token": token, "side": on, "behind": apart - place - 1, "apart": apart, "n": len(one)})
     return out
 
 
+def within_reach(rule: Rule, behind_a, behind_b, apart_a, apart_b, n_a, n_b):
+    """Whether a shared mark may be the first of a link: it and what stands behind it in both differences are as many as these have in common."""
+    least = np.maximum((apart_a + apart_b - rule.most_apart(n_a, n_b) + 1) // 2, 1)
+    return 1 + np.minimum(behind_a, behind_b) >= least
+
+
 def posting(tokens: np.ndarray, order: int) -> np.ndarray:
     return (tokens & ~np.uint64((1 << ORDER_BITS) - 1)) | np.uint64(order)
 
@@ -263,21 +272,29 @@ def fitting(rule: Rule, a: str = "n_a", b: str = "n_b"):
 def references(reps: DataFrame) -> DataFrame:
     """For each class that looks like others the reference of its family: a, b.
 
-    Classes that share a first token under an order are a group. A class follows the class of its largest group whose own groups are the
-    largest taken together: near the middle of a family most first tokens are those of the others. Followed to its end, a
-    few steps at most, that leads the family to one or few references; whoever shares fewer than AGREE first tokens with it has none.
+    Classes that share a first token under an order are a group, and its leader the class whose own groups are the largest taken together. A
+    class follows the leader that most of its groups have; followed to its end, a few steps at most, that leads
+    a family to one class. The reference is then the class of the family with most of its usual first tokens: it stands near
+    the middle. Whoever shares fewer than AGREE first tokens with it has none.
     """
     firsts = reps.select("cls", F.posexplode("firsts").alias("order", "token"))
     sizes = firsts.groupBy("order", "token").agg(F.count("*").alias("n")).filter("n > 1")
     grouped = materialize(firsts.join(sizes, ["order", "token"]))
     popular = grouped.groupBy("cls").agg(F.sum("n").alias("popularity"))
     best = grouped.join(popular, "cls").groupBy("order", "token").agg(F.max(F.struct("popularity", "cls")).alias("best"))
-    choice = grouped.join(best, ["order", "token"]).groupBy("cls").agg(F.max(F.struct("n", "best")).alias("choice"))
-    follows = choice.select("cls", F.col("choice.best.cls").alias("to")).filter("cls != to")
+    shared = grouped.join(best, ["order", "token"]).groupBy("cls", F.col("best.cls").alias("to")).agg(F.count("*").alias("groups"), F.max("best.popularity").alias("popularity"))
+    follows = shared.groupBy("cls").agg(F.max(F.struct("groups", "popularity", "to")).alias("choice")).select("cls", F.col("choice.to").alias("to"))
     for _ in range(JUMPS):  # popularity grows with every step, so there are no circles
         follows = materialize(follows)
         on = follows.select(F.col("cls").alias("to"), F.col("to").alias("further"))
         follows = follows.join(on, "to", "left").select("cls", F.coalesce("further", "to").alias("to"))
+    follows = materialize(follows)
+    usual = grouped.join(follows, "cls").groupBy("to", "order", "token").agg(F.count("*").alias("n"))
+    usual = usual.groupBy("to", "order").agg(F.max(F.struct("n", "token")).alias("usual"))
+    usual = usual.filter("usual.n > 1").select("to", "order", F.col("usual.token").alias("token"))
+    middle = grouped.select("cls", "order", "token").join(follows, "cls").join(usual, ["to", "order", "token"]).groupBy("to", "cls").agg(F.count("*").alias("n"))
+    middle = middle.groupBy("to").agg(F.max(F.struct("n", "cls")).alias("middle")).select("to", F.col("middle.cls").alias("reference"))
+    follows = follows.join(middle, "to").select("cls", F.col("reference").alias("to")).filter("cls != to")
     mine, theirs = reps.select("cls", "firsts"), reps.select(F.col("cls").alias("to"), F.col("firsts").alias("others"))
     agreed = F.aggregate(F.zip_with("firsts", "others", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     return follows.join(mine, "cls").join(theirs, "to").filter(agreed >= AGREE).select(F.col("cls").alias("a"), F.col("to").alias("b"))
@@ -317,42 +334,50 @@ def candidates(docs: DataFrame, reps: DataFrame, flags: DataFrame, families: Dat
                 yield {"token": pa.array(np.concatenate(tokens).view(np.int64)), "cls": pa.array(np.concatenate(owners)), "side": pa.array(np.concatenate(groups))}
 
     postings = pass_over(rows, {"data": F.col("data"), "flags": F.col("flags")}, "token long, cls long, side long", emit)
-    postings = postings.unionByName(marks.select("token", "cls", F.coalesce("side", "cls").alias("side")))
+    sets, apart = ("token", "side", "cls"), ("token", "side", "cls", "behind", "apart", "n")
+    marks = marks.withColumn("side", F.coalesce("side", "cls")).select(*apart)
 
-    def meet(parts):
-        """All rows of a token are in one partition: the pairs of its classes that stand on different sides."""
-        columns = [[np.empty(0, np.int64)] for _ in range(3)]
-        for part in parts:
-            for column, name in zip(columns, ("token", "side", "cls")):
-                column.append(part[name].to_numpy())
-        token, side, cls = map(np.concatenate, columns)
-        by = np.lexsort((cls, side, token))
-        token, side, cls = token[by], side[by], cls[by]
-        new = np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]) | (side[1:] != side[:-1])) if len(token) else np.empty(0, bool)
-        token, side, cls = token[new], side[new], cls[new]
-        if not len(token):
-            return
-        lists = np.append(True, token[1:] != token[:-1])
-        sides = lists | np.append(True, side[1:] != side[:-1])
-        after_list = np.append(np.flatnonzero(lists)[1:], len(token))[np.cumsum(lists) - 1]
-        after_side = np.append(np.flatnonzero(sides)[1:], len(token))[np.cumsum(sides) - 1]
-        counts = after_list - after_side  # each meets those of the sides behind its own
-        ends, at = np.cumsum(counts), 0
-        while at < len(counts):
-            done = ends[at - 1] if at else 0
-            stop = max(at + 1, int(np.searchsorted(ends, done + (1 << 20))))
-            left = np.repeat(np.arange(at, stop), counts[at:stop])
-            right = after_side[left] + np.arange(len(left)) - (ends[left] - counts[left] - done)
-            low, high = np.minimum(cls[left], cls[right]), np.maximum(cls[left], cls[right])
-            yield _distinct_pairs(np.column_stack([low, high, token[left] & ((1 << ORDER_BITS) - 1)]))
-            at = stop
-
-    dealt = postings.repartition(F.col("token"))
-    pairs = pass_over(dealt, {c: F.col(c) for c in ("token", "side", "cls")}, "a long, b long, orders int", meet)
+    def met(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
+        dealt = rows.select(*names).repartition(F.col("token"))
+        return pass_over(dealt, {c: F.col(c) for c in names}, "a long, b long, orders int", lambda parts: _met(parts, names, rule))
+
+    pairs = met(postings, sets).unionByName(met(marks, apart))
     every = (1 << ORDERS) - 1
     return pairs.groupBy("a", "b").agg(F.bit_or("orders").alias("orders")).filter((F.col("orders") == every) & (F.col("a") != F.col("b"))).select("a", "b")
 
 
+def _met(parts, names: tuple[str, ...], rule: Rule):
+    """All rows of a token are in one partition: the pairs of its classes that stand on different sides, and are in reach if marks meet."""
+    columns = [[np.empty(0, np.int64)] for _ in names]
+    for part in parts:
+        for column, name in zip(columns, names):
+            column.append(part[name].to_numpy())
+    columns = [np.concatenate(c) for c in columns]
+    by = np.lexsort((columns[2], columns[1], columns[0]))
+    token, side, cls, *facts = (c[by] for c in columns)
+    new = np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]) | (side[1:] != side[:-1])) if len(token) else np.empty(0, bool)
+    token, side, cls, *facts = (c[new] for c in (token, side, cls, *facts))
+    if not len(token):
+        return
+    lists = np.append(True, token[1:] != token[:-1])
+    sides = lists | np.append(True, side[1:] != side[:-1])
+    after_list = np.append(np.flatnonzero(lists)[1:], len(token))[np.cumsum(lists) - 1]
+    after_side = np.append(np.flatnonzero(sides)[1:], len(token))[np.cumsum(sides) - 1]
+    counts = after_list - after_side  # each meets those of the sides behind its own
+    ends, at = np.cumsum(counts), 0
+    while at < len(counts):
+        done = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, done + (1 << 20))))
+        left = np.repeat(np.arange(at, stop), counts[at:stop])
+        right = after_side[left] + np.arange(len(left)) - (ends[left] - counts[left] - done)
+        if facts:
+            near = within_reach(rule, *(f[x] for f in facts for x in (left, right)))
+            left, right = left[near], right[near]
+        low, high = np.minimum(cls[left], cls[right]), np.maximum(cls[left], cls[right])
+        yield _distinct_pairs(np.column_stack([low, high, token[left] & ((1 << ORDER_BITS) - 1)]))
+        at = stop
+
+
 def _distinct_pairs(rows: np.ndarray) -> dict:
     by = np.lexsort((rows[:, 1], rows[:, 0]))
     rows = rows[by]
@@ -410,8 +435,21 @@ def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFra
 
     sizes = reps.select("cls", "n")
     pairs = pairs.join(sizes.select(F.col("cls").alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col("cls").alias("b"), F.col("n").alias("n_b")), "b")
-    found = verified(docs, materialize(pairs.filter(fitting(rule)).select("a", "b")), reps, rule)
-    edges = compared.filter(linked(rule)).select("a", "b").unionByName(found.filter(linked(rule)).select("a", "b"))
+    pairs = materialize(pairs.filter(fitting(rule)).select("a", "b"))
+    edges = compared.filter(linked(rule)).select("a", "b")
+    partners = pairs.select(F.col("a").alias("cls"), F.col("b").alias("other")).union(pairs.select(F.col("b").alias("cls"), F.col("a").alias("other")))
+    if pairs.count() > CROWDED * partners.agg(F.count_distinct("cls")).first()[0]:
+        # a few pairs of each class first: of the others only those are compared whose classes are not connected by then
+        ranks = [F.min(F.struct(F.xxhash64("cls", "other", F.lit(turn)).alias("rank"), "other")) for turn in range(CROWDED)]
+        few = partners.groupBy("cls").agg(F.array(*ranks).alias("few")).select("cls", F.explode("few.other").alias("other"))
+        few = materialize(few.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct())
+        edges = materialize(edges.unionByName(verified(docs, few, reps, rule).filter(linked(rule)).select("a", "b")))
+        known = components(edges)
+        known = known.unionByName(known.select(F.col("root").alias("node"), "root").distinct())
+        root_a, root_b = (known.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+        apart = pairs.join(few, ["a", "b"], "left_anti").join(root_a, "a", "left").join(root_b, "b", "left")
+        pairs = materialize(apart.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
+    edges = edges.unionByName(verified(docs, pairs, reps, rule).filter(linked(rule)).select("a", "b"))
     roots = components(edges)
     roots = roots.select(F.col("node").alias("cls"), "root").unionByName(roots.select(F.col("root").alias("cls"), "root").distinct())
     return rows.select("doc_id", "cls", "n"), reps.select("cls", "rep", "rows"), materialize(roots)
@@ -429,7 +467,8 @@ def near_copies(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     1. One pass makes a class hash, first tokens and frequent tokens. 2. Each class that looks like others is compared with the reference
     of its family, which gives links and what sets the class apart. 3. Prefix tokens of every class under each order meet by token: classes of
     different families by tokens of their sets, classes of one family by tokens of what sets them apart. Pairs that meet under
-    all orders are candidates. 4. Candidates of fitting sizes are compared. 5. Links become components by alternating stars. No group is
+    all orders are candidates. 4. Candidates of fitting sizes are compared, where there are many a few of each class first, and then those whose
+    classes are not connected yet. 5. Links become components by alternating stars. No group is
     collected; what links two classes of a family by way of its reference is not looked for again.
     """
     rows, reps, roots = _grouped(docs, rule)

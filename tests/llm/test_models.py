@@ -101,7 +101,10 @@ def test_marks_never_lose_a_link(rule):
         seen[all(far)] += 1
         met = set()
         for m in marks[0]:
-            met |= {n["token"] & 3 for n in marks[1] if n["token"] == m["token"] and (m["side"] is None or m["side"] != n["side"])}
+            for n in marks[1]:
+                reach = [x[c] for c in ("behind", "apart", "n") for x in (m, n)]
+                if n["token"] == m["token"] and (m["side"] is None or m["side"] != n["side"]) and jaccard.within_reach(rule, *reach):
+                    met.add(n["token"] & 3)
         assert met == set(range(jaccard.ORDERS))
     assert min(seen) > 20
 
