@@ -27,7 +27,7 @@ CROWDED = 3
 # The tokens that all orders put last: the most frequent ones, of those that occur LOCAL times in a run of rows and FREQUENT times in all.
 LOCAL, FREQUENT, FREQUENT_TOKENS = 2, 8, 1 << 18
 # Bytes of text whose tokens a task looks at together.
-RUN_BYTES = 8 << 20
+RUN_BYTES = 4 << 20
 _SIEVE_BITS = 22
 ORDER_SEED = 0xA24BAED4963EE407
 

@@ -26,9 +26,9 @@ QUEUES = 256
 # Tokens of a turn, and turns whose places one task adds up.
 TURN, SLICE = 256, 1 << 16
 # Words whose ids a process remembers, in each of two generations, and runs of closing punctuation.
-MEMO_WORDS, MEMO_TAILS = 1 << 19, 1 << 12
+MEMO_WORDS, MEMO_TAILS = 1 << 18, 1 << 12
 # Bytes of texts whose words are told apart at once.
-RUN_BYTES = 8 << 20
+RUN_BYTES = 4 << 20
 
 
 class Schedule:
