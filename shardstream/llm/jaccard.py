@@ -28,6 +28,8 @@ CROWDED = 3
 LOCAL, FREQUENT, FREQUENT_TOKENS = 2, 8, 1 << 18
 # Bytes of text whose tokens a task looks at together.
 RUN_BYTES = 4 << 20
+# Pairs of a token's classes that a task holds at once.
+MEET_PAIRS = 1 << 18
 _SIEVE_BITS = 22
 ORDER_SEED = 0xA24BAED4963EE407
 
@@ -367,7 +369,7 @@ def _met(parts, names: tuple[str, ...], rule: Rule):
     ends, at = np.cumsum(counts), 0
     while at < len(counts):
         done = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, done + (1 << 20))))
+        stop = max(at + 1, int(np.searchsorted(ends, done + MEET_PAIRS)))
         left = np.repeat(np.arange(at, stop), counts[at:stop])
         right = after_side[left] + np.arange(len(left)) - (ends[left] - counts[left] - done)
         if facts:
