@@ -22,6 +22,8 @@ ORDERS, ORDER_BITS = 2, 2
 # Orders whose first tokens find references, how many a class must share with its own, and the least similarity in percent to be of its family.
 FIRSTS, AGREE, FAMILY_PERCENT = 6, 2, 40
 JUMPS = 3
+# Families of this many classes get a reference nearer to their middle, and their differences an order by what is rare in the family.
+LARGE_FAMILY = 8
 # With more candidate pairs a class than this, so many of each class are compared before the others.
 CROWDED = 3
 # The tokens that all orders put last: the most frequent ones, of those that occur LOCAL times in a run of rows and FREQUENT times in all.
@@ -136,15 +138,14 @@ class TokenOrder:
         return maybe[same], np.minimum(self.levels[at[same]], np.uint64(63)) << np.uint64(58)
 
     def prefixes(self, tokens: np.ndarray, length: int) -> list[np.ndarray]:
-        """The first ``length`` tokens under each order."""
-        if length >= len(tokens):
-            return [tokens] * ORDERS
+        """The first ``length`` tokens under each order, in that order."""
         places, levels = self.ranked(tokens)
         out = []
         for order in range(ORDERS):
             keys = order_keys(tokens, order) >> np.uint64(6)
             keys[places] |= levels
-            out.append(tokens[np.argpartition(keys, length - 1)[:length]])
+            first = np.argpartition(keys, length - 1)[:length] if length < len(tokens) else np.arange(len(tokens))
+            out.append(tokens[first[np.argsort(keys[first])]])
         return out
 
     def ordered(self, *groups: np.ndarray) -> list[np.ndarray]:
@@ -192,12 +193,12 @@ def texts_without_id(docs: DataFrame, rule: Rule) -> DataFrame:
     return made.filter("cls IS NOT NULL").dropDuplicates(["cls"])
 
 
-def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, rule: Rule, order: TokenOrder | None = None) -> DataFrame:
-    """Pairs (a, b) of classes with the sizes and the common part of their sets: a, b, size_a, size_b, common, marks.
+def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, rule: Rule, of_family: bool = False) -> DataFrame:
+    """Pairs (a, b) of classes with the sizes and the common part of their sets: a, b, size_a, size_b, common, diff.
 
     Only texts of classes in a pair are read again, and travel as texts, which take half the room of their sets. Each goes to its
-    pairs by a join, which Spark splits where a class has many partners; a pair may come more than once if rows are the same. With an ``order``, b is the reference of a's
-    family, and ``marks`` are the tokens by which a finds partners within it (see :func:`marks_of`).
+    pairs by a join, which Spark splits where a class has many partners; a pair may come more than once if rows are the same. With ``of_family``, b is the reference of a's
+    family, and ``diff`` are the tokens that only one of both has, or null if a is too unlike b to be of its family.
     """
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     rows = texts_of(docs, reps.join(wanted, "cls"), rule)
@@ -209,19 +210,19 @@ def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, rule: Rule, ord
         memo, last = WordHashes(), (None, None)
         for part in parts:
             for datas, others, a, b in some_at_a_time(part["data_a"], part["data_b"], part["a"], part["b"]):
-                out = {c: [] for c in ("a", "b", "size_a", "size_b", "common", "marks")}
+                out = {c: [] for c in ("a", "b", "size_a", "size_b", "common", "diff")}
                 for data, other, cls_a, cls_b in zip(datas, others, a, b):
                     one = shingle_set(spaced_words(data), rule.k, memo)
                     two = last[1] if last[0] == other else shingle_set(spaced_words(other), rule.k, memo)
                     last = (other, two)
                     if len(one) and len(two) and set_hash(one) == cls_a and set_hash(two) == cls_b:  # ids may be those of several texts
                         common = len(np.intersect1d(one, two, assume_unique=True))
-                        marks = marks_of(one, two, common, cls_b, order, rule) if order is not None else None
-                        for name, value in zip(out, (cls_a, cls_b, len(one), len(two), common, marks)):
+                        diff = np.setxor1d(one, two, assume_unique=True).view(np.int64) if of_family and is_family(one, two, common) else None
+                        for name, value in zip(out, (cls_a, cls_b, len(one), len(two), common, diff)):
                             out[name].append(value)
                 yield out
 
-    schema = "a long, b long, size_a long, size_b long, common long, marks array<struct<token:long,side:long,behind:long,apart:long,n:long>>"
+    schema = "a long, b long, size_a long, size_b long, common long, diff array<long>"
     return pass_over(both, {c: F.col(c) for c in ("a", "b", "data_a", "data_b")}, schema, compare)
 
 
@@ -229,31 +230,98 @@ def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, rule: Rule, ord
 LINKED_SIDE, OTHER_SIDE = 1, 2
 
 
-def marks_of(one: np.ndarray, reference: np.ndarray, common: int, family: int, order: TokenOrder, rule: Rule) -> list[dict] | None:
-    """Prefix tokens, under each order, of the difference between a set and its family's reference; None if it is not of the family.
+def is_family(one: np.ndarray, reference: np.ndarray, common: int) -> bool:
+    return 100 * common >= FAMILY_PERCENT * (len(one) + len(reference) - common)
 
-    What the set has and the reference has not comes first, as that is rare; what it lacks comes behind. Tokens are hashed with the
-    family. Sets that are not linked to the reference meet each other by some of them (``side`` is None: all pairs), and
-    those that are linked to it by others (only pairs of different sides).
-    """
-    union = len(one) + len(reference) - common
-    if 100 * common < FAMILY_PERCENT * union:
+
+def marks_of(one: np.ndarray, reference: np.ndarray, common: int, family: int, order: TokenOrder, rule: Rule) -> list[dict] | None:
+    """The marks of a set (see :func:`family_marks`), its difference under a global order; None if it is not of the reference's family."""
+    if not is_family(one, reference, common):
         return None
     added, lacking = np.setdiff1d(one, reference, assume_unique=True), np.setdiff1d(reference, one, assume_unique=True)
-    apart = len(added) + len(lacking)
-    with_others, across = rule.apart_prefixes(apart, len(one), len(reference))
-    side = LINKED_SIDE if 100 * common >= rule.percent * union else OTHER_SIDE
-    out = []
-    for o, tokens in enumerate(order.ordered(added, lacking)):
+    made = family_marks(order.ordered(added, lacking), len(one), len(reference), family, rule)
+    return [dict(zip(made, row)) for row in zip(*made.values())]
+
+
+def family_marks(ordered: list[np.ndarray], n: int, reference: int, family: int, rule: Rule) -> dict[str, list]:
+    """Prefix tokens of the difference between a set of ``n`` tokens and its family's reference: token, side, behind, apart, n.
+
+    The difference comes in each order. Tokens are hashed with the family. Sets that are not linked to the reference meet each other
+    by some of them (``side`` is None: all pairs), and those that are linked to it by others (only pairs of different sides).
+    """
+    apart = len(ordered[0])
+    common = (n + reference - apart) // 2
+    with_others, across = rule.apart_prefixes(apart, n, reference)
+    side = LINKED_SIDE if 100 * common >= rule.percent * (n + reference - common) else OTHER_SIDE
+    out = {c: [] for c in ("token", "side", "behind", "apart", "n")}
+    for o, tokens in enumerate(ordered):
         for length, salt, on in ((with_others, 1, None), (across, 2, side)):
             hashed = mixed(tokens[:length] ^ mixed(np.array([family, salt], np.int64).view(np.uint64)).sum(dtype=np.uint64))
-            for place, token in enumerate(posting(hashed, o).view(np.int64).tolist()):
-                out.append({"token": token, "side": on, "behind": apart - place - 1, "apart": apart, "n": len(one)})
+            made = posting(hashed, o).view(np.int64).tolist()
+            for name, values in zip(out, (made, [on] * len(made), range(apart - 1, apart - 1 - len(made), -1), [apart] * len(made), [n] * len(made))):
+                out[name].extend(values)
     return out
 
 
+def of_large(members: DataFrame) -> DataFrame:
+    """References of families with at least LARGE_FAMILY other classes: b, members."""
+    return small_result(members.groupBy("b").agg(F.count("*").alias("members")).filter(F.col("members") >= LARGE_FAMILY))
+
+
+def recentred(members: DataFrame) -> DataFrame:
+    """Members of families (a, b, size_a, size_b, diff), those of large families with the class as reference b that is nearest to the middle.
+
+    The middle of a family is the set of all tokens that most of its classes have. It differs from the reference in those tokens that
+    are in most differences, and from another class in those that are in just one of these and the class's own difference. Differences
+    from the new reference follow from those from the old one, no text is read again.
+    """
+    tokens = members.join(of_large(members), "b").select("a", "b", "members", F.size("diff").alias("apart"), F.explode("diff").alias("token"))
+    usual = tokens.groupBy("b", "token").agg(F.count("*").alias("seen"), F.first("members").alias("members")).filter("2 * seen > members")
+    usual = small_result(usual.select("b", "token", F.lit(1).alias("usual")))
+    off = tokens.join(usual, ["b", "token"], "left").groupBy("a", "b").agg((F.first("apart") - 2 * F.count("usual")).alias("off"))
+    nearest = off.groupBy("b").agg(F.min(F.struct("off", "a")).alias("best")).filter("best.off < 0").select("b", F.col("best.a").alias("a"))
+    moved = small_result(members.join(F.broadcast(nearest), ["a", "b"]).select("b", F.col("a").alias("to"), F.col("size_a").alias("size_to"), F.col("diff").alias("step")))
+    stay = F.col("to").isNull()
+    between = F.array_union(F.array_except("diff", "step"), F.array_except("step", "diff"))
+    near = members.join(moved, "b", "left").filter(stay | (F.col("a") != F.col("to")))
+    near = near.select("a", F.coalesce("to", "b").alias("b"), "size_a", F.coalesce("size_to", "size_b").alias("size_b"), F.when(stay, F.col("diff")).otherwise(between).alias("diff"))
+    sizes = members.groupBy("b").agg(F.first("size_b").alias("size_b"))
+    before = moved.join(sizes, "b").select(F.col("b").alias("a"), F.col("to").alias("b"), F.col("size_b").alias("size_a"), F.col("size_to").alias("size_b"), F.col("step").alias("diff"))
+    return near.unionByName(before)
+
+
+def marked(members: DataFrame, rule: Rule) -> DataFrame:
+    """The marks of members of families (a, b, size_a, size_b, diff): token, side, cls, behind, apart, n.
+
+    Rarer tokens come first: in large families by the number of differences that hold a token, where a shared one sets no class apart.
+    """
+    tokens = members.join(of_large(members), "b").select("a", "b", F.explode("diff").alias("token"))
+    seen = small_result(tokens.groupBy("b", "token").agg(F.count("*").alias("seen")).filter("seen > 1"))
+    often = tokens.join(seen, ["b", "token"]).groupBy("a", "b").agg(F.collect_list(F.struct("token", "seen")).alias("often"))
+    rows = members.join(often.select(F.col("a").alias("of"), "often"), F.col("a") == F.col("of"), "left")
+    rows = rows.select("a", "b", "size_a", "size_b", "diff", F.col("often.token").alias("shared"), F.col("often.seen").alias("seen"))
+
+    def run(parts):
+        for part in parts:
+            for at in range(len(part["a"])):
+                diff = part["diff"][at].values.to_numpy().view(np.uint64)
+                rank = np.zeros(len(diff), np.int64)
+                if part["shared"][at].is_valid:
+                    shared, by = part["shared"][at].values.to_numpy().view(np.uint64), np.argsort(diff)
+                    rank[by[np.searchsorted(diff, shared, sorter=by)]] = part["seen"][at].values.to_numpy()
+                ordered = [diff[np.lexsort((order_keys(diff, o), rank))] for o in range(ORDERS)]
+                cls, family, n, reference = (part[c][at].as_py() for c in ("a", "b", "size_a", "size_b"))
+                made = family_marks(ordered, n, reference, family, rule)
+                yield made | {"cls": [cls] * len(made["token"])}
+
+    return pass_over(rows, {c: F.col(c) for c in rows.columns}, "token long, side long, cls long, behind long, apart long, n long", run)
+
+
 def within_reach(rule: Rule, behind_a, behind_b, apart_a, apart_b, n_a, n_b):
-    """Whether a shared mark may be the first of a link: it and what stands behind it in both differences are as many as these have in common."""
+    """Whether a shared token may be the first of a link: it and what stands behind it in both lists are as many as these have in common.
+
+    The lists are differences from the reference of a family, or whole sets, which are their differences from nothing.
+    """
     least = np.maximum((apart_a + apart_b - rule.most_apart(n_a, n_b) + 1) // 2, 1)
     return 1 + np.minimum(behind_a, behind_b) >= least
 
@@ -266,11 +334,6 @@ def linked(rule: Rule):
     return 100 * F.col("common") >= rule.percent * (F.col("size_a") + F.col("size_b") - F.col("common"))
 
 
-def fitting(rule: Rule, a: str = "n_a", b: str = "n_b"):
-    """Whether two sizes allow a link."""
-    return 100 * F.least(a, b) >= rule.percent * F.greatest(a, b)
-
-
 def references(reps: DataFrame) -> DataFrame:
     """For each class that looks like others the reference of its family: a, b.
 
@@ -303,7 +366,7 @@ def references(reps: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, reps: DataFrame, flags: DataFrame, families: DataFrame, marks: DataFrame, order: TokenOrder, rule: Rule) -> DataFrame:
-    """Pairs of classes (a < b) that share a prefix token under every one of the ORDERS orders.
+    """Pairs of classes (a < b) that share a prefix token within reach of a link under every one of the ORDERS orders.
 
     Two linked sets share a prefix token under any order, so nothing is lost; those of one family share one of their difference's prefix
     (``marks``: token, cls, side). ``flags`` has, by doc_id, the classes that are copies (to be left out) or belong to a family.
@@ -319,7 +382,7 @@ def candidates(docs: DataFrame, reps: DataFrame, flags: DataFrame, families: Dat
         memo = WordHashes()
         for part in parts:
             for datas, flags in some_at_a_time(part["data"], part["flags"], most=RUN_BYTES):
-                tokens, owners, groups = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+                tokens, owners, groups, reach = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
                 for data, known in zip(datas, flags):
                     found = shingle_set(spaced_words(data), rule.k, memo)
                     if not len(found):
@@ -333,10 +396,12 @@ def candidates(docs: DataFrame, reps: DataFrame, flags: DataFrame, families: Dat
                         tokens.append(posting(prefix, o))
                         owners.append(np.full(len(prefix), cls, np.int64))
                         groups.append(np.full(len(prefix), family, np.int64))
-                yield {"token": pa.array(np.concatenate(tokens).view(np.int64)), "cls": pa.array(np.concatenate(owners)), "side": pa.array(np.concatenate(groups))}
+                        reach.append((len(found) << 32) + np.arange(len(found) - 1, len(found) - 1 - len(prefix), -1, dtype=np.int64))
+                columns = zip(("token", "cls", "side", "reach"), (tokens, owners, groups, reach))
+                yield {name: pa.array(np.concatenate(column).view(np.int64)) for name, column in columns}
 
-    postings = pass_over(rows, {"data": F.col("data"), "flags": F.col("flags")}, "token long, cls long, side long", emit)
-    sets, apart = ("token", "side", "cls"), ("token", "side", "cls", "behind", "apart", "n")
+    postings = pass_over(rows, {"data": F.col("data"), "flags": F.col("flags")}, "token long, cls long, side long, reach long", emit)
+    sets, apart = ("token", "side", "cls", "reach"), ("token", "side", "cls", "behind", "apart", "n")
     marks = marks.withColumn("side", F.coalesce("side", "cls")).select(*apart)
 
     def met(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -349,12 +414,19 @@ def candidates(docs: DataFrame, reps: DataFrame, flags: DataFrame, families: Dat
 
 
 def _met(parts, names: tuple[str, ...], rule: Rule):
-    """All rows of a token are in one partition: the pairs of its classes that stand on different sides, and are in reach if marks meet."""
+    """All rows of a token are in one partition: the pairs of its classes that stand on different sides and are in reach of a link.
+
+    ``reach`` is a set's size and, in the low half, what stands behind the token in it.
+    """
     columns = [[np.empty(0, np.int64)] for _ in names]
     for part in parts:
         for column, name in zip(columns, names):
             column.append(part[name].to_numpy())
     columns = [np.concatenate(c) for c in columns]
+    by = np.argsort(columns[0])
+    same = columns[0][by[1:]] == columns[0][by[:-1]]
+    by = by[np.append(same, False) | np.append(False, same)] if len(by) else by  # most tokens meet nothing
+    columns = [c[by] for c in columns]
     by = np.lexsort((columns[2], columns[1], columns[0]))
     token, side, cls, *facts = (c[by] for c in columns)
     new = np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]) | (side[1:] != side[:-1])) if len(token) else np.empty(0, bool)
@@ -372,9 +444,9 @@ def _met(parts, names: tuple[str, ...], rule: Rule):
         stop = max(at + 1, int(np.searchsorted(ends, done + MEET_PAIRS)))
         left = np.repeat(np.arange(at, stop), counts[at:stop])
         right = after_side[left] + np.arange(len(left)) - (ends[left] - counts[left] - done)
-        if facts:
-            near = within_reach(rule, *(f[x] for f in facts for x in (left, right)))
-            left, right = left[near], right[near]
+        behind, apart, n = facts if len(facts) == 3 else (facts[0] & 0xFFFFFFFF, facts[0] >> 32, facts[0] >> 32)
+        near = within_reach(rule, *(f[x] for f in (behind, apart, n) for x in (left, right)))
+        left, right = left[near], right[near]
         low, high = np.minimum(cls[left], cls[right]), np.maximum(cls[left], cls[right])
         yield _distinct_pairs(np.column_stack([low, high, token[left] & ((1 << ORDER_BITS) - 1)]))
         at = stop
@@ -421,13 +493,14 @@ def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFra
     order = TokenOrder(top["token"].to_pylist(), top["seen"].to_pylist())
     reps = materialize(rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("firsts").alias("firsts"), F.count("*").alias("rows")))
 
-    compared = materialize(verified(docs, materialize(references(reps)), reps, rule, order))
-    of_family = compared.filter("marks IS NOT NULL")
-    used = of_family.select(F.col("b").alias("used")).distinct()
-    of_family = of_family.join(used, F.col("a") == F.col("used"), "left_anti")  # a reference is of its own family only
-    families = of_family.select(F.col("a").alias("cls"), F.col("b").alias("family")).distinct()
-    families = materialize(families.unionByName(used.select(F.col("used").alias("cls"), F.col("used").alias("family"))))
-    marks = of_family.select(F.col("a").alias("cls"), F.inline("marks"))
+    compared = materialize(verified(docs, materialize(references(reps)), reps, rule, of_family=True))
+    members = compared.filter("diff IS NOT NULL").select("a", "b", "size_a", "size_b", "diff")
+    used = members.select(F.col("b").alias("used")).distinct()
+    members = materialize(members.join(used, F.col("a") == F.col("used"), "left_anti").dropDuplicates(["a", "b"]))  # a reference is of its own family only
+    members = materialize(recentred(members))
+    families = members.select(F.col("a").alias("cls"), F.col("b").alias("family"))
+    families = materialize(families.unionByName(members.select(F.col("b").alias("cls"), F.col("b").alias("family")).distinct()))
+    marks = marked(members, rule)
 
     copies = rows.join(reps.filter("rows > 1 AND rep IS NOT NULL").select("cls", "rep"), "cls").filter("doc_id != rep")
     flags = copies.select("doc_id", "cls", F.lit(None).cast("bigint").alias("family"), F.lit(True).alias("copy")).distinct().unionByName(
@@ -435,10 +508,8 @@ def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFra
     flags = flags.groupBy("doc_id").agg(F.collect_list(F.struct("cls", "family", "copy")).alias("flags"))
     pairs = materialize(candidates(docs, reps, small_result(flags), families, marks, order, rule))
 
-    sizes = reps.select("cls", "n")
-    pairs = pairs.join(sizes.select(F.col("cls").alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col("cls").alias("b"), F.col("n").alias("n_b")), "b")
-    pairs = materialize(pairs.filter(fitting(rule)).select("a", "b"))
-    edges = compared.filter(linked(rule)).select("a", "b")
+    to_reference = members.withColumn("common", F.expr("(size_a + size_b - size(diff)) div 2"))
+    edges = compared.filter(linked(rule)).select("a", "b").unionByName(to_reference.filter(linked(rule)).select("a", "b"))
     partners = pairs.select(F.col("a").alias("cls"), F.col("b").alias("other")).union(pairs.select(F.col("b").alias("cls"), F.col("a").alias("other")))
     if pairs.count() > CROWDED * partners.agg(F.count_distinct("cls")).first()[0]:
         # a few pairs of each class first: of the others only those are compared whose classes are not connected by then

@@ -128,6 +128,50 @@ def test_a_large_family(spark, rule):
     assert sizes == sorted((min(d for d in g if d % 3), len(g)) for g in group.values() if any(d % 3 for d in g))
 
 
+def counted_candidates(monkeypatch) -> list[int]:
+    counts, found = [], jaccard.candidates
+
+    def counting(*args):
+        pairs = jaccard.materialize(found(*args))
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "candidates", counting)
+    return counts
+
+
+@pytest.mark.parametrize("rule", [jaccard.Rule(4, 85), jaccard.Rule(5, 80)])
+def test_candidates_of_a_family_do_not_grow_with_its_square(spark, monkeypatch, rule):
+    """Every text lacks words of its own, so any reference lacks some that all the others have: what they share then says nothing."""
+    made, words, counts = random.Random(21), prose(52, 150, 3000).split(" "), counted_candidates(monkeypatch)
+    gone = [made.sample(range(150), made.choice([5, 6, 7])) for _ in range(120)]
+    docs = documents(spark, [" ".join(w for i, w in enumerate(words) if i not in places) for places in gone])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_copies(docs, rule).collect()}
+    assert got == brute_groups({r["doc_id"]: r["text"] for r in docs.collect()}, rule.k, rule.percent)
+    assert counts[0] <= 8 * len(gone)
+
+
+def test_sets_out_of_reach_are_no_candidates(spark, monkeypatch):
+    counts, texts = counted_candidates(monkeypatch), []
+    for i in range(80):
+        texts += [prose(700 + i, 20, 3000), f"{prose(700 + i, 20, 3000)} {prose(900 + i, 60, 3000)}"]
+    got = jaccard.near_copies(documents(spark, texts)).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got) and counts == [0]
+
+
+def test_recentred_takes_the_middle(spark):
+    middle = set(range(100))
+    sets = {0: middle - set(range(20)) | {500, 501}, 1: middle - {30}}
+    sets |= {i: middle - {40 + i, 60 + i} | {600 + i} for i in range(2, 14)}
+    sets |= {50: {1, 2, 3, 4}, 51: {1, 2, 3, 5}}  # a small family stays as it is
+    near = [(i, 50 if i > 50 else 0) for i in sets if i not in (0, 50)]
+    rows = [(a, b, len(sets[a]), len(sets[b]), sorted(sets[a] ^ sets[b])) for a, b in near]
+    members = spark.createDataFrame(rows, "a long, b long, size_a long, size_b long, diff array<long>")
+    got = {r["a"]: (r["b"], r["size_a"], r["size_b"], sorted(r["diff"])) for r in jaccard.recentred(members).collect()}
+    want = {a: (b, len(sets[a]), len(sets[b]), sorted(sets[a] ^ sets[b])) for a, b in [(i, 1) for i in (0, *range(2, 14))] + [(51, 50)]}
+    assert got == want
+
+
 def test_one_of_each_keeps_unrelated_texts(spark):
     a, x, y, z = prose(60, 80), prose(61, 80), prose(62, 80), prose(63, 80)
     rows = [(1, a), (2, changed(a, [70])), (2, x), (3, y), (3, z), (4, y), (4, y), (5, None), (5, ""), (5, ""), (None, a), (None, prose(64, 70)), (None, prose(64, 70)), (None, ""), (None, "")]
