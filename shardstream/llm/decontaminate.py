@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .words import alnum_words, pass_over, text_bytes
+from .words import alnum_words, map_batches, pass_over, small_batches, text_bytes
 
 WINDOW = 13
 # Bytes of benchmark text that one broadcast may hold; a larger benchmark is scanned in slices, one pass after another.
@@ -153,7 +153,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         shared = spark.sparkContext.broadcast(windows)
 
         def run(batches, shared=shared, last=last, width=len(docs.columns)):
-            for batch in batches:
+            for batch in small_batches(batches, at):
                 keep, hits = [], []
                 before = batch.column(width).to_pylist() if batch.num_columns > width else [None] * batch.num_rows
                 for text, earlier in zip(batch.column(at).to_pylist(), before):
@@ -169,7 +169,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     columns, names = [*columns, pa.array(hits, pa.binary())], [*names, "__hits"]
                 yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
 
-        out = out.mapInArrow(run, docs.schema if last else marked)
+        out = map_batches(out, run, docs.schema if last else marked)
         if not last:  # one slice at a time is held by workers
             out = materialize(out)
             shared.unpersist()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize, small_result
-from .words import WordHashes, mixed, pass_over, shingle_set, some_at_a_time, spaced_words, text_bytes
+from .words import WordHashes, map_batches, mixed, pass_over, shingle_set, small_batches, some_at_a_time, spaced_words, text_bytes
 
 # Token orders that a candidate must share a prefix token under; the low bits of a posting's token say which.
 ORDERS, ORDER_BITS = 2, 2
@@ -578,12 +578,12 @@ def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     def classed(batches):
         memo = WordHashes()
-        for batch in batches:
+        for batch in small_batches(batches, at):
             sets = (shingle_set(spaced_words((t or "").encode()), rule.k, memo) for t in batch.column(at).to_pylist())
             classes = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, classes], names=[*batch.schema.names, "__cls"])
 
-    of_rows = materialize(several.mapInArrow(classed, schema))
+    of_rows = materialize(map_batches(several, classed, schema))
     wordless = of_rows.filter("__cls IS NULL")
     loose = wordless.filter("doc_id IS NULL").unionByName(wordless.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
     decided = chosen.select(F.col("cls").alias("__of"), F.col("kept").alias("__kept"))

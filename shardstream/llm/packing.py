@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, small_result
-from .words import pass_over, runs_of_bytes, text_bytes
+from .words import give_back, pass_over, runs_of_bytes, text_bytes
 
 SEQUENCE = 2048
 END = 1
@@ -26,9 +26,11 @@ QUEUES = 256
 # Tokens of a turn, and turns whose places one task adds up.
 TURN, SLICE = 256, 1 << 16
 # Words whose ids a process remembers, in each of two generations, and runs of closing punctuation.
-MEMO_WORDS, MEMO_TAILS = 1 << 18, 1 << 12
+MEMO_WORDS, MEMO_TAILS = 1 << 16, 1 << 12
 # Bytes of texts whose words are told apart at once.
 RUN_BYTES = 4 << 20
+# Bytes of ids that are cut into pieces at once.
+CUT_BYTES = 1 << 20
 
 
 class Schedule:
@@ -125,6 +127,7 @@ class Vocabulary:
         self.ids: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.tails: dict[bytes, bytes] = {b"": b""}
+        give_back()  # loading frees as much as it keeps
 
     @staticmethod
     def of_process(path: str) -> "Vocabulary":
@@ -137,6 +140,13 @@ class Vocabulary:
             kept[path] = Vocabulary(path)
         return kept[path]
 
+    @staticmethod
+    def forget() -> None:
+        """Drop what the process keeps, once words are no longer looked up."""
+        import sys
+
+        sys.modules.pop(PROCESS_MODULE, None)
+
     def encoded(self, texts: pa.Array) -> list[bytes]:
         """The ids of texts. Words are told apart, and put together again, for all texts at once; only distinct words are looked up."""
         split = pc.ascii_split_whitespace(texts.cast(pa.string()))
@@ -265,14 +275,14 @@ def tokenized(docs: DataFrame, path: str | None = None, source: str = "source")
         known, seen, block = Vocabulary.of_process(vocabulary), defaultdict(int), TaskContext.get().partitionId()
         closing = np.array([END], "<u2").tobytes()
         for part in parts:
-            ids, counts, before = [], [], []
             for start, stop in runs_of_bytes(part["data"], RUN_BYTES):
-                for found, key in zip(known.encoded(part["data"][start:stop]), part["source_key"][start:stop].to_pylist()):
+                ids, counts, before, keys = [], [], [], part["source_key"][start:stop]
+                for found, key in zip(known.encoded(part["data"][start:stop]), keys.to_pylist()):
                     ids.append(found + closing)
                     counts.append(len(ids[-1]) // 2)
                     before.append(seen[key])
                     seen[key] += counts[-1]
-            yield {"doc_id": part["doc_id"], "source_key": part["source_key"], "n": counts, "ids": ids, "block": [block] * len(ids), "before": before}
+                yield {"doc_id": part["doc_id"][start:stop], "source_key": keys, "n": counts, "ids": ids, "block": [block] * len(ids), "before": before}
 
     key = F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("-"))
     columns = {"doc_id": F.col("doc_id"), "data": text_bytes(), "source_key": key}
@@ -345,23 +355,27 @@ def packed(docs: DataFrame, path: str | None = None, source: str = "source", seq
         lengths.append(rest)
     plan = spark.sparkContext.broadcast(Schedule(lengths, sequence))
 
+    def cut(part):
+        rows, at, made = [], [], []
+        columns = (part[c].to_pylist() for c in ("queue", "begin", "skip", "size", "n", "ids"))
+        for i, (queue, begin, skip, size, n, ids) in enumerate(zip(*columns)):
+            wide = memoryview(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
+            for sequence_id, offset, start, length in plan.value.pieces(queue, begin, size):
+                at.append(i)
+                rows.append((skip + start, length, zlib.crc32(wide[4 * start : 4 * (start + length)]), n, sequence_id, offset, queue))
+                made.append(ids[2 * start : 2 * (start + length)])
+        names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue")
+        for lo in range(0, len(at), 50_000):
+            numbers = np.array(rows[lo : lo + 50_000], np.int64).T
+            out = dict(zip(names, (pa.array(c) for c in numbers)))
+            out |= {"doc_id": part["doc_id"].take(pa.array(at[lo : lo + 50_000])), "ids": made[lo : lo + 50_000]}
+            yield out
+
     def run(parts):
+        Vocabulary.forget()
         for part in parts:
-            rows, at, made = [], [], []
-            columns = (part[c].to_pylist() for c in ("queue", "begin", "skip", "size", "n", "ids"))
-            for i, (queue, begin, skip, size, n, ids) in enumerate(zip(*columns)):
-                wide = memoryview(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
-                for sequence_id, offset, start, length in plan.value.pieces(queue, begin, size):
-                    at.append(i)
-                    cut = wide[4 * start : 4 * (start + length)]
-                    rows.append((skip + start, length, zlib.crc32(cut), n, sequence_id, offset, queue))
-                    made.append(ids[2 * start : 2 * (start + length)])
-            names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue")
-            for lo in range(0, len(at), 50_000):
-                numbers = np.array(rows[lo : lo + 50_000], np.int64).T
-                out = dict(zip(names, (pa.array(c) for c in numbers)))
-                out |= {"doc_id": part["doc_id"].take(pa.array(at[lo : lo + 50_000])), "ids": made[lo : lo + 50_000]}
-                yield out
+            for start, stop in runs_of_bytes(part["ids"], CUT_BYTES):
+                yield from cut({name: column[start:stop] for name, column in part.items()})
 
     columns = {c: F.col(c) for c in ("doc_id", "queue", "begin", "skip", "size", "n", "ids")}
     schema = "doc_id void, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue int, ids binary"

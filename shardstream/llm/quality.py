@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import MEMO_WORDS, hashed_fold, pass_over, text_bytes
+from .words import MEMO_WORDS, hashed_fold, map_batches, pass_over, small_batches, some_at_a_time, text_bytes
 
 DIMENSIONS = 48
 # Terms of the vector space: hashed words, and hashed shapes of words. Fixed sizes bound the tables that are broadcast.
@@ -20,6 +21,8 @@ TERMS = WORD_TERMS + SHAPE_TERMS
 NONZERO = 4
 # The classifier is fitted on at most this many labelled rows, those with the lowest hash of their id.
 SAMPLE = 20_000
+# Terms whose neighbours are counted at once.
+PAIRS = 1 << 18
 HIDDEN, EPOCHS, BATCH, RATE, DECAY, SEED = 24, 60, 256, 3e-3, 1e-4, 7
 FOLDS, HELD_OUT = 5, 0
 REJECT_BELOW = 0.3
@@ -71,7 +74,7 @@ def context_sums(docs: DataFrame) -> np.ndarray:
         memo, (places, signs) = Terms(), index_vectors()
         total = np.zeros(TERMS * DIMENSIONS, np.float64)
         for part in parts:
-            for centers, around in _neighbours(memo, part["data"].to_pylist()):
+            for centers, around in _neighbours(memo, (data for (some,) in some_at_a_time(part["data"]) for data in some)):
                 for j in range(NONZERO):
                     total += np.bincount(centers * DIMENSIONS + places[around, j], signs[around, j], len(total))
         sums = total.reshape(TERMS, DIMENSIONS).astype(np.int64)
@@ -86,7 +89,7 @@ def context_sums(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _neighbours(memo: Terms, texts: list[bytes], most: int = 1 << 20):
+def _neighbours(memo: Terms, texts: Iterable[bytes], most: int = PAIRS):
     """Pairs of terms next to each other, within words and within shapes, in arrays of bounded size."""
     held, size = [], 0
     for data in texts:
@@ -254,8 +257,8 @@ def good_documents(docs: DataFrame, labels: DataFrame, least: float = REJECT_BEL
 
     def run(batches):
         memo = Terms()
-        for batch in batches:
+        for batch in small_batches(batches, at):
             texts = [(t or "").encode() for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(model.value.scores(texts, memo) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import pass_over
+from .words import map_batches, pass_over, small_batches
 
 # Kinds in the order in which spans of one start are listed; the first three are the base patterns.
 KINDS = ("assign", "access", "hex", "key_block", "key_base64", "key_hex", "signed_token")
@@ -288,7 +288,7 @@ def mask_secrets(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, at):
             texts = batch.column(at).to_pylist()
             new = [None if t is None else masked(t, mask) for t in texts]
             columns = list(batch.columns)
@@ -299,4 +299,4 @@ def mask_secrets(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
                 columns[chars] = pa.array(counts, batch.schema.field(chars).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -77,6 +79,24 @@ def shingle_set(words: list[bytes], k: int, memo: WordHashes) -> np.ndarray:
     return np.unique(rolling(memo.of(words), min(k, len(words))))
 
 
+def give_back() -> None:
+    """Hand memory that is free back to the system: a worker process outlives its tasks and would hold on to what they freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim:
+        trim(0)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` whose tasks hand back their memory when they are done."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
 def pass_over(
     df: DataFrame, columns: dict[str, Column], added: str, fn: Callable[[Iterator[dict[str, pa.Array]]], Iterable[dict]],
 ) -> DataFrame:
@@ -97,7 +117,7 @@ def pass_over(
         for part in fn(parts):
             yield pa.RecordBatch.from_arrays([_as_array(part[f.name], f.type) for f in arrow], schema=arrow)
 
-    return narrow.mapInArrow(run, schema)
+    return map_batches(narrow, run, schema)
 
 
 def _as_array(values, kind: pa.DataType) -> pa.Array:
@@ -109,8 +129,8 @@ def _as_array(values, kind: pa.DataType) -> pa.Array:
 
 
 def runs_of_bytes(data: pa.Array, most: int) -> Iterator[tuple[int, int]]:
-    """(start, stop) of runs of rows of about ``most`` bytes; a longer row is a run of its own."""
-    at, ends = 0, np.cumsum(pc.binary_length(data).to_numpy(zero_copy_only=False), dtype=np.int64)
+    """(start, stop) of runs of rows of about ``most`` bytes; a longer row is a run of its own, nulls have no bytes."""
+    at, ends = 0, np.cumsum(pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     while at < len(data):
         done = int(ends[at - 1]) if at else 0
         end = max(at + 1, int(np.searchsorted(ends, done + most)))
@@ -124,6 +144,13 @@ def some_at_a_time(data: pa.Array, *others: pa.Array, most: int = 2 << 20) -> It
         yield tuple(a[at:end].to_pylist() for a in (data, *others))
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], at: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with about ``most`` bytes in column ``at``: what is made of a slice is gone before the next comes."""
+    for batch in batches:
+        for start, stop in runs_of_bytes(batch.column(at), most):
+            yield batch.slice(start, stop - start)
+
+
 def text_bytes(name: str = "text") -> Column:
     """The text as UTF-8 bytes; null as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))
