@@ -42,7 +42,7 @@ def test_vocabulary_is_bounded_and_forgotten():
         words = letters[made.integers(0, 26, (per_run, 9))]
         text = b" ".join(w.tobytes() for w in words)
         first = known.encoded(pa.array([text], pa.binary()))
-    assert len(known.ids) + len(known.older) <= 2 * ((1 << 16) + per_run)
+    assert len(known.ids) + len(known.older) <= 2 * (packing.MEMO_WORDS + per_run)
     packing.Vocabulary.forget()
     assert packing.PROCESS_MODULE not in sys.modules
     packing.Vocabulary.forget()
